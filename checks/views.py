@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwise.schemas import CLAIM_COLUMNS
+from claimwise.session import scratch_path, stage
 
 
 def pick(expr: str, *values: str) -> str:
@@ -113,8 +114,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
 def flat(spark: SparkSession, sf: str, **options) -> DataFrame:
-    """The flat claims view in Spark, with the true column names."""
+    """The flat claims view in Spark, with the true column names.
+
+    Written once per application like the source file it stands for, so that
+    queries start from plain columns and not from the arithmetic above.
+    """
+    key = (spark.sparkContext.applicationId, sf, tuple(sorted(options.items())))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = scratch_path(spark, "flat")
+        return stage(_flat(spark, sf, **options), "flat", _WRITTEN[key])
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def _flat(spark: SparkSession, sf: str, **options) -> DataFrame:
     df = spark.sql(flat_sql(**options), orders=table(spark, sf, "orders"), customer=table(spark, sf, "customer"))
     return df.withColumnsRenamed({_name(c): c for c in CLAIM_COLUMNS if "-" in c})
 
