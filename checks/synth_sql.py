@@ -29,7 +29,7 @@ def report_sql(source: str, key: str, seed: int, keep: list[str], candidates: li
     draw = {label: f"('0x' || substr(h{i // 4}, {8 * (i % 4) + 1}, 8))::BIGINT" for i, label in enumerate(ORDER)}
 
     def choose(pool: str, label: str) -> str:
-        return f"({pool})[1 + {draw[label]} % len({pool})]"
+        return f"({pool})[1 + {draw[label]} % greatest(len({pool}), 1)]"
 
     def by_case(value) -> str:
         return "CASE " + " ".join(

@@ -117,17 +117,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 _WRITTEN: dict[tuple, str] = {}
 
 
+def written(spark: SparkSession, sf: str, label: str, build) -> DataFrame:
+    """A frame written once per application, like the source file it stands for."""
+    key = (spark.sparkContext.applicationId, sf, label)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "view")
+        stage(build(), label, path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
 def flat(spark: SparkSession, sf: str, **options) -> DataFrame:
     """The flat claims view in Spark, with the true column names.
 
-    Written once per application like the source file it stands for, so that
-    queries start from plain columns and not from the arithmetic above.
+    Queries start from its plain columns and not from the arithmetic above.
     """
-    key = (spark.sparkContext.applicationId, sf, tuple(sorted(options.items())))
-    if key not in _WRITTEN:
-        _WRITTEN[key] = scratch_path(spark, "flat")
-        return stage(_flat(spark, sf, **options), "flat", _WRITTEN[key])
-    return spark.read.parquet(_WRITTEN[key])
+    return written(spark, sf, f"flat {sorted(options.items())}", lambda: _flat(spark, sf, **options))
 
 
 def _flat(spark: SparkSession, sf: str, **options) -> DataFrame:

@@ -72,11 +72,9 @@ def feature_vectors(
     names = list(plain)
     if categorical:
         # Labels in descending order put the first level last, where the encoder drops it.
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [levels[c][::-1] for c in categorical],
-            inputCols=[f"_c{i}" for i in range(len(categorical))],
-            outputCols=[f"_i{i}" for i in range(len(categorical))])
-        work = indexer.transform(work)
+        for i, c in enumerate(categorical):
+            indexer = StringIndexerModel.from_labels(levels[c][::-1], inputCol=f"_c{i}", outputCol=f"_i{i}")
+            work = indexer.transform(work)
         encoder = OneHotEncoder(
             inputCols=[f"_i{i}" for i in range(len(categorical))],
             outputCols=[f"_o{i}" for i in range(len(categorical))], dropLast=True)
@@ -84,11 +82,18 @@ def feature_vectors(
         inputs += [f"_o{i}" for i in range(len(categorical))]
         names += [f"{c}_{level}" for c in categorical for level in levels[c][:0:-1]]
     vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(work)
-    return vectors.select(*[quoted(k) for k in keep], "features", "label"), names
+    # names are returned, so per-slot metadata need not travel with the rows
+    plain_vector = F.col("features").alias("features", metadata={})
+    return vectors.select(*[quoted(k) for k in keep], plain_vector, "label"), names
 
 
 def forest(trees: int = 200, depth: int = 10, seed: int = 42, **params) -> RandomForestRegressor:
-    """Random forest regressor considering every feature at each split."""
+    """Random forest regressor considering every feature at each split.
+
+    Tree nodes are grown in groups, one pass over the rows per group; a larger
+    ``maxMemoryInMB`` means fewer passes.
+    """
+    params = {"maxMemoryInMB": 1024, **params}
     return RandomForestRegressor(
         featuresCol="features", labelCol="label", predictionCol="prediction",
         numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all", **params)

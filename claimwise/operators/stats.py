@@ -129,9 +129,9 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, pairs_per_pa
                  for a, b in chunk for x, y in ({(a, b), (b, a)})]
         part = sums.select(F.inline(F.array(*cells))).select(
             "col_a", "col_b",
-            F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(
-                F.col("s.xy"), F.sqrt("s.xx") * F.sqrt("s.yy")))).alias("r"))
-        part = part.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+            F.try_divide(F.col("s.xy"), F.sqrt("s.xx") * F.sqrt("s.yy")).alias("r"))
+        # rounding may leave the range by one unit in the last place
+        part = part.withColumn("r", F.when(F.abs("r") > 1, F.signum("r")).when(~F.isnan("r"), F.col("r")))
         result = part if result is None else result.unionByName(part)
     return result
 

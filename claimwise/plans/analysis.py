@@ -50,6 +50,9 @@ def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share:
     clean = cleaning.drop_leakage(df, target)
     vectors, names = model.feature_vectors(clean, target, keep=[key], max_levels=max_levels)
     marked = fold_index(holdout_split(vectors, key, test_share, seed), key, folds, seed)
+    cores = spark.sparkContext.defaultParallelism
+    if marked.rdd.getNumPartitions() < cores:
+        marked = marked.repartition(cores, key)
     rows = stage(marked.drop(key), "vectors")
     learner = model.forest(trees, depth, seed)
     fitted = learner.fit(rows.where(~F.col("is_test")))
