@@ -802,7 +802,7 @@ def model_frame(spark, sf) -> DataFrame:
                "bodily_injuries", "witnesses", "policy_annual_premium", "vehicle_claim", "total_claim_amount"]
     df = cleaning.nullify_file_tokens(V.flat(spark, sf, copies=False, clean=True), [SENTINEL]).select("src_pos", *columns)
     df = cleaning.coerce_columns(df, columns[6:])
-    return cleaning.impute_mode(cleaning.impute_median(stage(df, "model"), columns[6:]), columns[:6])
+    return stage(cleaning.impute_mode(cleaning.impute_median(stage(df, "typed"), columns[6:]), columns[:6]), "model")
 
 
 # The library's default forest has 200 trees; these two checks grow 20 of the

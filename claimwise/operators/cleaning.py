@@ -190,10 +190,10 @@ def impute_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         return df
     types = {f.name: f.dataType for f in df.schema.fields}
     found = medians(df, columns).agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))).alias("m"))
-    value = found.scalar()
-    return df.withColumns({
-        c: F.coalesce(as_double(quoted(c), types[c]), F.element_at(value, F.lit(c))) for c in columns
-    })
+    # one subquery column, not one subquery per imputed column
+    return df.withColumn("_fill", found.scalar()).withColumns({
+        c: F.coalesce(as_double(quoted(c), types[c]), F.try_element_at("_fill", F.lit(c))) for c in columns
+    }).drop("_fill")
 
 
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -214,10 +214,9 @@ def impute_mode(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     if not columns:
         return df
     found = modes(df, columns).agg(F.map_from_entries(F.collect_list(F.struct("feature", "mode"))).alias("m"))
-    value = found.scalar()
-    return df.withColumns({
-        c: F.coalesce(quoted(c), F.try_element_at(value, F.lit(c))) for c in columns
-    })
+    return df.withColumn("_fill", found.scalar()).withColumns({
+        c: F.coalesce(quoted(c), F.try_element_at("_fill", F.lit(c))) for c in columns
+    }).drop("_fill")
 
 
 def fix_values(df: DataFrame, column: str = "auto_make", fixes: dict[str, str] | None = None) -> DataFrame:

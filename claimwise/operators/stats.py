@@ -74,7 +74,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
 
     placed = (
-        value.select("v", span.getField("low").alias("low"), span.getField("high").alias("high"))
+        value.select("v", span.alias("s")).select("v", "s.low", "s.high")
         .withColumn("i", F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("low")) / width).cast("int")))
         .withColumn("bin", F.when(F.col("v") < border(F.col("i")), F.col("i") - 1)
                     .when((F.col("v") >= border(F.col("i") + 1)) & (F.col("i") < bins - 1), F.col("i") + 1)

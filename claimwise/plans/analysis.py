@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from claimwise.functions.text import quoted
 from claimwise.operators import cleaning, model, stats
 from claimwise.operators.ranking import fold_index, holdout_split
 from claimwise.session import stage
@@ -43,17 +42,19 @@ def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share:
              cross_validation: bool = True) -> dict[str, DataFrame]:
     """Holdout scores, fold scores and importances of the random-forest baseline.
 
-    ``key`` identifies a row and is not a feature. Encoded rows are staged
-    once; the folds cover all rows, those of the holdout included.
+    ``key`` identifies a row and is not a feature. ``df`` is read several
+    times, so pass a staged frame. Encoded rows are staged once; the marks for
+    holdout and folds are expressions over them. The folds cover all rows,
+    those of the holdout included.
     """
     spark = df.sparkSession
     clean = cleaning.drop_leakage(df, target)
     vectors, names = model.feature_vectors(clean, target, keep=[key], max_levels=max_levels)
-    marked = fold_index(holdout_split(vectors, key, test_share, seed), key, folds, seed)
     cores = spark.sparkContext.defaultParallelism
-    if marked.rdd.getNumPartitions() < cores:
-        marked = marked.repartition(cores, key)
-    rows = stage(marked.drop(key), "vectors")
+    if vectors.rdd.getNumPartitions() < cores:
+        vectors = vectors.repartition(cores, key)
+    staged = stage(vectors, "vectors")
+    rows = fold_index(holdout_split(staged, key, test_share, seed), key, folds, seed)
     learner = model.forest(trees, depth, seed)
     fitted = learner.fit(rows.where(~F.col("is_test")))
     result = {
@@ -66,8 +67,3 @@ def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share:
         result["folds"] = scores
         result["cross validation"] = model.cv_summary(scores)
     return result
-
-
-def keyed_frame(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Key plus the modelling columns."""
-    return df.select(quoted(key), *[quoted(c) for c in columns])
