@@ -20,11 +20,15 @@ def coerce_number(c: Column) -> Column:
 
 
 def as_double(c: Column, dtype: T.DataType) -> Column:
-    """DOUBLE view of a column of the given type for statistics."""
+    """DOUBLE view of a column of the given type for statistics.
+
+    Adding zero turns -0.0 into 0.0: grouping treats the two as equal, but a
+    search among bucket borders does not.
+    """
     if isinstance(dtype, T.BooleanType):
         return c.cast("int").cast("double")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return nan_to_null(c)
+        return nan_to_null(c) + F.lit(0.0)
     return c.cast("double")
 
 
