@@ -7,9 +7,10 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-# \s with (?U) covers Unicode white space; the four separators U+001C..U+001F
-# are white space too for a strip, but not part of that class.
-_SPACE = "[\\s\\x1c-\\x1f]"
+# All white space, listed: a listed class is matched faster than (?U)\s, and
+# U+001C..U+001F count as white space for a strip though not for \\s.
+_SPACE_CHARS = "\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_SPACE = f"[{_SPACE_CHARS}]"
 
 
 def quoted(name: str) -> Column:
@@ -19,12 +20,12 @@ def quoted(name: str) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(c, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of white space to one blank and strip the ends."""
-    return F.trim(F.regexp_replace(c, f"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, f"{_SPACE}+", " "))
 
 
 def capitalise(c: Column) -> Column:
@@ -55,12 +56,20 @@ def ascii_digits(c: Column) -> Column:
     return F.translate(c, source, target)
 
 
-def first_number(c: Column, pattern: str, default: int) -> Column:
+def has_text(c: Column) -> Column:
+    """Whether there is any character that is not white space; stops at the first."""
+    return F.coalesce(F.rlike(c, F.lit(f"[^{_SPACE_CHARS}]")), F.lit(False))
+
+
+def first_number(c: Column, pattern: str, default: int, keyword: str) -> Column:
     """Group 1 of the first match as BIGINT, else ``default``.
 
-    More than 19 digits exceed BIGINT and also give ``default``.
+    ``keyword`` is plain text every match contains: texts without it skip the
+    pattern. Digits and white space of all scripts count. More than 19 digits
+    exceed BIGINT and also give ``default``.
     """
-    digits = F.nullif(F.regexp_extract(c, "(?U)" + pattern, 1), F.lit(""))
+    wide = pattern.replace("\\d", "\\p{Nd}").replace("\\s", _SPACE)
+    digits = F.when(F.contains(c, F.lit(keyword)), F.nullif(F.regexp_extract(c, wide, 1), F.lit("")))
     return F.coalesce(ascii_digits(digits).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 

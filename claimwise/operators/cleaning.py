@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from claimwise.functions.numbers import as_double, coerce_number
-from claimwise.functions.text import quoted, strip
+from claimwise.functions.text import has_text, quoted
 from claimwise.operators.ranking import medians
 from claimwise.schemas import DEFAULT_NULL_TOKENS, MAKE_FIXES, SENTINEL
 
@@ -260,5 +260,5 @@ def drop_leakage(df: DataFrame, target: str, word: str = "claim") -> DataFrame:
 
 def reject_blank(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """(rows with text, rows whose text is missing or white space only)."""
-    filled = F.coalesce(F.length(strip(quoted(column))) > 0, F.lit(False))
+    filled = has_text(quoted(column))
     return df.where(filled), df.where(~filled)

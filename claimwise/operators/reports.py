@@ -32,7 +32,7 @@ def extract_features(df: DataFrame, text_column: str = "text",
     lowered = F.lower(quoted(text_column))
     return df.withColumns({
         "severity": severity(lowered, rules),
-        **{name: first_number(lowered, pattern, default) for name, pattern, default in COUNT_RULES},
+        **{name: first_number(lowered, *rule) for name, *rule in COUNT_RULES},
         "police": F.when(F.contains(lowered, F.lit(POLICE_KEYWORD)), "Ja").otherwise("Nein"),
     })
 

@@ -124,11 +124,11 @@ SEVERITY_RULES = [
     ("Trivial Damage", ["kratzer", "bagatelle", "geringfügig"]),
 ]
 DEFAULT_SEVERITY = "Minor Damage"
-# (output column, pattern over the lower-cased text, value without a match)
+# (output column, pattern over the lower-cased text, value without a match, text in every match)
 COUNT_RULES = [
-    ("vehicles", r"(\d+)\s*fahrzeug", 1),
-    ("injured", r"(\d+)\s*(personen?\s*)?verletzt", 0),
-    ("witnesses", r"(\d+)\s*zeug", 0),
+    ("vehicles", r"(\d+)\s*fahrzeug", 1, "fahrzeug"),
+    ("injured", r"(\d+)\s*(personen?\s*)?verletzt", 0, "verletzt"),
+    ("witnesses", r"(\d+)\s*zeug", 0, "zeug"),
 ]
 POLICE_KEYWORD = "polizei"
 BASE_AMOUNTS = {
