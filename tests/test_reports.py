@@ -107,7 +107,8 @@ def test_values_with_braces_are_not_templates(spark):
 def test_overwrites_column_in_place_and_needs_no_incident_type(claims):
     df = claims.withColumn("note", F.lit("old")).select("note", *claims.columns)
     out = generate_reports(df, "id", "note")
-    assert out.columns == df.columns and out.where("note = 'old'").count() == 0
+    # collected, not filtered: see the limit on filters over generated text in the README
+    assert out.columns == df.columns and all(r["note"] != "old" for r in out.collect())
 
 
 def test_case_type(spark):
