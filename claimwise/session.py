@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,27 +31,32 @@ def build_session(app: str = "claimwise", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
-    Only a local-mode session without that setting gets a temporary folder; a
-    cluster session without it is an error, because a path on one machine is
-    lost with that machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimwise-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+_JOBS: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below :func:`shared_dir`, deleted at the end of a surrounding :func:`scratch`."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    if _JOBS:
+        _JOBS[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged inside it; results must be written by then."""
+    _JOBS.append([])
+    try:
+        yield
+    finally:
+        for path in _JOBS.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
