@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwise.session import scratch_path
@@ -12,6 +16,14 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until the frame has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read again; cuts the lineage."""
     path = scratch_path(df.sparkSession, label)
@@ -35,6 +47,50 @@ def deal_in_block_pairs(df: DataFrame, group: str, member: str, size: Column, bl
             .drop("_own", "_other"))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups with the row bounds of each, from batches sorted by ``keys``.
+
+    Only the open group is carried from batch to batch.
+    """
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last is not None and any(c[0] != x for c, x in zip(columns, last))
+        last = [c[-1] for c in columns]
+        starts = np.flatnonzero(new)
+        if not len(starts):
+            held.append(batch)
+            continue
+        table = pa.Table.from_batches([*held, batch.slice(0, starts[-1])])
+        before = sum(b.num_rows for b in held)
+        bounds = np.concatenate([[0], starts + before])
+        yield table.combine_chunks(), bounds[np.concatenate([[True], np.diff(bounds) > 0])]
+        held = [batch.slice(starts[-1])]
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, np.array([0, table.num_rows])
+
+
+def stars(pairs: np.ndarray, size: int) -> np.ndarray:
+    """For members 0 .. size-1, the smallest member connected by ``pairs`` (rows of two)."""
+    root = np.arange(size)
+    while len(pairs):
+        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
+        before = root.copy()
+        np.minimum.at(root, root[pairs[:, 0]], low)
+        np.minimum.at(root, root[pairs[:, 1]], low)
+        root = root[root]
+        if (root == before).all():
+            break
+    return root
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``node, root`` for every node of the edges ``u, v``; root is the smallest node reachable.
 

@@ -135,15 +135,15 @@ def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int =
 
 
 def _views(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Both views of the rows of ``text, source, lang``, slice by slice."""
-    source, lang = batch.column("_source").to_pylist(), batch.column("_lang").to_pylist()
-    for low, high, data, off in slices(batch.column("_text")):
+    """Both views of rows that begin with text, source and language, slice by slice."""
+    source, lang = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+    for low, high, data, off in slices(batch.column(0)):
         yield low, high, content_view(data, off), meta_view(data, off, source[low:high], lang[low:high])
 
 
 def _inputs(docs: DataFrame, *more) -> DataFrame:
-    return docs.select(*more, F.col("`text`").alias("_text"), F.col("`source`").cast("string").alias("_source"),
-                       F.col("`lang`").cast("string").alias("_lang"))
+    return docs.select(F.col("text"), F.col("source").cast("string"), F.col("lang").cast("string"), *more).toDF(
+        *"012", *[str(i + 3) for i in range(len(more))])
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 3000) -> Model | None:
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 30
         for batch in batches:
             for low, high, content, meta in _views(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), batch.column("y").slice(low, high - low),
+                    [batch.column(3).slice(low, high - low), batch.column(4).slice(low, high - low),
                      pa.array([np.concatenate(r).astype(np.float16).tobytes() for r in zip(content, meta)], pa.binary())],
                     names=["doc_id", "y", "x"])
 
@@ -200,7 +200,7 @@ def score(docs: DataFrame, model: Model | None, carry: list[str], least: float =
                 text, page, joined = model.score(content, meta) if model else (np.ones(n), np.ones(n), np.ones(n))
                 joined = np.where(content[:, -1] > 0, joined, 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(low, n) for c in carry), pa.array(joined), pa.array(joined >= least), pa.array(text), pa.array(page)],
+                    [*(batch.column(i + 3).slice(low, n) for i in range(len(carry))), pa.array(joined), pa.array(joined >= least), pa.array(text), pa.array(page)],
                     names=[*carry, "score", "kept", "text_score", "meta_score"])
 
     return rows.mapInArrow(run, schema)

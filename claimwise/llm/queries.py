@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwise.llm import compression, language, licences, quality
+from claimwise.llm import chunks, compression, hnsw, jaccard, language, licences, mixture, packing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +40,38 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
 def op9_co_training(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     return quality.score(docs, quality.fit(docs, _table(spark, sf, "labels")), ["doc_id"])
+
+
+@_query
+def op1_content_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return chunks.repeated_passages(_table(spark, sf, "documents"))
+
+
+@_query
+def op2_cutting_stock(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op3_chosen_path_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_join(_table(spark, sf, "documents"))
+
+
+@_query
+def op5_source_schedule(spark: SparkSession, sf: str) -> DataFrame:
+    return mixture.mix(mixture.sizes(_table(spark, sf, "documents")))
+
+
+SQL["op5_source_schedule"] = mixture.SQL
+
+
+@_query
+def op8_small_world(spark: SparkSession, sf: str) -> DataFrame:
+    return hnsw.near_copies(_table(spark, sf, "embeddings"))
+
+
+@_query
+def op10_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.repeated_passages(_table(spark, sf, "documents"))

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+ROWS = 4096
 
 _RANDOM = np.random.default_rng(20240501)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,7 +50,7 @@ def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.n
     low = 0
     while low < len(column):
         high = max(low + 1, int(np.searchsorted(off, off[low] + size, "right")) - 1)
-        high = min(high, len(column))
+        high = min(high, len(column), low + ROWS)
         yield low, high, data[off[low]:off[high]], off[low:high + 1] - off[low]
         low = high
 
@@ -85,7 +86,8 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         with np.errstate(over="ignore"):
             value = _BYTE[data[place + np.repeat(start[full], n)]] * _PLACE[place & 1023]
             if n.max() > 1024:
-                value *= mix((place >> 10).astype(np.uint64) + _U(7)) | _U(1)
+                far = np.flatnonzero(place >= 1024)
+                value[far] *= mix((place[far] >> 10).astype(np.uint64) + _U(7)) | _U(1)
             out[full] = np.add.reduceat(value, begin)
     with np.errstate(over="ignore"):
         return mix(out + length.astype(np.uint64) * _U(0x9E3779B97F4A7C15))

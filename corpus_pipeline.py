@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwise.llm import quality
+from claimwise.llm import jaccard, mixture, packing, quality, suffixes
 from claimwise.session import scratch_path
 
 
@@ -14,9 +15,45 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, docs.columns).where("kept").select(*docs.columns)
 
 
-STAGES = [("quality_classifier", good_quality)]
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document of smallest id; rows without id stay.
 
-#: A fitted classifier and a tokenizer decide rows; SQL cannot state them.
+    Repeated rows of one id become one.
+    """
+    kept = jaccard.jaccard_join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of 50 words and more that stand in an earlier document.
+
+    ``n_chars`` follows the text; a document of which nothing is left goes.
+    """
+    cut = suffixes.without_repeats(docs, suffixes.repeated_passages(docs))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).where("length(text) > 0").select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as often as the mix takes them; ``n_chars`` follows the text."""
+    mixed = mixture.apply_mix(docs, mixture.mix(mixture.sizes(docs)))
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the token sequences and their places in packed sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", good_quality),
+    ("near_copies", one_of_near_copies),
+    ("repeated_passages", no_repeated_passages),
+    ("source_mix", mixed_sources),
+    ("packing", packed),
+]
+
+#: A fitted classifier, hashed joins and a tokenizer decide rows; SQL cannot state them.
 ORACLE_SQL = None
 
 
