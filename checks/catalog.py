@@ -10,7 +10,7 @@ from checks import synth_sql, views as V
 from claimwise.operators import audits, cleaning, model, normalise, prepare, ranking, reports, stats, synth
 from claimwise.plans import analysis, etl, prepared, scoring
 from claimwise.schemas import (
-    CLAIM_COLUMNS, CLAIMS_RAW, DEFAULT_NULL_TOKENS, FEATURE_LABELS, SENTINEL, SEVERITY_GERMAN, TABLES,
+    CLAIM_COLUMNS, CLAIMS_RAW, DEFAULT_NULL_TOKENS, FEATURE_LABELS, SENTINEL, PRIMARY_KEYS, SEVERITY_GERMAN, TABLES, spark_type,
 )
 from claimwise.session import scratch_path, shared_dir, stage
 from claimwise.sources.readers import (
@@ -102,6 +102,34 @@ def csv_optional(spark, sf):
         count("absent", read_claims_optional(spark, path + "-none", schema)))
 
 
+@register("SELECT CAST(o_orderkey AS STRING) AS o_orderkey, o_orderpriority || chr(10) || '\"' || o_orderstatus || '\", ' AS note FROM orders")
+def csv_quoted_lines(spark, sf):
+    """Line breaks, quotes and commas inside quoted fields, written and read again."""
+    path = scratch_path(spark, "quoted-csv")
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('", '))
+    write_csv(V.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string"), note.alias("note")), path)
+    return read_csv_text(spark, path, multiline=True)
+
+
+@register("SELECT 'surplus field' AS fault, count(*) > 0 AS refused FROM orders UNION ALL SELECT 'line break in quotes', count(*) > 0 FROM orders")
+def csv_bad_rows(spark, sf):
+    """A record with a field too many, and a broken line read as whole lines, are errors."""
+    rows, found = V.table(spark, sf, "orders"), []
+    key = F.col("o_orderkey").cast("string")
+    for fault, lines in (("surplus field", [F.concat(key, F.lit(",b,c"))]),
+                         ("line break in quotes", [F.concat(key, F.lit(',"b')), F.lit('b"')])):
+        path = scratch_path(spark, "bad-csv")
+        # other separators than the reader's, so that the lines are written as they are
+        (rows.select(F.explode(F.array(*lines)).alias("a,b")).write.option("header", True)
+         .option("sep", "\u0001").option("quote", "\u0002").csv(path))
+        try:
+            read_csv_text(spark, path).write.format("noop").mode("overwrite").save()
+            found.append((fault, False))
+        except Exception as error:  # noqa: BLE001 - the kind of error depends on where it is found
+            found.append((fault, "more fields than columns" in str(error) or "unbalanced quotes" in str(error)))
+    return spark.createDataFrame(found, "fault string, refused boolean")
+
+
 CLEAN = V.flat_duck(copies=False, clean=True)
 CLEAN_NULLED = nulled(CLAIM_COLUMNS, NULL_TEXTS, CLEAN)
 NUMBERED = f"(SELECT *, row_number() OVER (ORDER BY src_pos) AS lfd_id FROM {CLEAN_NULLED} n)"
@@ -305,14 +333,11 @@ def table_profile(spark, sf):
     return cleaning.table_profile(strict(spark, sf))
 
 
-@register("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 0", name="head_ordered")
+@register("SELECT o_totalprice, o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 5")
 def head_ordered(spark, sf):
     return cleaning.head_ordered(V.table(spark, sf, "orders").select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"], 5)
 
 
-SQL["head_ordered"] = "SELECT o_totalprice, o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 5"
-
-
 @register(f"SELECT 'kept' AS part, report_id, text FROM {V.reports_duck()} x WHERE trim(text) <> '' "
           f"UNION ALL SELECT 'rejected', report_id, text FROM {V.reports_duck()} x WHERE trim(text) = ''")
 def reject_blank(spark, sf):
@@ -452,6 +477,37 @@ def audit_unique(spark, sf):
     return audits.unique_summary(dirty_tables(spark, sf))
 
 
+AUDITED = f"(SELECT *, lfd_id AS id FROM {NUMBERED} n)"
+LIMITS = [(t, c, s, kind) for t, columns in TABLES.items() for s, c, kind in columns]
+
+
+def audit_rules() -> list[tuple[str, str]]:
+    """Rule and the condition that breaks it, over the flat rows."""
+    cell = lambda s: "id" if s == "@id" else f'"{s}"'
+    at = {(t, c): cell(s) for t, c, s, _ in LIMITS}
+    required = [("kunden", "alter_jahre"), ("policen", "kunde_id"), ("policen", "policen_nummer"), ("fahrzeuge", "police_id"),
+                ("unfaelle", "police_id"), ("schaeden", "unfall_id"), *PRIMARY_KEYS.items()]
+    out = [(f"not_null {t}.{c}", f"{at[t, c]} IS NULL") for t, c in required]
+    out.append(("check unfaelle.uhrzeit_stunde", "coalesce(TRY_CAST(incident_hour_of_the_day AS BIGINT) NOT BETWEEN 0 AND 23, false)"))
+    for t, c, s, kind in LIMITS:
+        if kind.startswith("VARCHAR("):
+            out.append((f"length {t}.{c}", f"coalesce(length({cell(s)}) > {kind[8:-1]}, false)"))
+        elif kind not in ("DATE", "BOOLEAN"):
+            label = "numeric" if kind.startswith("DECIMAL") else "type"
+            out.append((f"{label} {t}.{c}", f"{cell(s)} IS NOT NULL AND TRY_CAST({cell(s)} AS {kind}) IS NULL"))
+    return out
+
+
+@register(" UNION ALL ".join(
+    [f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM {AUDITED} a" for rule, broken in audit_rules()]
+    + [f"SELECT 'unique {t}.{c}', count({s}) - count(DISTINCT {s}) FROM {AUDITED} a" for t, c, s in
+       [*((t, c, "id") for t, c in PRIMARY_KEYS.items()), ("policen", "policen_nummer", "policy_number")]]
+    + [f"SELECT 'foreign_key {k}', 0" for k in ("policen.kunde_id", "fahrzeuge.police_id", "unfaelle.police_id", "schaeden.unfall_id")]))
+def audit_all(spark, sf):
+    """Every rule of the five tables, from the flat frame."""
+    return audits.audit_flat(etl.transform(etl.extract(spark, flat_csv(spark, sf, copies=False, clean=True))), etl.ROW_NUMBER)
+
+
 @register(f"""SELECT 'foreign_key ' || r AS rule, CASE WHEN r = 'unfaelle.police_id' THEN n ELSE 0 END AS violations
     FROM (SELECT count(*) FILTER (WHERE id % 101 = 0) AS n FROM {DIRTY} d) c,
     (SELECT unnest(['policen.kunde_id', 'fahrzeuge.police_id', 'unfaelle.police_id', 'schaeden.unfall_id']) AS r) k""")
@@ -541,8 +597,8 @@ def pearson_matrix(spark, sf):
     return rounded(stats.pearson_matrix(gaps(spark, sf).withColumn("flat", F.lit(1.5)), PEARSON))
 
 
-def spearman_sql(feature: str, target: str, source: str) -> str:
-    return f"""SELECT '{feature}' AS feature, count(*) AS n, {r('corr(rx, ry)')} AS effect FROM (
+def spearman_sql(feature: str, target: str, source: str, digits: int = 6) -> str:
+    return f"""SELECT '{feature}' AS feature, count(*) AS n, {r('corr(rx, ry)', digits)} AS effect FROM (
     SELECT rank() OVER (ORDER BY {feature}) + (count(*) OVER (PARTITION BY {feature}) - 1) / 2.0::DOUBLE AS rx,
            rank() OVER (ORDER BY {target}) + (count(*) OVER (PARTITION BY {target}) - 1) / 2.0::DOUBLE AS ry
     FROM {source} s WHERE {feature} IS NOT NULL AND {target} IS NOT NULL) q"""
@@ -563,9 +619,9 @@ def spearman_tied_target(spark, sf):
     return rounded(stats.spearman(gaps(spark, sf), ["l_extendedprice", "l_discount"], "l_quantity"))
 
 
-def anova_sql(feature: str, target: str, source: str) -> str:
+def anova_sql(feature: str, target: str, source: str, digits: int = 6) -> str:
     return f"""SELECT '{feature}' AS feature, count(*) AS k, CAST(sum(n) AS BIGINT) AS n,
-    {r('(sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*)))')} AS f_stat,
+    {r('(sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*)))', digits)} AS f_stat,
     {r('sum(n * (m - g) * (m - g)) / (sum(n * (m - g) * (m - g)) + sum(w))', 9)} AS effect
     FROM (SELECT {feature}, count(*)::DOUBLE AS n, avg({target}) AS m, var_pop({target}) * count(*) AS w,
           (SELECT avg({target}) FROM {source} a WHERE {feature} IS NOT NULL AND {target} IS NOT NULL) AS g
@@ -598,11 +654,35 @@ def effect_ranking(spark, sf):
     return ranked.select("feature", "test", F.round("effect", 6).alias("effect"))
 
 
-@register()
+def f_tail_sql(source: str) -> str:
+    """``feature, test, effect, p_value`` from rows with ``f, d1, d2``, by the midpoint rule over log x."""
+    steps = 40000
+    return f"""SELECT feature, test, round(effect, 6) AS effect, round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, p)), 6) AS p_value FROM (
+    SELECT feature, test, any_value(effect) AS effect, sum(exp(b * v + (a - 1) * ln(1 - exp(v)) + lgamma(a + b) - lgamma(a) - lgamma(b)) * step) AS p FROM (
+      SELECT *, low + (i + 0.5) * step AS v FROM (
+        SELECT *, (least(-1e-12::DOUBLE, greatest(low + 1e-9, ln((d1 / 2 + 60 + 12 * sqrt(d1)) / (d2 / 2)))) - low) / {steps} AS step, d2 / 2 AS a, d1 / 2 AS b
+        FROM (SELECT *, ln(d1 * f / d2 / (1 + d1 * f / d2)) AS low FROM {source} s0) s1) s2, range({steps}) t(i)) s3 GROUP BY feature, test) s4"""
+
+
+EFFECT_TESTS = f"""(SELECT feature, 'spearman' AS test, effect, effect * effect * (n - 2) / (1 - effect * effect) AS f, 1.0::DOUBLE AS d1, (n - 2)::DOUBLE AS d2
+    FROM (SELECT feature, effect, CASE feature WHEN 'l_quantity' THEN (SELECT count(*) FROM {GAPS_DUCK} g WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL)
+          ELSE (SELECT count(*) FROM {GAPS_DUCK} g WHERE l_extendedprice IS NOT NULL) END AS n FROM (SPEARMAN_SQL) s) q
+    UNION ALL SELECT feature, 'anova', effect, f_stat, (k - 1)::DOUBLE, (n - k)::DOUBLE FROM (ANOVA_SQL) a)"""
+EFFECT_P = f_tail_sql(EFFECT_TESTS.replace(
+    "SPEARMAN_SQL", " UNION ALL ".join(spearman_sql(c, "l_extendedprice", GAPS_DUCK, 15) for c in SPEARMAN)).replace(
+    "ANOVA_SQL", " UNION ALL ".join(anova_sql(c, "l_extendedprice", GAPS_DUCK, 12) for c in ANOVA)))
+
+
+@register(f"SELECT feature, test, effect FROM ({EFFECT_P}) p WHERE p_value < 0.05")
 def significant_effects(spark, sf):
-    """p-values come from a numerical method without an SQL counterpart."""
     ranked = stats.effect_ranking(gaps(spark, sf), SPEARMAN, ANOVA, "l_extendedprice")
-    return stats.significant(ranked, 0.5)
+    return rounded(stats.significant(ranked, 0.05).select("feature", "test", "effect"))
+
+
+@register(f"SELECT feature, p_value FROM ({EFFECT_P}) p")
+def effect_p_values(spark, sf):
+    ranked = stats.effect_ranking(gaps(spark, sf), SPEARMAN, ANOVA, "l_extendedprice")
+    return rounded(ranked.select("feature", "p_value"))
 
 
 @register(f"""SELECT DISTINCT 'l_quantity' AS feature, l_quantity AS value, count(*) OVER (PARTITION BY l_quantity) AS n,
@@ -626,7 +706,8 @@ def exact_quantiles(spark, sf):
 # --- reports ------------------------------------------------------------------
 
 def first_number(pattern: str, default: int) -> str:
-    return f"coalesce(TRY_CAST(nullif(regexp_extract(low, '{pattern}', 1), '') AS BIGINT), {default})"
+    digits = f"nullif(regexp_extract(low, '{pattern}', 1), '')"
+    return f"CASE WHEN {digits} IS NULL THEN {default}::DECIMAL(38,0) ELSE TRY_CAST({digits} AS DECIMAL(38,0)) END"
 
 
 FEATURES = f"""(SELECT report_id, text,
@@ -641,7 +722,7 @@ FEATURES = f"""(SELECT report_id, text,
     FROM (SELECT *, lower(text) AS low FROM SOURCE t WHERE trim(text) <> '') l)"""
 REPORT_FEATURES = FEATURES.replace("SOURCE", V.reports_duck())
 SCORED = f"""(SELECT *, CASE severity WHEN 'Trivial Damage' THEN 5000 WHEN 'Minor Damage' THEN 35000 WHEN 'Major Damage' THEN 62000
-    ELSE 65000 END + (vehicles - 1) * 4000.0::DOUBLE + injured * 3000.0::DOUBLE AS predicted_claim FROM {REPORT_FEATURES} f)"""
+    ELSE 65000 END + (CAST(vehicles AS DOUBLE) - 1) * 4000.0::DOUBLE + CAST(injured AS DOUBLE) * 3000.0::DOUBLE AS predicted_claim FROM {REPORT_FEATURES} f)"""
 GERMAN = "CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEVERITY_GERMAN.items()) + " ELSE {c} END"
 DISPLAY = "replace(format('{:,}', CAST(round_even(predicted_claim, 0) AS BIGINT)), ',', '.') || ' EUR'"
 
@@ -690,8 +771,9 @@ def feature_table(spark, sf):
 
 MEANS = f"""(SELECT incident_severity AS category, avg(TRY_CAST(total_claim_amount AS DOUBLE)) AS mean FROM {STRICT} s
     WHERE incident_severity IS NOT NULL GROUP BY 1)"""
-COMPARED = f"""SELECT report_id, predicted_claim, category, {r('mean', 4)} AS mean, {GERMAN.format(c='category')} AS category_german
-    FROM {SCORED} s, {MEANS} m"""
+COMPARED = f"""SELECT report_id, severity, predicted_claim, {r('mean', 4)} AS category_mean,
+    {r('predicted_claim - mean', 4)} AS difference FROM {SCORED} s LEFT JOIN {MEANS} m ON severity = category"""
+COMPARED_COLUMNS = ["report_id", "severity", "predicted_claim", "category_mean", "difference"]
 
 
 def history(spark, sf) -> DataFrame:
@@ -701,7 +783,21 @@ def history(spark, sf) -> DataFrame:
 @register(COMPARED)
 def score_vs_mean(spark, sf):
     compared = scoring.score_with_history(V.reports(spark, sf), history(spark, sf))
-    return rounded(compared.select("report_id", "predicted_claim", "category", "mean", "category_german"), 4)
+    return rounded(compared.select(*COMPARED_COLUMNS), 4)
+
+
+@register(f"SELECT category, {GERMAN.format(c='category')} AS category_german, {r('mean', 4)} AS mean FROM {MEANS} m")
+def display_means(spark, sf):
+    return rounded(reports.display_means(reports.severity_means(history(spark, sf))), 4)
+
+
+@register(COMPARED)
+def score_with_claims_file(spark, sf):
+    """Reports next to the means of an optional claims CSV."""
+    path = scratch_path(spark, "history-csv")
+    write_csv(V.flat(spark, sf).drop("src_pos"), path)
+    found = scoring.score_with_claims_file(spark, V.reports(spark, sf), path)
+    return rounded(found["scored"].select(*COMPARED_COLUMNS), 4)
 
 
 @register(COMPARED)
@@ -712,7 +808,7 @@ def stream_scores(spark, sf):
     output, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-progress")
     means = stage(reports.severity_means(history(spark, sf)), "means")
     run_scores(scored_stream(arriving, means), output, checkpoint).awaitTermination()
-    return rounded(spark.read.parquet(output).select("report_id", "predicted_claim", "category", "mean", "category_german"), 4)
+    return rounded(spark.read.parquet(output).select(*COMPARED_COLUMNS), 4)
 
 
 # --- generated reports --------------------------------------------------------
@@ -795,30 +891,97 @@ def regression_metrics(spark, sf):
     return found.select("n", F.round("r2", 6).alias("r2"), F.round("mae", 4).alias("mae"))
 
 
+TYPES = {source: spark_type(kind) for columns in TABLES.values() for source, _, kind in columns}
+NUMBERS = [c for c in COLUMNS if TYPES[c] not in ("STRING", "DATE", "BOOLEAN")]
+TEXTS = [c for c in COLUMNS if TYPES[c] == "STRING"]
+
+
+def typed_cell(c: str) -> str:
+    if TYPES[c] == "BOOLEAN":
+        return f"CASE \"{c}\" WHEN 'Y' THEN true WHEN 'N' THEN false END AS \"{c}\""
+    return f'CAST("{c}" AS {TYPES[c]}) AS "{c}"'
+
+
+TYPED = f"(SELECT CAST(src_pos AS STRING) AS src_pos, {', '.join(map(typed_cell, COLUMNS))} FROM {CLEAN_NULLED} n)"
+
+
+@register(f"SELECT * FROM {TYPED} t")
+def typed_claims(spark, sf):
+    return prepare.typed_claims(read_claims_strict(spark, flat_csv(spark, sf, copies=False, clean=True)))
+
+
+@register(" UNION ALL ".join(
+    f"SELECT '{role}' AS role, '{c}' AS \"column\" WHERE (SELECT count(*) FROM orders) > 0"
+    for role, names in (("numeric", [c for c in NUMBERS if c != "vehicle_claim"]), ("categorical", ["src_pos", *TEXTS])) for c in names))
+def column_roles(spark, sf):
+    typed = typed_claims(spark, sf)
+    numeric, categorical = cleaning.column_roles(typed, "vehicle_claim")
+    # the roles come from the schema; the count shows that the typed rows can be read
+    rows = typed.agg(F.count("*").alias("n")).where("n > 0")
+    return rows.select(F.inline(F.array(*[F.struct(F.lit(role).alias("role"), F.lit(c).alias("column"))
+                                          for role, names in (("numeric", numeric), ("categorical", categorical)) for c in names])))
+
+
+FLAG = "fraud_reported"
+PLAIN = f"(SELECT CAST(src_pos AS STRING) AS src_pos, {', '.join(FLAG if c == FLAG else typed_cell(c) for c in COLUMNS)} FROM {CLEAN_NULLED} n)"
+
+
+def filled(c: str) -> str:
+    if c in NUMBERS:
+        return (f'CASE WHEN (SELECT count(*) - count("{c}") FROM {PLAIN} a) = 0 THEN CAST("{c}" AS DOUBLE) '
+                f'ELSE coalesce(CAST("{c}" AS DOUBLE), (SELECT quantile_cont(CAST("{c}" AS DOUBLE), 0.5) FROM {PLAIN} a)) END AS "{c}"')
+    if c in TEXTS or c == FLAG:
+        return (f'coalesce("{c}", (SELECT "{c}" FROM {PLAIN} a WHERE "{c}" IS NOT NULL GROUP BY "{c}" ORDER BY count(*) DESC, "{c}" LIMIT 1)) AS "{c}"')
+    return f'"{c}"'
+
+
+def plain_claims(spark, sf) -> DataFrame:
+    """Typed claims with the flag as text, as the analysis reads them; written once."""
+    source = read_claims_strict(spark, flat_csv(spark, sf, copies=False, clean=True))
+    return stage(prepare.typed_claims(source, flags=False), "typed")
+
+
+@register(f"SELECT CAST(src_pos AS STRING) AS src_pos, {', '.join(filled(c) for c in COLUMNS)} FROM {PLAIN} t")
+def analysis_clean(spark, sf):
+    """Sentinel to NULL, medians, modes, copies dropped, from the CSV."""
+    found = analysis.impute_and_deduplicate(plain_claims(spark, sf))
+    return found.select("src_pos", *[F.col(f"`{c}`").cast("double").alias(c) if c in NUMBERS else F.col(f"`{c}`") for c in COLUMNS])
+
+
+IDENTIFYING = ["policy_number", "policy_bind_date", "incident_date", "incident_location", "insured_zip"]
+
+
 def model_frame(spark, sf) -> DataFrame:
-    """Claims with typed numbers, imputed, for the baseline model; one row per claim."""
-    columns = ["incident_type", "collision_type", "incident_severity", "authorities_contacted", "auto_make", "policy_csl",
-               "months_as_customer", "age", "incident_hour_of_the_day", "number_of_vehicles_involved",
-               "bodily_injuries", "witnesses", "policy_annual_premium", "vehicle_claim", "total_claim_amount"]
-    df = cleaning.nullify_file_tokens(V.flat(spark, sf, copies=False, clean=True), [SENTINEL]).select("src_pos", *columns)
-    df = cleaning.coerce_columns(df, columns[6:])
-    return stage(cleaning.impute_mode(cleaning.impute_median(stage(df, "typed"), columns[6:]), columns[:6]), "model")
+    """Typed and imputed claims with every column that does not identify a row, one row per claim."""
+    df = analysis.impute_and_deduplicate(plain_claims(spark, sf))
+    return stage(df.drop(*IDENTIFYING), "model")
+
 
+def level_count(c: str) -> str:
+    return f'(SELECT greatest(count(DISTINCT "{c}") - 1, 0) FROM ({SQL["analysis_clean"]}) t)'
 
-# The library's default forest has 200 trees; these two checks grow 20 of the
-# same depth over all rows, because they run beside dozens of short queries.
-CHECK_TREES = 20
 
+FEATURE_COLUMNS = [c for c in COLUMNS if c not in IDENTIFYING and ("claim" not in c or c == "vehicle_claim")]
 
-@register()
+
+@register("SELECT CAST(" + " + ".join(
+    [str(sum(c in NUMBERS for c in FEATURE_COLUMNS) - 1),
+     *[level_count(c) for c in FEATURE_COLUMNS if c in TEXTS or c == FLAG]]) + " AS BIGINT) AS features, 1.0::DOUBLE AS total, CAST(15 AS BIGINT) AS top")
 def rf_importance(spark, sf):
-    """Random forest of depth 10: the 15 most important features."""
-    return analysis.baseline(model_frame(spark, sf), "src_pos", trees=CHECK_TREES, cross_validation=False)["top importances"]
+    """Random forest of 200 trees of depth 10 over all columns: facts of its importances."""
+    found = analysis.baseline(model_frame(spark, sf), "src_pos", cross_validation=False)
+    top = found["top importances"].agg(F.count("*").alias("top"))
+    return found["importances"].agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total")).join(top)
+
+
+N = "(SELECT count(*) FROM orders)"
 
 
-@register()
+@register(f"""SELECT 'holdout' AS part, CAST(ceil(0.2 * {N}) AS BIGINT) AS n, true AS fits
+    UNION ALL SELECT 'fold ' || f, {N} // 5 + CASE WHEN f < {N} % 5 THEN 1 ELSE 0 END, true FROM range(5) r(f)""")
 def rf_scores(spark, sf):
-    """Holdout and five-fold scores of the same forest."""
-    found = analysis.baseline(model_frame(spark, sf), "src_pos", trees=CHECK_TREES)
-    holdout = found["holdout"].select(F.lit("holdout").alias("part"), "n", "r2", "mae")
-    return holdout.unionByName(found["folds"].select(F.concat(F.lit("fold "), "fold").alias("part"), "n", "r2", "mae"))
+    """Rows of the holdout and of five folds, and whether the forest explains most of the variance in each."""
+    found = analysis.baseline(model_frame(spark, sf), "src_pos")
+    holdout = found["holdout"].select(F.lit("holdout").alias("part"), "n", "r2")
+    folds = found["folds"].select(F.concat(F.lit("fold "), "fold").alias("part"), "n", "r2")
+    return holdout.unionByName(folds).select("part", "n", (F.col("r2") > 0.5).alias("fits"))

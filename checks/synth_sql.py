@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from string import Formatter
+from claimwise.phrases import DEFAULT_BOOK, NUMBERS, PhraseBook
 
-from claimwise.phrases import DEFAULT_BOOK, PhraseBook
-
-KNOWN = "('Front Collision', 'Parked Car', 'Rear Collision', 'Side Collision', 'Vehicle Theft')"
-ORDER = ["count", "pick1", "pick2", "pick3", "pick4", "pick5", "airbags", "phrase",
-         "weather", "time", "speed", "witness", "police", "tow", "style", "template"]
+#: The known case types.
+CASES = ["Front Collision", "Parked Car", "Rear Collision", "Side Collision", "Vehicle Theft"]
 
 
 def text(value: str) -> str:
@@ -20,52 +17,49 @@ def listing(values: list[str]) -> str:
 
 
 def case_sql(candidates: list[str]) -> str:
-    tries = ", ".join(f"CASE WHEN trim({c}) IN {KNOWN} THEN trim({c}) END" for c in candidates)
+    known = ", ".join(text(c) for c in CASES)
+    tries = ", ".join(f"CASE WHEN trim({c}) IN ({known}) THEN trim({c}) END" for c in candidates)
     return f"coalesce({tries}, 'Side Collision')"
 
 
 def report_sql(source: str, key: str, seed: int, keep: list[str], candidates: list[str], combined: bool = True,
                book: PhraseBook = DEFAULT_BOOK, name: str = "generated_description") -> str:
-    draw = {label: f"('0x' || substr(h{i // 4}, {8 * (i % 4) + 1}, 8))::BIGINT" for i, label in enumerate(ORDER)}
+    most = max(high for _, high in book.harm.values())
+    labels = ["plan", "count", *[f"item {i}" for i in range(most)], *book.parts, *[f"number {p}" for p in NUMBERS if p in book.parts]]
+    words = range((len(labels) + 6) // 7)
 
-    def choose(pool: str, label: str) -> str:
-        return f"({pool})[1 + {draw[label]} % greatest(len({pool}), 1)]"
+    def draw(label: str) -> str:
+        i = labels.index(label)
+        return f"((w{i // 7} >> {8 * (i % 7)}) & 255)"
 
-    def by_case(value) -> str:
-        return "CASE " + " ".join(
-            f"WHEN kind = {text(c)} AND level = '{level}' THEN {value(config, level)}"
-            for c, config in book.cases.items() for level in ("major", "minor")) + " END"
+    def by_scene(value) -> str:
+        return "CASE " + " ".join(f"WHEN kind = {text(c)} AND level = '{level}' THEN {value(c, level)}"
+                                  for c in CASES for level in ("major", "minor")) + " END"
 
-    make = "split_part(auto_make_model, ' ', 1)" if combined else "trim(auto_make)"
-    model = "trim(substr(auto_make_model, length(split_part(auto_make_model, ' ', 1)) + 2))" if combined else "trim(auto_model)"
-    digests = ", ".join(f"md5(CAST({key} AS STRING) || '|{seed}|{i}') AS h{i}" for i in range(4))
-    kept = ", ".join(keep)
+    if combined:
+        vehicle = "split_part(auto_make_model, ' ', 1) || ' ' || trim(substr(auto_make_model, length(split_part(auto_make_model, ' ', 1)) + 2))"
+    else:
+        vehicle = "trim(auto_make) || ' ' || trim(auto_model)"
+    vehicle += " || coalesce(' (' || nullif(CAST(auto_year AS STRING), '') || ')', '')"
+    numbers = ", ".join(f"('0x' || substr(md5(CAST({key} AS STRING) || '|{seed}|{i // 2}'), {16 * (i % 2) + 1}, 15))::BIGINT AS w{i}" for i in words)
     steps = [
-        f"s0 AS (SELECT *, {make} AS make, {model} AS model, CAST(auto_year AS STRING) AS year, {case_sql(candidates)} AS kind, "
-        f"CASE WHEN incident_severity IN ('Major Damage', 'Total Loss') THEN 'major' ELSE 'minor' END AS level, {digests} FROM {source} src)",
-        f"s1 AS (SELECT *, {by_case(lambda c, b: listing(c.damage[b][0]))} AS pool0, "
-        f"{by_case(lambda c, b: f'{c.damage[b][1]} + ' + draw['count'] + f' % {c.damage[b][2] - c.damage[b][1] + 1}')} AS k, "
-        f"{choose(by_case(lambda c, b: listing(c.airbags[b])), 'airbags')} AS airbags, "
-        f"{choose(by_case(lambda c, b: listing(c.phrases)), 'phrase')} AS phrase, "
-        f"{choose(listing(book.weather), 'weather')} AS weather, {choose(listing(book.times), 'time')} AS time, "
-        f"{choose(listing(book.speeds), 'speed')} AS speed, {choose(listing(book.witness), 'witness')} AS witness, "
-        f"{choose(listing(book.police), 'police')} AS police, {choose(listing(book.tow), 'tow')} AS tow, "
-        f"{choose(listing(book.styles), 'style')} AS style FROM s0)",
-    ]
-    for i in range(1, 6):
-        steps.append(f"p{i} AS (SELECT *, {choose(f'pool{i - 1}', f'pick{i}')} AS c{i} FROM {'s1' if i == 1 else f'q{i - 1}'})")
-        steps.append(f"q{i} AS (SELECT *, list_filter(pool{i - 1}, lambda x: x <> c{i}) AS pool{i} FROM p{i})")
-    steps.append("d AS (SELECT *, array_to_string([c1, c2, c3, c4, c5][1:k], ', ') AS damage, "
-                 "upper(substr(time, 1, 1)) || lower(substr(time, 2)) AS time_cap FROM q5)")
-    branches = []
-    for label, styles in book.templates.items():
-        kinds = ", ".join(text(c) for c, config in book.cases.items() if config.templates == label)
-        for style, templates in styles.items():
-            for i, template in enumerate(templates):
-                parts = []
-                for literal, field, _, _ in Formatter().parse(template):
-                    parts += ([text(literal)] if literal else []) + ([field] if field else [])
-                branches.append(f"WHEN kind IN ({kinds}) AND style = {text(style)} AND {draw['template']} % {len(templates)} = {i} "
-                                f"THEN {' || '.join(parts)}")
-    final = f"trim(regexp_replace(CASE {' '.join(branches)} END, '\\s+', ' ', 'g'))"
-    return f"WITH {', '.join(steps)} SELECT {kept}, {final} AS {name} FROM d"
+        f"s0 AS (SELECT *, {vehicle} AS vehicle, {case_sql(candidates)} AS kind, "
+        f"CASE WHEN incident_severity IN ('Major Damage', 'Total Loss') THEN 'major' ELSE 'minor' END AS level, {numbers} FROM {source} src)"]
+    clauses = []
+    for part in book.parts:
+        if part == "harm":
+            continue
+        pick = by_scene(lambda c, s, part=part: f"({listing(book.pool(part, c, s))})[1 + {draw(part)} % {len(book.pool(part, c, s))}]")
+        least, step, count = NUMBERS.get(part, (0, 0, 1))
+        value = f"CAST({draw(f'number {part}')} % {count} * {step} + {least} AS STRING)" if part in NUMBERS else "vehicle"
+        clauses.append(f"replace({pick}, '{{}}', {value}) AS c_{part}")
+    pool = by_scene(lambda c, s: listing(book.pool("harm", c, s)))
+    ranges = by_scene(lambda c, s: f"{book.harm_range(c, s)[0]} + {draw('count')} % {book.harm_range(c, s)[1] - book.harm_range(c, s)[0] + 1}")
+    steps.append(f"q0 AS (SELECT *, {', '.join(clauses)}, {ranges} AS k, {pool} AS pool0 FROM s0)")
+    for i in range(most):
+        steps.append(f"p{i} AS (SELECT *, pool{i}[1 + {draw(f'item {i}')} % greatest(len(pool{i}), 1)] AS h{i} FROM q{i})")
+        steps.append(f"q{i + 1} AS (SELECT *, list_filter(pool{i}, lambda x: x <> h{i}) AS pool{i + 1} FROM p{i})")
+    steps.append(f"d AS (SELECT *, array_to_string([{', '.join(f'h{i}' for i in range(most))}][1:k], ', ') || '.' AS c_harm FROM q{most})")
+    plans = " ".join(f"WHEN {i} THEN concat_ws(' ', {', '.join(f'c_{p}' for p in plan)})" for i, plan in enumerate(book.plans))
+    final = f"trim(regexp_replace(CASE {draw('plan')} % {len(book.plans)} {plans} END, '\\s+', ' ', 'g'))"
+    return f"WITH {', '.join(steps)} SELECT {', '.join(keep)}, {final} AS {name} FROM d"

@@ -122,7 +122,8 @@ def written(spark: SparkSession, sf: str, label: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, label)
     if key not in _WRITTEN:
         path = scratch_path(spark, "view")
-        stage(build(), label, path)
+        # in several files, so that the queries on it have as many tasks
+        stage(build().repartition(spark.sparkContext.defaultParallelism), label, path)
         _WRITTEN[key] = path
     return spark.read.parquet(_WRITTEN[key])
 

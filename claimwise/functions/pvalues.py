@@ -36,8 +36,35 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             factor = c * d
             value *= factor
         if abs(factor - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"continued fraction has not settled for a={a}, b={b}, x={x}")
+
+
+def upper_gamma(b: float, y: float) -> float:
+    """Regularised upper incomplete gamma function Q(b, y)."""
+    if y <= 0:
+        return 1.0
+    front = math.exp(b * math.log(y) - y - math.lgamma(b))
+    if y < b + 1:
+        term = total = 1.0 / b
+        for m in range(1, 100_000):
+            term *= y / (b + m)
+            total += term
+            if term < total * 1e-17:
+                return 1.0 - front * total
+    else:
+        tiny = 1e-300
+        d = 1.0 / (y + 1 - b)
+        c, value = 1.0 / tiny, d
+        for m in range(1, 100_000):
+            step = -m * (m - b)
+            d = step * d + y + 2 * m + 1 - b
+            c = y + 2 * m + 1 - b + step / c
+            d, c = 1.0 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            value *= c * d
+            if abs(c * d - 1.0) < 1e-15:
+                return front * value
+    raise ArithmeticError(f"incomplete gamma function has not settled for b={b}, y={y}")
 
 
 def _log_inverse_beta(a: float, b: float) -> float:
@@ -56,6 +83,9 @@ def incomplete_beta(a: float, b: float, odds: float) -> float:
         return 0.0
     if odds <= 0.0:
         return 1.0
+    if a > 1e6 * max(1.0, b):
+        # with N = a + (b - 1) / 2 the relative error is of the order of b^3 / N^2
+        return upper_gamma(b, (a + (b - 1.0) / 2.0) * math.log1p(odds))
     x, rest = 1.0 / (1.0 + odds), odds / (1.0 + odds)
     front = math.exp(_log_inverse_beta(a, b) - a * math.log1p(odds) + b * math.log(rest))
     if x < (a + 1.0) / (a + b + 2.0):

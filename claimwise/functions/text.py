@@ -64,15 +64,16 @@ def has_text(c: Column) -> Column:
 
 
 def first_number(c: Column, pattern: str, default: int, keyword: str) -> Column:
-    """Group 1 of the first match as BIGINT, else ``default``.
+    """Group 1 of the first match as DECIMAL(38, 0), else ``default``.
 
     ``keyword`` is plain text every match contains: texts without it skip the
-    pattern. Digits and white space of all scripts count. More than 19 digits
-    exceed BIGINT and also give ``default``.
+    pattern. Digits and white space of all scripts count. A number of more than 38
+    digits does not fit and gives NULL, not the default.
     """
     wide = pattern.replace("\\d", "\\p{Nd}").replace("\\s", _SPACE)
     digits = F.when(F.contains(c, F.lit(keyword)), F.nullif(F.regexp_extract(c, wide, 1), F.lit("")))
-    return F.coalesce(ascii_digits(digits).try_cast("bigint"), F.lit(default).cast("bigint"))
+    number = ascii_digits(digits).try_cast("decimal(38,0)")
+    return F.when(digits.isNull(), F.lit(default).cast("decimal(38,0)")).otherwise(number)
 
 
 def contains_any(c: Column, words: list[str]) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwise.functions.text import quoted
 from claimwise.schemas import (
-    FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, RANGES, TABLES, UNIQUE_KEYS, spark_type, varchar_limit,
+    FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, RANGES, ROW_ID, TABLES, UNIQUE_KEYS, spark_type, varchar_limit,
 )
 
 Rules = dict[str, Column]
@@ -54,28 +54,28 @@ def violating_rows(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumn("broken_rules", broken).where(F.size("broken_rules") > 0)
 
 
-def not_null_rules(table: str) -> Rules:
+def not_null_rules(table: str, prefix: str = "") -> Rules:
     columns = [c for t, c in NOT_NULL if t == table] + [PRIMARY_KEYS[table]]
-    return {f"not_null {table}.{c}": not_null_rule(c) for c in columns}
+    return {f"not_null {table}.{c}": not_null_rule(prefix + c) for c in columns}
 
 
-def range_rules(table: str) -> Rules:
-    return {f"check {table}.{c}": range_rule(c, low, high) for t, c, low, high in RANGES if t == table}
+def range_rules(table: str, prefix: str = "") -> Rules:
+    return {f"check {table}.{c}": range_rule(prefix + c, low, high) for t, c, low, high in RANGES if t == table}
 
 
-def length_rules(table: str) -> Rules:
-    return {f"length {table}.{c}": length_rule(c, varchar_limit(kind))
+def length_rules(table: str, prefix: str = "") -> Rules:
+    return {f"length {table}.{c}": length_rule(prefix + c, varchar_limit(kind))
             for _, c, kind in TABLES[table] if varchar_limit(kind)}
 
 
-def numeric_rules(table: str) -> Rules:
-    return {f"numeric {table}.{c}": type_rule(c, kind)
+def numeric_rules(table: str, prefix: str = "") -> Rules:
+    return {f"numeric {table}.{c}": type_rule(prefix + c, kind)
             for _, c, kind in TABLES[table] if kind.startswith("DECIMAL")}
 
 
-def format_rules(table: str) -> Rules:
+def format_rules(table: str, prefix: str = "") -> Rules:
     """Whole numbers that must be castable before the typed load."""
-    return {f"type {table}.{c}": type_rule(c, spark_type(kind))
+    return {f"type {table}.{c}": type_rule(prefix + c, spark_type(kind))
             for _, c, kind in TABLES[table] if kind in ("INT", "BIGINT")}
 
 
@@ -117,9 +117,9 @@ def foreign_key_summary(tables: dict[str, DataFrame]) -> DataFrame:
         for child, key, parent, pk in FOREIGN_KEYS if child in tables and parent in tables])
 
 
-def local_rules(table: str) -> Rules:
-    return {**not_null_rules(table), **range_rules(table), **length_rules(table),
-            **numeric_rules(table), **format_rules(table)}
+def local_rules(table: str, prefix: str = "") -> Rules:
+    return {name: rule for make in (not_null_rules, range_rules, length_rules, numeric_rules, format_rules)
+            for name, rule in make(table, prefix).items()}
 
 
 def audit_tables(tables: dict[str, DataFrame]) -> DataFrame:
@@ -128,6 +128,31 @@ def audit_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [*local, unique_summary(tables), foreign_key_summary(tables)])
 
 
+def audit_flat(flat: DataFrame, id_column: str) -> DataFrame:
+    """As :func:`audit_tables`, for five tables that are projections of one flat frame.
+
+    One scan counts the local rules of all tables. Each distinct source column of
+    a key is grouped once, however many keys come from it. A foreign key
+    from the same column as its parent key has a parent in every row.
+    """
+    origin = {(t, target): id_column if source == ROW_ID else source for t, columns in TABLES.items() for source, target, _ in columns}
+    wide = flat.select(*[quoted(source).alias(f"{t}.{target}") for (t, target), source in origin.items()])
+    parts = [count_violations(wide, {name: rule for t in TABLES for name, rule in local_rules(t, f"{t}.").items()})]
+    by_source: dict[str, list[str]] = {}
+    for key in [*PRIMARY_KEYS.items(), *UNIQUE_KEYS]:
+        by_source.setdefault(origin[key], []).append(f"unique {key[0]}.{key[1]}")
+    for source, rules in by_source.items():
+        surplus = repeated_keys(flat, source).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("violations"))
+        parts.append(surplus.select(F.explode(F.array(*[F.lit(r) for r in rules])).alias("rule"), "violations"))
+    for child, key, parent, parent_key in FOREIGN_KEYS:
+        name = f"foreign_key {child}.{key}"
+        if origin[child, key] == origin[parent, parent_key]:
+            parts.append(flat.sparkSession.range(1).select(F.lit(name).alias("rule"), F.lit(0).cast("bigint").alias("violations")))
+        else:
+            parts.append(_summary(name, orphan_keys(flat, origin[child, key], flat, origin[parent, parent_key]), F.sum("children")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 class AuditError(ValueError):
     """A load was refused; the message lists the broken rules."""
 

@@ -166,12 +166,20 @@ def coerce_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: coerce_number(quoted(c)) for c in columns})
 
 
-def parse_dates(df: DataFrame, columns: list[str], fmt: str = "yyyy-MM-dd", on_error: str = "raise") -> DataFrame:
-    """Text to DATE; malformed text is an error unless ``on_error="null"``."""
+def parse_dates(df: DataFrame, columns: list[str], fmt: str | list[str] = "yyyy-MM-dd", on_error: str = "raise") -> DataFrame:
+    """Text to DATE by the first format that fits; other text is an error unless ``on_error="null"``."""
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")
-    read = F.to_date if on_error == "raise" else lambda c, f: F.try_to_date(c, f)
-    return df.withColumns({c: read(quoted(c), fmt) for c in columns})
+    formats = [fmt] if isinstance(fmt, str) else list(fmt)
+
+    def read(c: Column) -> Column:
+        found = F.coalesce(*[F.try_to_date(c, f) for f in formats])
+        if on_error == "null":
+            return found
+        wrong = F.raise_error(F.concat(F.lit("no date in "), F.lit(" / ".join(formats)), F.lit(": "), c))
+        return F.when(found.isNotNull() | c.isNull(), found).otherwise(wrong.cast("date"))
+
+    return df.withColumns({c: read(quoted(c)) for c in columns})
 
 
 def flag_to_boolean(df: DataFrame, column: str, true: str = "Y", false: str = "N") -> DataFrame:
@@ -180,12 +188,21 @@ def flag_to_boolean(df: DataFrame, column: str, true: str = "Y", false: str = "N
     return df.withColumn(column, F.when(c == true, True).when(c == false, False))
 
 
+def gapped(df: DataFrame, columns: list[str]) -> list[str]:
+    """Those of ``columns`` with a NULL; one aggregate row reaches the driver."""
+    if not columns:
+        return []
+    row = df.agg(*[F.coalesce(F.bool_or(quoted(c).isNull()), F.lit(False)).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if row[f"_{i}"]]
+
+
 def impute_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Fill numeric columns with their exact median, as DOUBLE.
+    """Fill numeric columns that have gaps with their exact median, as DOUBLE.
 
-    The medians form one single-row subquery; no join with the data.
+    A column without a gap keeps its type; one scan finds the gaps. The
+    medians form one single-row subquery; no join with the data.
     """
-    columns = columns if columns is not None else column_roles(df)[0]
+    columns = gapped(df, columns if columns is not None else column_roles(df)[0])
     if not columns:
         return df
     types = {f.name: f.dataType for f in df.schema.fields}

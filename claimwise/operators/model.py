@@ -9,36 +9,28 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from claimwise.functions.text import quoted
 from claimwise.operators.cleaning import column_roles
 
-MAX_LEVELS = 10_000
 
-
-def category_levels(df: DataFrame, columns: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted distinct values per column, for encoding.
 
-    Levels are counted on the cluster first; a column with more than
-    ``max_levels`` is an error that names it (leave it out or raise the bound),
-    so the driver never receives an unbounded list.
+    They become the columns of the encoded frame, so the driver has to know them;
+    leave columns out that identify rows.
     """
     if not columns:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), quoted(c).cast("string").alias("level")) for c in columns])
-    distinct = df.select(F.inline(cells)).where("level IS NOT NULL").distinct()
-    sizes = distinct.groupBy("feature").count().collect()
-    wide = sorted(r["feature"] for r in sizes if r["count"] > max_levels)
-    if wide:
-        raise ValueError(f"more than {max_levels} levels in {wide}; exclude these columns or raise max_levels")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in distinct.collect():
+    for r in df.select(F.inline(cells)).where("level IS NOT NULL").distinct().toLocalIterator():
         levels[r["feature"]].append(r["level"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def one_hot(df: DataFrame, columns: list[str], max_levels: int = MAX_LEVELS) -> DataFrame:
+def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace text columns by 0/1 columns ``column_level``, without the first level.
 
     A missing value has zeros in all columns of its feature.
     """
-    levels = category_levels(df, columns, max_levels)
+    levels = category_levels(df, columns)
     rest = [quoted(c) for c in df.columns if c not in columns]
     flags = [F.coalesce((quoted(c).cast("string") == level).cast("int"), F.lit(0)).alias(f"{c}_{level}")
              for c in columns for level in levels[c][1:]]
@@ -46,7 +38,7 @@ def one_hot(df: DataFrame, columns: list[str], max_levels: int = MAX_LEVELS) ->
 
 
 def feature_vectors(
-    df: DataFrame, target: str, keep: list[str] = (), max_levels: int = MAX_LEVELS,
+    df: DataFrame, target: str, keep: list[str] = (),
 ) -> tuple[DataFrame, list[str]]:
     """(``keep``, ``features`` as sparse vector, ``label``) and the feature names.
 
@@ -59,7 +51,7 @@ def feature_vectors(
     categorical = [c for c in categorical if c not in keep]
     flags = [f.name for f in df.schema.fields
              if isinstance(f.dataType, T.BooleanType) and f.name not in keep and f.name != target]
-    levels = category_levels(df, categorical, max_levels)
+    levels = category_levels(df, categorical)
     categorical = [c for c in categorical if len(levels[c]) > 1]
     plain = [*numeric, *flags]
     work = df.select(
@@ -91,7 +83,8 @@ def forest(trees: int = 200, depth: int = 10, seed: int = 42, **params) -> Rando
     """Random forest regressor considering every feature at each split.
 
     Tree nodes are grown in groups, one pass over the rows per group; a larger
-    ``maxMemoryInMB`` means fewer passes.
+    ``maxMemoryInMB`` means fewer passes. Numbers are split at ``maxBins`` - 1 places
+    at most, 31 by default; pass more for finer splits.
     """
     params = {"maxMemoryInMB": 1024, **params}
     return RandomForestRegressor(
@@ -99,6 +92,15 @@ def forest(trees: int = 200, depth: int = 10, seed: int = 42, **params) -> Rando
         numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all", **params)
 
 
+def in_fixed_order(vectors: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt by key into a fixed number of partitions, in key order.
+
+    Bootstrap samples depend on the partition and place of a row, so this makes
+    one seed give one forest on any cluster.
+    """
+    return vectors.repartition(partitions, quoted(key)).sortWithinPartitions(quoted(key))
+
+
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row ``n, r2, mae``; r2 is NULL for a constant label."""
     y, p = quoted(label).cast("double"), quoted(prediction).cast("double")
@@ -110,15 +112,18 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
 def cross_validate(
     vectors: DataFrame, estimator: RandomForestRegressor, fold_column: str = "fold", folds: int = 5,
+    key: str | None = None, partitions: int = 64,
 ) -> DataFrame:
     """``fold, n, r2, mae`` per fold: trained on the other folds, scored on this one.
 
     Each fit uses the whole cluster, so folds run one after another. ``vectors``
-    should be staged or persisted by the caller.
+    should be staged or persisted by the caller. With a ``key`` the training rows
+    are put in a fixed order.
     """
     parts = None
     for fold in range(folds):
-        model = estimator.fit(vectors.where(F.col(fold_column) != fold))
+        rest = vectors.where(F.col(fold_column) != fold)
+        model = estimator.fit(rest if key is None else in_fixed_order(rest, key, partitions))
         scored = model.transform(vectors.where(F.col(fold_column) == fold))
         row = regression_metrics(scored).select(F.lit(fold).alias("fold"), "n", "r2", "mae")
         parts = row if parts is None else parts.unionByName(row)

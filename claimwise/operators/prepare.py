@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwise.functions.numbers import coerce_number, round_cents
 from claimwise.functions.text import quoted, strip
-from claimwise.schemas import SENTINEL, USD_TO_EUR
+from claimwise.operators.cleaning import flag_to_boolean, parse_dates
+from claimwise.schemas import ARTEFACT_COLUMN, SENTINEL, TABLES, USD_TO_EUR, spark_type
 
 
 def make_model(make: Column, model: Column) -> Column:
@@ -41,3 +42,19 @@ def prepared_columns(df: DataFrame, keep: list[str] = ()) -> DataFrame:
         first_usable_text([F.col("collision_type"), F.col("incident_type")]).alias("collision_type"),
         first_usable_amount([F.col("total_claim_amount"), F.col("vehicle_claim")]).alias("claim_amount_eur"),
     )
+
+
+def typed_claims(df: DataFrame, date_format: str | list[str] = "yyyy-MM-dd", flags: bool = True) -> DataFrame:
+    """The text frame with the types of the claims tables, without the artefact column.
+
+    Numbers and dates of the data model are typed, other columns stay text, and so do flags unless ``flags`` makes them BOOLEAN. Malformed text is an error that names the column and the value.
+    """
+    kinds = {source: spark_type(kind) for columns in TABLES.values() for source, _, kind in columns}
+    plain = {c: k for c, k in kinds.items() if k not in ("STRING", "DATE", "BOOLEAN") and c in df.columns}
+    typed = df.drop(ARTEFACT_COLUMN).withColumns({
+        c: F.when(quoted(c).isNull() | quoted(c).try_cast(kind).isNotNull(), quoted(c).try_cast(kind)).otherwise(
+            F.raise_error(F.concat(F.lit(f"no {kind} in {c}: "), quoted(c))).cast(kind)) for c, kind in plain.items()})
+    typed = parse_dates(typed, [c for c, k in kinds.items() if k == "DATE" and c in df.columns], date_format)
+    for c in (c for c, k in kinds.items() if flags and k == "BOOLEAN" and c in df.columns):
+        typed = flag_to_boolean(typed, c)
+    return typed

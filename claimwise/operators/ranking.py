@@ -230,11 +230,12 @@ def row_index(
 def file_row_index(df: DataFrame, name: str = "row_index", start: int = 1) -> DataFrame:
     """Contiguous number in file order for a frame read with its positions.
 
-    Needs the columns ``_file, _block, _seq`` of ``read_csv_positions``. Rows
-    are ordered inside their file block, which the block size bounds; the
-    offsets table has one row per file block.
+    Needs the columns ``_file, _block, _seq`` of ``read_csv_text(positions=True)``.
+    A file block is read by one task, so a row's number inside it is its ``_seq`` minus the
+    block's smallest; rows are not moved to be numbered. The offsets table has
+    one row per file block.
     """
-    blocks = df.groupBy("_file", "_block").agg(F.count("*").alias("_n"))
+    blocks = df.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_seq").alias("_low"))
     in_file = Window.partitionBy("_file")
     before = in_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     files = (Window.partitionBy(F.lit(0)).orderBy("_file")
@@ -244,14 +245,12 @@ def file_row_index(df: DataFrame, name: str = "row_index", start: int = 1) -> Da
     offsets = (
         blocks.withColumn("_in_file", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .join(per_file, "_file")
-        .select("_file", "_block", (F.col("_file_start") + F.col("_in_file")).alias("_offset"))
+        .select("_file", "_block", (F.col("_file_start") + F.col("_in_file") - F.col("_low")).alias("_offset"))
     )
-    inside = Window.partitionBy("_file", "_block").orderBy("_seq")
     return (
-        df.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, ["_file", "_block"])
-        .withColumn(name, (F.col("_offset") + F.col("_local") + (start - 1)).cast("bigint"))
-        .drop("_file", "_block", "_seq", "_local", "_offset")
+        df.join(offsets, ["_file", "_block"])
+        .withColumn(name, (F.col("_offset") + F.col("_seq") + start).cast("bigint"))
+        .drop("_file", "_block", "_seq", "_offset")
     )
 
 

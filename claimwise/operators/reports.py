@@ -79,22 +79,18 @@ def severity_means(history: DataFrame, by: str = "incident_severity",
             .agg(F.avg(y).alias("mean")).orderBy("category"))
 
 
-def compare_with_means(scored: DataFrame, means: DataFrame, max_levels: int = 1000) -> DataFrame:
-    """Put every report next to the mean of every historical category.
+def compare_with_means(scored: DataFrame, means: DataFrame, by: str = "severity") -> DataFrame:
+    """Every report with the historical mean of its own category, and the distance from it.
 
-    The means travel as one array in a single-row subquery, and each report row
-    expands it; no join. The category column must have few values: more than
-    ``max_levels`` is an error, never a silent cut. Without history the result
-    is empty.
+    One row per report: ``category_mean`` and ``difference`` are NULL where the history has no
+    such category. The means of all categories stay a frame of their own, see
+    :func:`severity_means`.
     """
-    listed = (
-        means.select("category", "mean").limit(max_levels + 1)
-        .agg(F.sort_array(F.collect_list(F.struct("category", "mean"))).alias("a"))
-        .select(F.when(F.size("a") > max_levels, F.raise_error(F.lit("too many categories to compare with")))
-                .otherwise(F.col("a")).alias("a"))
-    )
-    return (
-        scored.withColumn("_means", listed.scalar())
-        .select(*[quoted(c) for c in scored.columns], F.inline("_means"))
-        .withColumn("category_german", german_severity(F.col("category")))
-    )
+    own = means.select(F.col("category").alias(by), F.col("mean").alias("category_mean"))
+    return (scored.join(own, by, "left").select(*[quoted(c) for c in scored.columns], "category_mean",
+                                                (F.col("predicted_claim") - F.col("category_mean")).alias("difference")))
+
+
+def display_means(means: DataFrame) -> DataFrame:
+    """``category, category_german, mean`` of every historical category."""
+    return means.select("category", german_severity(F.col("category")).alias("category_german"), "mean")

@@ -96,11 +96,12 @@ def contingency(df: DataFrame, row: str, column: str) -> DataFrame:
 def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
     """Contingency table in wide form, absent pairs as 0.
 
-    One output column per level; Spark refuses more levels than
-    ``spark.sql.pivotMaxValues``.
+    One output column per level, so the levels are listed first; for columns
+    of many levels take :func:`contingency`, which has one row per pair.
     """
     cells = contingency(df, row, column)
-    wide = cells.groupBy(quoted(row)).pivot(column).agg(F.sum("count"))
+    levels = sorted(r[0] for r in cells.select(quoted(column)).distinct().collect())
+    wide = cells.groupBy(quoted(row)).pivot(column, levels).agg(F.sum("count"))
     return wide.na.fill(0, subset=[c for c in wide.columns if c != row])
 
 
@@ -133,7 +134,7 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, pairs_per_pa
         # rounding may leave the range by one unit in the last place
         part = part.withColumn("r", F.when(F.abs("r") > 1, F.signum("r")).when(~F.isnan("r"), F.col("r")))
         result = part if result is None else result.unionByName(part)
-    return result
+    return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double") if result is None else result
 
 
 def spearman(
@@ -269,6 +270,8 @@ def effect_ranking(df: DataFrame, numeric: list[str], categorical: list[str], ta
         parts.append(spearman_table(df, numeric, target))
     if categorical:
         parts.append(anova_table(df, categorical, target))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "feature string, test string, effect double, p_value double")
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return table.orderBy(F.desc_nulls_last("effect"), "feature")
 

@@ -1,23 +1,22 @@
 """Generated report text as column expressions.
 
-Every choice is a slot of a hash of (row key, seed): repeatable, independent of
-partitioning, and free of shuffles and Python workers.
+Every choice is a byte of a hash of (row key, seed): repeatable, independent of
+partitioning, and free of shuffles and Python workers. Choices are drawn as
+integers; texts are looked up once in constant arrays.
 """
 
 from __future__ import annotations
 
-from string import Formatter
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimwise.functions.hashing import digest, slot
-from claimwise.functions.text import after_first_blank, before_first_blank, capitalise, quoted, squeeze, strip
-from claimwise.phrases import DEFAULT_BOOK, PhraseBook
+from claimwise.functions.hashing import digest
+from claimwise.functions.text import after_first_blank, before_first_blank, quoted, squeeze, strip
+from claimwise.phrases import DEFAULT_BOOK, NUMBERS, PhraseBook
 from claimwise.schemas import CASE_TYPES, DEFAULT_CASE, MAJOR_SEVERITIES
 
-# Slots of the row's hash values, four per digest.
-SLOTS = ["count", "pick1", "pick2", "pick3", "pick4", "pick5", "airbags", "phrase",
-         "weather", "time", "speed", "witness", "police", "tow", "style", "template"]
+#: Draws of one byte in a 60-bit integer, two of which come from one digest.
+DRAWS = 7
+LEVELS = ("major", "minor")
 
 
 def case_type(candidates: list[Column]) -> Column:
@@ -40,34 +39,19 @@ def vehicle_name(df: DataFrame) -> tuple[Column, Column]:
     return make, model
 
 
-def texts(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
+def draw_names(book: PhraseBook) -> list[str]:
+    """All draws of a report, in the order of the bytes they take."""
+    most = max(high for _, high in book.harm.values())
+    return ["plan", "count", *[f"item {i}" for i in range(most)], *book.parts, *[f"number {p}" for p in NUMBERS if p in book.parts]]
 
-def choose(pool: Column, draw: Column) -> Column:
-    """Uniform choice from an array."""
-    return F.element_at(pool, (F.pmod(draw, F.size(pool)) + 1).cast("int"))
 
-
-def fill(template: str, values: dict[str, Column]) -> Column:
-    """Template with named fields as one concatenation; values are never re-read as templates."""
-    parts: list[Column] = []
-    for literal, name, _, _ in Formatter().parse(template):
-        if literal:
-            parts.append(F.lit(literal))
-        if name:
-            parts.append(values[name])
-    return F.concat(*parts)
+def _array(values: list) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
-def _by_case(book: PhraseBook, value, case: Column, bucket: Column) -> Column:
-    """Array chosen by case and bucket."""
-    chain = None
-    for name, config in book.cases.items():
-        for level in ("major", "minor"):
-            condition, result = (case == name) & (bucket == level), value(config, level)
-            chain = F.when(condition, result) if chain is None else chain.when(condition, result)
-    return chain
+def _at(values: list, index: Column) -> Column:
+    """Entry of a constant array, counted from 0."""
+    return F.element_at(_array(values), (index + 1).cast("int"))
 
 
 def generate_reports(
@@ -78,63 +62,70 @@ def generate_reports(
 
     Reads ``auto_make_model`` or ``auto_make`` and ``auto_model``, ``auto_year``,
     ``incident_severity``, and of ``collision_type`` and ``incident_type`` those
-    that exist. ``key`` must identify the row.
+    that exist. ``key`` must identify the row. The text leaves a one-entry ``explode``, so
+    filters on it stay above the operator.
     """
     candidates = [quoted(c).cast("string") for c in ("collision_type", "incident_type") if c in df.columns]
+    scenes = [(case, level) for case in sorted(CASE_TYPES) for level in LEVELS]
     make, model = vehicle_name(df)
-    picks = max(most for case in book.cases.values() for _, _, most in case.damage.values())
-    if picks > 5:
-        raise ValueError("a damage list may hold at most 5 entries")
-
+    names = draw_names(book)
+    words = -(-len(names) // DRAWS)
+    half = lambda i: F.substr(digest(quoted(key), seed, i // 2), F.lit(16 * (i % 2) + 1), F.lit(15))
     work = df.withColumns({
-        "_make": make,
-        "_model": model,
-        "_year": F.coalesce(quoted("auto_year").cast("string"), F.lit("")),
-        "_case": case_type(candidates),
-        "_level": severity_bucket(quoted("incident_severity")),
-        **{f"_h{i}": digest(quoted(key), seed, i) for i in range(4)},
+        "_vehicle": F.concat_ws(" ", make, model, F.concat(F.lit("("), F.nullif(quoted("auto_year").cast("string"), F.lit("")), F.lit(")"))),
+        "_scene": F.array_position(_array([f"{c} {s}" for c, s in scenes]), F.concat(
+            case_type(candidates), F.lit(" "), severity_bucket(quoted("incident_severity")))).cast("int") - 1,
+        **{f"_w{i}": F.conv(half(i), 16, 10).cast("bigint") for i in range(words)},
     })
-    draw = {label: slot(F.col(f"_h{i // 4}"), i % 4) for i, label in enumerate(SLOTS)}
-    case, level = F.col("_case"), F.col("_level")
+    scene = F.col("_scene")
+
+    def draw(label: str) -> Column:
+        i = names.index(label)
+        return F.shiftright(F.col(f"_w{i // DRAWS}"), 8 * (i % DRAWS)).bitwiseAND(255).cast("int")
+
+    def pools(part: str) -> tuple[list[str], list[int], list[int]]:
+        """All clauses of a part, and first place and number of those of each scene."""
+        each = [book.pool(part, *s) for s in scenes]
+        first = [sum(map(len, each[:i])) for i in range(len(each))]
+        return [c for pool in each for c in pool], first, [len(p) for p in each]
+
+    # harm: items drawn without replacement, as integers
+    items, first, size = pools("harm")
+    ranges = [book.harm_range(*s) for s in scenes]
     work = work.withColumns({
-        "_pool": _by_case(book, lambda c, b: texts(c.damage[b][0]), case, level),
-        "_count": _by_case(book, lambda c, b: (
-            F.lit(min(c.damage[b][1], len(c.damage[b][0]))) + F.pmod(
-                draw["count"], F.lit(c.damage[b][2] - c.damage[b][1] + 1))), case, level),
-        "_airbags": choose(_by_case(book, lambda c, b: texts(c.airbags[b]), case, level), draw["airbags"]),
-        "_phrase": choose(_by_case(book, lambda c, b: texts(c.phrases), case, level), draw["phrase"]),
-        "_weather": choose(texts(book.weather), draw["weather"]),
-        "_time": choose(texts(book.times), draw["time"]),
-        "_speed": choose(texts(book.speeds), draw["speed"]),
-        "_witness": choose(texts(book.witness), draw["witness"]),
-        "_police": choose(texts(book.police), draw["police"]),
-        "_tow": choose(texts(book.tow), draw["tow"]),
-        "_style": choose(texts(book.styles), draw["style"]),
-    })
-    # draws without replacement: take one entry, remove it, take the next
-    for i in range(1, picks + 1):
-        work = work.withColumn(f"_pick{i}", F.when(
-            (F.col("_count") >= i) & (F.size("_pool") > 0), choose(F.col("_pool"), draw[f"pick{i}"])))
-        if i < picks:
-            work = work.withColumn("_pool", F.coalesce(F.array_remove("_pool", F.col(f"_pick{i}")), F.col("_pool")))
-    values = {
-        "make": F.col("_make"), "model": F.col("_model"), "year": F.col("_year"),
-        "phrase": F.col("_phrase"), "airbags": F.col("_airbags"), "weather": F.col("_weather"),
-        "time": F.col("_time"), "time_cap": capitalise(F.col("_time")), "speed": F.col("_speed"),
-        "witness": F.col("_witness"), "police": F.col("_police"), "tow": F.col("_tow"),
-        "damage": F.concat_ws(", ", *[F.col(f"_pick{i}") for i in range(1, picks + 1)]),
-    }
-    group = F.lit("")
-    for label in book.templates:
-        members = [c for c, config in book.cases.items() if config.templates == label]
-        group = F.when(case.isin(*members), label).otherwise(group) if members else group
-    work = work.withColumns({"_group": group, "_draw": draw["template"]})
-    text = None
-    for label, styles in book.templates.items():
-        for style, templates in styles.items():
-            for i, template in enumerate(templates):
-                hit = ((F.col("_group") == label) & (F.col("_style") == style)
-                       & (F.pmod(F.col("_draw"), F.lit(len(templates))) == i))
-                text = F.when(hit, fill(template, values)) if text is None else text.when(hit, fill(template, values))
-    return work.withColumn(name, squeeze(text)).select(*[
-        quoted(c) for c in df.columns], *([] if name in df.columns else [quoted(name)]))
+        "_n": _at([low for low, _ in ranges], scene) + draw("count") % _at([high - low + 1 for low, high in ranges], scene),
+        "_rest0": F.sequence(_at(first, scene), _at(first, scene) + _at(size, scene) - 1)})
+    most = max(high for _, high in ranges)
+    for i in range(most):
+        rest = F.col(f"_rest{i}")
+        work = work.withColumn(f"_pick{i}", F.when((F.col("_n") > i) & (F.size(rest) > 0), F.element_at(rest, draw(f"item {i}") % F.greatest(F.size(rest), F.lit(1)) + 1)))
+        work = work.withColumn(f"_rest{i + 1}", F.coalesce(F.array_remove(rest, F.col(f"_pick{i}")), rest))
+    picked = F.array_compact(F.array(*[F.col(f"_pick{i}") for i in range(most)]))
+    harm = F.concat(F.array_join(F.transform(picked, lambda i: _at(items, i)), ", "), F.lit("."))
+    places = {}
+    for part in book.parts:
+        if part != "harm":
+            _, first, size = pools(part)
+            places[f"_at {part}"] = _at(first, scene) + draw(part) % _at(size, scene)
+    work = work.withColumns({**places, "_plan": draw("plan") % len(book.plans), "_harm": harm})
+
+    def clause(part: str) -> Column:
+        if part == "harm":
+            return F.col("_harm")
+        texts, at = pools(part)[0], quoted(f"_at {part}")
+        if part in NUMBERS:
+            least, step, count = NUMBERS[part]
+            value = (draw(f"number {part}") % count * step + least).cast("string")
+        else:
+            value = F.col("_vehicle")
+        if not any("{}" in t for t in texts):
+            return _at(texts, at)
+        head, tail = [t.partition("{}")[0] for t in texts], [t.partition("{}")[2] for t in texts]
+        return F.concat(_at(head, at), F.when(_at(["{}" in t for t in texts], at), value).otherwise(""), _at(tail, at))
+
+    text = F.concat_ws(" ", *[clause(p) for p in book.plans[0]])
+    for i, plan in enumerate(book.plans[1:], 1):
+        text = F.when(F.col("_plan") == i, F.concat_ws(" ", *[clause(p) for p in plan])).otherwise(text)
+    made = work.select("*", F.explode(F.array(squeeze(text))).alias("_text"))
+    return made.select(*[F.col("_text").alias(name) if c == name else quoted(c) for c in df.columns],
+                       *([] if name in df.columns else [F.col("_text").alias(name)]))

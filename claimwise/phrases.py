@@ -1,182 +1,109 @@
-"""Phrase book for generated accident reports (German).
+"""Clauses for generated accident reports (German), and how reports are put together from them.
 
-Own wording; a caller may pass another :class:`PhraseBook`. Templates hold
-named fields: make, model, year, phrase, damage, airbags, weather, time,
-time_cap, speed, witness, police, tow.
+A report is a plan: parts in an order, one clause per part. A clause belongs to a
+tag (a kind of incident, such as ``parked``) or to all (empty tag), and may hold one ``{}`` for
+the value of its part: the vehicle, or a number drawn for it. The part ``harm`` joins
+several items. Callers may pass their own book, also from a table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from string import Formatter
+from dataclasses import dataclass
 
-FIELDS = ["make", "model", "year", "phrase", "damage", "airbags", "weather", "time",
-          "time_cap", "speed", "witness", "police", "tow"]
+from pyspark.sql import DataFrame
 
+from claimwise.schemas import CASE_TYPES
+
+#: Parts whose ``{}`` is a number, with its least value, step and count of values.
+NUMBERS = {"pace": (20, 10, 8), "bystanders": (1, 1, 4)}
+#: Tags of a case type and severity bucket, the most special first; the empty tag comes last.
+COLLISIONS = {"Front Collision": "front", "Rear Collision": "rear", "Side Collision": "side"}
+STANDING = {"Parked Car": "parked", "Vehicle Theft": "stolen"}
 
-@dataclass(frozen=True)
-class Case:
-    """Choices for one case type; ``damage`` maps a bucket to (pool, least, most)."""
 
-    phrases: list[str]
-    damage: dict[str, tuple[list[str], int, int]]
-    airbags: dict[str, list[str]]
-    templates: str
+def tags(case: str, level: str) -> list[str]:
+    if case in COLLISIONS:
+        return [f"{COLLISIONS[case]} {level}", COLLISIONS[case], f"driving {level}", "driving", ""]
+    return [STANDING[case], ""]
 
 
 @dataclass(frozen=True)
 class PhraseBook:
-    cases: dict[str, Case]
-    templates: dict[str, dict[str, list[str]]]
-    weather: list[str]
-    times: list[str]
-    speeds: list[str]
-    witness: list[str]
-    police: list[str]
-    tow: list[str]
-    styles: list[str] = field(default_factory=list)
+    """``parts``: part -> tag -> clauses. ``plans``: order of parts, one plan drawn per report.
+
+    ``harm``: tag -> (least, most) items of the part ``harm``.
+    """
+
+    parts: dict[str, dict[str, list[str]]]
+    plans: list[list[str]]
+    harm: dict[str, tuple[int, int]]
 
     def __post_init__(self):
-        for name, case in self.cases.items():
-            for pool, least, most in case.damage.values():
-                if len(set(pool)) != len(pool) or not 0 < least <= most:
-                    raise ValueError(f"{name}: damage pool needs distinct entries and 0 < least <= most")
-        for styles in self.templates.values():
-            for template in (t for ts in styles.values() for t in ts):
-                unknown = {f for _, f, _, _ in Formatter().parse(template) if f} - set(FIELDS)
-                if unknown:
-                    raise ValueError(f"unknown template fields {sorted(unknown)}")
-
-
-SMALL_DAMAGE = [
-    "Stoßstange vorn eingedrückt", "Stoßstange hinten verkratzt", "Delle im Kotflügel links",
-    "Delle im Kotflügel rechts", "Lackspuren an der linken Tür", "Lackspuren an der rechten Tür",
-    "Spiegelglas gesprungen", "Leuchte vorn links defekt", "Leuchte vorn rechts defekt",
-    "Haarriss in der Verkleidung", "Haube leicht verzogen", "Heckklappe schließt nicht sauber",
-    "Nebelleuchte abgerissen", "Schramme am Radlauf", "Zierleiste gelöst",
-]
-LARGE_DAMAGE = [
-    "Vorderwagen gestaucht", "Motor aus der Halterung gerissen", "Frontscheibe durchschlagen",
-    "Rahmen messbar verzogen", "Achsaufhängung gebrochen", "beide Türen verklemmt",
-    "Kühlkreislauf leckgeschlagen", "Dachsäule eingeknickt", "Bodenblech aufgerissen",
-    "Dach eingedrückt", "Lenkung ohne Funktion", "Längsträger geknickt",
-]
-THEFT_NOTES = [
-    "Schlüssel liegen der Sachbearbeitung vor", "Stellplatz wurde fotografiert",
-    "Kennzeichen ist zur Suche ausgeschrieben", "Unfallspuren sind nicht bekannt",
-]
-AIRBAG_FIRED = ["Alle Airbags gingen auf.", "Vorn lösten die Airbags aus.", "Das Rückhaltesystem hat reagiert."]
-AIRBAG_QUIET = ["Kein Airbag ging auf.", "Das Rückhaltesystem blieb inaktiv.", "Airbags: ohne Auslösung."]
-AIRBAG_PARKED = ["Im Stand blieb jeder Airbag zu.", "Airbags waren beim Parken ohne Belang.", "Keine Auslösung im Stand."]
-AIRBAG_THEFT = ["Airbags spielen hier keine Rolle.", "Zum Airbag gibt es keine Angabe.", "Airbag-Status unbekannt."]
-
-_COLLISION_DAMAGE = {"major": (LARGE_DAMAGE + SMALL_DAMAGE, 3, 5), "minor": (SMALL_DAMAGE, 2, 4)}
-_COLLISION_AIRBAGS = {"major": AIRBAG_FIRED, "minor": AIRBAG_QUIET}
+        for plan in self.plans:
+            unknown = [p for p in plan if p not in self.parts]
+            if unknown:
+                raise ValueError(f"unknown parts {unknown}")
+        for case in CASE_TYPES:
+            for level in ("major", "minor"):
+                items, (least, most) = self.pool("harm", case, level), self.harm_range(case, level)
+                if len(set(items)) != len(items) or not 0 < least <= most <= len(items):
+                    raise ValueError(f"{case}: harm needs distinct items and 0 < least <= most <= their number")
+        if any(c.count("{}") > 1 for by_tag in self.parts.values() for clauses in by_tag.values() for c in clauses):
+            raise ValueError("a clause holds at most one {}")
+
+    def pool(self, part: str, case: str, level: str) -> list[str]:
+        """Clauses of the most special tag that has any; none leaves the part out."""
+        return next((self.parts[part][t] for t in tags(case, level) if self.parts[part].get(t)), [""])
+
+    def harm_range(self, case: str, level: str) -> tuple[int, int]:
+        return next(self.harm[t] for t in tags(case, level) if t in self.harm)
+
+
+def book_from_table(table: DataFrame, plans: list[list[str]], harm: dict[str, tuple[int, int]]) -> PhraseBook:
+    """Book from rows ``part, tag, text``; a phrase table is small, so it is read whole."""
+    parts: dict[str, dict[str, list[str]]] = {}
+    for part, tag, text in sorted(tuple(r) for r in table.select("part", "tag", "text").distinct().collect()):
+        parts.setdefault(part, {}).setdefault(tag, []).append(text)
+    return PhraseBook(parts, plans, harm)
+
+
+_AREAS = ("an der Front", "am Heck", "links", "rechts")
 
 DEFAULT_BOOK = PhraseBook(
-    cases={
-        "Front Collision": Case(
-            ["zwei Wagen stießen Front an Front zusammen", "die Front traf einen Poller",
-             "nach einem Schlenker ging es geradeaus in die Leitplanke", "der Bug rammte eine Mauer",
-             "vorn gab es einen harten Aufprall"],
-            _COLLISION_DAMAGE, _COLLISION_AIRBAGS, "collision"),
-        "Rear Collision": Case(
-            ["der Hintermann bremste zu spät", "im stockenden Verkehr gab es einen Stoß von hinten",
-             "das Heck bekam den Schlag ab", "vor der roten Ampel schob uns jemand an",
-             "ein Lieferwagen fuhr hinten auf"],
-            _COLLISION_DAMAGE, _COLLISION_AIRBAGS, "collision"),
-        "Side Collision": Case(
-            ["jemand nahm uns die Vorfahrt und traf die Seite", "beim Wechsel der Spur berührten sich zwei Wagen",
-             "aus der Einfahrt kam ein Wagen quer", "die Flanke wurde im Kreisverkehr getroffen",
-             "ein Linksabbieger traf die Beifahrerseite"],
-            _COLLISION_DAMAGE, _COLLISION_AIRBAGS, "collision"),
-        "Parked Car": Case(
-            ["ein Unbekannter streifte den abgestellten Wagen", "beim Ausparken stieß der Nachbar an",
-             "nach dem Einkauf war der Wagen beschädigt", "ein Lkw touchierte den Wagen am Straßenrand"],
-            {"major": (SMALL_DAMAGE, 2, 4), "minor": (SMALL_DAMAGE, 2, 4)},
-            {"major": AIRBAG_PARKED, "minor": AIRBAG_PARKED}, "parked"),
-        "Vehicle Theft": Case(
-            ["der Wagen stand nicht mehr am Platz", "das Auto wurde über Nacht gestohlen",
-             "der Halter zeigte den Verlust des Wagens an", "vom Hof verschwand der Wagen spurlos"],
-            {"major": (THEFT_NOTES, 2, 3), "minor": (THEFT_NOTES, 2, 3)},
-            {"major": AIRBAG_THEFT, "minor": AIRBAG_THEFT}, "theft"),
-    },
-    templates={
-        "collision": {
-            "umgangssprachlich": [
-                "Mit dem {make} {model} ({year}) hat es gekracht. {time_cap} {weather}: {phrase} {speed}. "
-                "Kaputt ist jetzt: {damage}. {airbags} {witness} {police} {tow}",
-                "Also, der {make} {model}: {time} {weather}, und {phrase}. Man sieht {damage}. {airbags} {police}",
-                "Pech mit dem {make} {model} ({year})! {time_cap} {weather}, {phrase}. Schaden: {damage}. "
-                "{airbags} {witness} {tow}",
-                "Kurz gesagt zum {make} {model}: {time} {weather} {speed}, {phrase}. Hin sind {damage}. "
-                "{airbags} {police} {tow}",
-            ],
-            "laendlich": [
-                "Draußen auf der Kreisstraße erwischte es den {make} {model}, Baujahr {year}. "
-                "{time_cap}, {weather}, {speed}: {phrase}. Gesehen wurden {damage}. {airbags} {witness} {tow}",
-                "Zwischen zwei Dörfern war der {make} {model} unterwegs, {time} {weather}; {phrase}. "
-                "Notiert: {damage}. {airbags} {witness} {police} {tow}",
-                "Am Feldweg traf es den {make} {model} ({year}). {time_cap} {weather}: {phrase}. "
-                "Übrig blieb: {damage}. {airbags} {witness} {police}",
-                "Auf dem Land, {time} {weather}, mit dem {make} {model} {speed}: {phrase}. "
-                "Festgehalten: {damage}. {airbags} {tow}",
-            ],
-            "hochdeutsch": [
-                "Gemeldet wird ein Unfall des Fahrzeugs {make} {model}, Baujahr {year}. {time_cap} {weather} "
-                "geschah Folgendes: {phrase} {speed}. Befund: {damage}. {airbags} {witness} {police} {tow}",
-                "Schadenakte {make} {model}: Der Unfall trug sich {time} {weather} zu; {phrase}. "
-                "Aufgenommen: {damage}. {airbags} {police} {tow}",
-                "Betroffen ist ein {make} {model} ({year}). Zeitpunkt und Lage: {time} {weather}. "
-                "Ursache: {phrase}. Schadensbild: {damage}. {airbags} {witness} {police}",
-                "Laut Aufnahme zum {make} {model} galt {time} {weather}: {phrase}. "
-                "Bewertet wurden {damage}. {airbags} {witness} {tow}",
-            ],
+    parts={
+        "opening": {
+            "": ["Betroffen: {}.", "Es geht um {}.", "Akte zu {}.", "Versichertes Fahrzeug ist {}."],
+            "stolen": ["Vermisst wird {}.", "Gesucht: {}."],
+        },
+        "moment": {"": ["Es war noch dunkel.", "Die Sonne stand hoch.", "Der Feierabend begann."]},
+        "sky": {"": ["Die Straße war trocken.", "Wasser stand auf der Fahrbahn.", "Eis lag auf dem Weg.", "Man sah kaum zwanzig Meter weit."]},
+        "pace": {"driving": ["Der Tacho zeigte {} km/h.", "Gefahren wurden etwa {} km/h."]},
+        "event": {
+            "front": ["Beim Abbiegen kam ein Transporter entgegen.", "Ein Baumstamm lag im Weg.", "Die Bremse griff zu spät."],
+            "rear": ["Am Stauende drückte uns ein Kombi nach vorn.", "Beim Anfahren rollte ein Bus auf."],
+            "side": ["Auf der Kreuzung schnitt ein Taxi den Weg.", "Ein Anhänger scherte aus.", "Ein Radfahrer kam aus der Gasse."],
+            "parked": ["Der Platz daneben wurde zu eng genommen.", "Ein Müllwagen rangierte vor dem Haus."],
+            "stolen": ["Die Garage war aufgebrochen.", "Am Bahnhof war die Parklücke leer.", "Der Zweitschlüssel fehlt."],
         },
-        "parked": {
-            "umgangssprachlich": [
-                "Der {make} {model} ({year}) stand nur da. {time_cap} {weather}: {phrase}. Jetzt: {damage}. "
-                "{airbags} {witness} {police} {tow}",
-                "Zurück am {make} {model}, {time} {weather}, und {phrase}. Zu sehen: {damage}. {airbags} {police}",
-            ],
-            "laendlich": [
-                "Am Hof parkte der {make} {model} ({year}). {time_cap} {weather}: {phrase}. Bemerkt: {damage}. "
-                "{airbags} {witness} {tow}",
-                "Neben der Scheune stand der {make} {model}, {time} {weather}; {phrase}. Schaden: {damage}. "
-                "{airbags} {police} {tow}",
-            ],
-            "hochdeutsch": [
-                "Der {make} {model}, Baujahr {year}, war abgestellt. {time_cap} {weather} gilt: {phrase}. "
-                "Feststellung: {damage}. {airbags} {witness} {police} {tow}",
-                "Parkschaden am {make} {model}: {time} {weather}, {phrase}. Aufnahme: {damage}. {airbags} {police}",
-            ],
+        "harm": {
+            "driving minor": [f"{kind} {area}" for kind in ("Kratzer", "Beule", "loses Teil") for area in _AREAS],
+            "driving major": [f"{kind} {area}" for kind in ("erheblich verformtes Blech", "Bruch eines Trägers", "zersprungenes Glas") for area in _AREAS],
+            "parked": [f"{kind} {area}" for kind in ("Schramme", "Beule") for area in _AREAS],
+            "stolen": ["Papiere im Handschuhfach", "Werkzeug im Kofferraum", "Kindersitz auf der Rückbank", "Ortung nicht eingebaut"],
         },
-        "theft": {
-            "umgangssprachlich": [
-                "Der {make} {model} ({year}) ist weg! {time_cap} {weather}: {phrase}. Bisher: {damage}. "
-                "{airbags} {witness} {police}",
-                "Geklaut: {make} {model}. {time_cap} {weather}, {phrase}. Dazu: {damage}. {airbags} {police}",
-            ],
-            "laendlich": [
-                "Aus dem Dorf fehlt ein {make} {model} ({year}). {time_cap} {weather}: {phrase}. "
-                "Vermerk: {damage}. {airbags} {witness} {police}",
-                "Am Waldrand stand der {make} {model} zuletzt, {time} {weather}; {phrase}. Akte: {damage}. "
-                "{airbags} {tow}",
-            ],
-            "hochdeutsch": [
-                "Zum {make} {model}, Baujahr {year}, liegt eine Diebstahlanzeige vor. {time_cap} {weather}: "
-                "{phrase}. Sachstand: {damage}. {airbags} {police}",
-                "Entwendung eines {make} {model}: {time} {weather}, {phrase}. Angaben: {damage}. "
-                "{airbags} {witness} {police}",
-            ],
+        "cabin": {
+            "driving major": ["Die Luftsäcke haben sich gefüllt.", "Innen sind die Airbags offen."],
+            "driving minor": ["Die Airbags blieben zu."],
         },
+        "bystanders": {"": ["", "{} Zeugen haben sich gemeldet.", "{} Zeugen standen an der Haltestelle."], "stolen": ["", "{} Zeugen hörten Lärm."]},
+        "authority": {"": ["", "Die Polizei hat ein Aktenzeichen vergeben."], "stolen": ["Die Polizei fahndet."]},
+        "recovery": {"driving": ["", "Ein Kran hob den Wagen auf den Laster.", "Der Wagen fuhr allein weiter."]},
     },
-    weather=["bei Sonnenschein", "im Regen", "im Schneetreiben", "in dichtem Nebel", "auf nassem Asphalt",
-             "bei Sturm", "bei schlechter Sicht"],
-    times=["in der Früh", "um die Mittagszeit", "gegen Abend", "spät in der Nacht", "im Berufsverkehr"],
-    speeds=["bei rund 30 km/h", "bei rund 50 km/h", "bei rund 70 km/h", "im Schritttempo", "in der Kolonne"],
-    witness=["", "Mehrere Zeugen standen daneben.", "Zeugen schildern denselben Ablauf.", "Die Zeugen wurden gehört."],
-    police=["", "Die Polizei kam hinzu.", "Die Polizei nahm alles auf.", "Es gibt eine Akte bei der Polizei."],
-    tow=["", "Der Wagen wurde abgeschleppt.", "Ein Abschlepper holte den Wagen.", "Der Wagen steht beim Abschleppdienst."],
-    styles=["umgangssprachlich", "laendlich", "hochdeutsch"],
+    plans=[
+        ["opening", "event", "harm", "cabin", "authority"],
+        ["moment", "sky", "event", "pace", "opening", "harm", "bystanders", "recovery"],
+        ["opening", "moment", "pace", "sky", "event", "bystanders", "harm", "cabin", "recovery", "authority"],
+    ],
+    # fixed values: how many items a report names
+    harm={"driving major": (3, 5), "driving minor": (2, 4), "parked": (2, 4), "stolen": (2, 3)},
 )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwise.operators import cleaning, model, stats
+from claimwise.operators.prepare import typed_claims
 from claimwise.operators.ranking import fold_index, holdout_split
 from claimwise.session import stage
+from claimwise.sources.readers import read_claims_strict
 
 
 def impute_and_deduplicate(df: DataFrame) -> DataFrame:
@@ -15,6 +17,19 @@ def impute_and_deduplicate(df: DataFrame) -> DataFrame:
     return cleaning.drop_duplicate_rows(cleaning.impute_mode(cleaning.impute_median(df)))
 
 
+def run_analysis(spark: SparkSession, source: str, target: str = "vehicle_claim", level: float = 0.05) -> dict[str, DataFrame]:
+    """From the claims CSV to the named frames of the exploratory part.
+
+    Typed (flags as text, like every category), sentinel to NULL, median and mode, copies dropped, written once; then
+    :func:`explore` and the effects significant at ``level``.
+    """
+    typed = typed_claims(read_claims_strict(spark, source), flags=False)
+    clean = stage(impute_and_deduplicate(stage(typed, "typed")), "clean")
+    result = {"clean": clean, **explore(clean, target)}
+    result["significant"] = stats.significant(result["effects"], level)
+    return result
+
+
 def explore(df: DataFrame, target: str = "vehicle_claim",
             groups: tuple[str, ...] = ("incident_type", "incident_severity"),
             cross: tuple[str, str] = ("incident_type", "collision_type")) -> dict[str, DataFrame]:
@@ -38,32 +53,30 @@ def explore(df: DataFrame, target: str = "vehicle_claim",
 
 
 def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share: float = 0.2, folds: int = 5,
-             seed: int = 42, trees: int = 200, depth: int = 10, max_levels: int = model.MAX_LEVELS,
+             seed: int = 42, trees: int = 200, depth: int = 10, partitions: int = 64,
              cross_validation: bool = True) -> dict[str, DataFrame]:
     """Holdout scores, fold scores and importances of the random-forest baseline.
 
     ``key`` identifies a row and is not a feature. ``df`` is read several
     times, so pass a staged frame. Encoded rows are staged once; the marks for
     holdout and folds are expressions over them. The folds cover all rows,
-    those of the holdout included.
+    those of the holdout included. Training rows lie in ``partitions`` partitions in
+    key order, so a seed gives the same forest whatever the cluster or the files.
     """
     spark = df.sparkSession
     clean = cleaning.drop_leakage(df, target)
-    vectors, names = model.feature_vectors(clean, target, keep=[key], max_levels=max_levels)
-    cores = spark.sparkContext.defaultParallelism
-    if vectors.rdd.getNumPartitions() < cores:
-        vectors = vectors.repartition(cores, key)
+    vectors, names = model.feature_vectors(clean, target, keep=[key])
     staged = stage(vectors, "vectors")
     rows = fold_index(holdout_split(staged, key, test_share, seed), key, folds, seed)
     learner = model.forest(trees, depth, seed)
-    fitted = learner.fit(rows.where(~F.col("is_test")))
+    fitted = learner.fit(model.in_fixed_order(rows.where(~F.col("is_test")), key, partitions))
     result = {
         "holdout": model.regression_metrics(fitted.transform(rows.where(F.col("is_test")))),
         "importances": model.importances(fitted, names, spark),
     }
     result["top importances"] = model.top_importances(result["importances"])
     if cross_validation:
-        scores = model.cross_validate(rows, learner, "fold", folds)
+        scores = model.cross_validate(rows, learner, "fold", folds, key, partitions)
         result["folds"] = scores
         result["cross validation"] = model.cv_summary(scores)
     return result

@@ -3,28 +3,60 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from claimwise.functions.text import quoted
-from claimwise.operators.cleaning import nullify_file_tokens
-from claimwise.schemas import CLAIMS_RAW, SENTINEL
+from claimwise.operators.cleaning import nullify_tokens
+from claimwise.schemas import CLAIMS_RAW, DEFAULT_NULL_TOKENS, SENTINEL
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+_RAW = "_csv_record"
+_CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False) -> DataFrame:
+def _checked(df: DataFrame, names: list[str], places: list[Column]) -> DataFrame:
+    """The named fields, NULL as empty text, and ``places``; a record with more fields than columns is an error that shows it.
+
+    Shorter records stay: their absent fields are empty. The message also holds the first
+    field, since a CSV scan needs one beside the raw record.
+    """
+    bare = F.regexp_replace(_RAW, '"(?:[^"]|"")*"', "")
+    surplus = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= len(names)
+    message = F.concat(F.lit("more fields than columns in "), F.col("_metadata.file_path"), F.lit(", record "),
+                       F.coalesce(quoted(names[0]), F.lit("")), F.lit(": "), F.col(_RAW))
+    return df.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).select(
+        *[F.coalesce(quoted(c), F.lit("")).alias(c) for c in names], *places)
+
+
+def _require_whole_lines(spark: SparkSession, path: str) -> None:
+    """Error if a line holds an odd number of quotes, that is, if a quoted field has a line break."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    odd = lines.where(F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1).first()
+    if odd is not None:
+        raise ValueError(f"unbalanced quotes in {odd['file']}: {odd['value']!r}; read it with multiline=True")
+
+
+def read_csv_text(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False, positions: bool = False,
+) -> DataFrame:
     """Every field as text, by header name, without null tokens.
 
     Without a schema the header names the columns. With one, the header of
     every file is checked against it. Absent trailing fields read as empty
-    text. ``multiline`` allows line breaks inside quotes, at the price of files
-    that cannot be split.
+    text; surplus fields are an error. ``multiline`` allows line breaks inside
+    quotes, at the price of files that cannot be split. Without it the lines are
+    looked through first, and such a line break is an error.
+    ``positions`` adds ``_file, _block, _seq`` for ``file_row_index``.
     """
     options = {**_CSV, "multiLine": multiline}
     if schema is None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in spark.read.options(**options).csv(path).columns])
-    df = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
-    return df.select(*[F.coalesce(quoted(c), F.lit("")).alias(c) for c in df.columns])
+    whole = T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())])
+    df = spark.read.options(**options, enforceSchema=False).schema(whole).csv(path)
+    if not multiline:
+        _require_whole_lines(spark, path)
+    places = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+              F.monotonically_increasing_id().alias("_seq")] if positions else []
+    return _checked(df, schema.fieldNames(), places)
 
 
 def read_claims(
@@ -35,14 +67,9 @@ def read_claims(
 
     ``positions`` adds ``_file, _block, _seq`` for ``file_row_index``.
     """
-    df = read_csv_text(spark, path, schema, multiline)
-    cells = nullify_file_tokens(df, extra_null_tokens)
-    if not positions:
-        return cells
-    return cells.select(
-        "*", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"))
+    df = read_csv_text(spark, path, schema, multiline, positions)
+    places = ("_file", "_block", "_seq") if positions else ()
+    return nullify_tokens(df, [*DEFAULT_NULL_TOKENS, *extra_null_tokens], [c for c in df.columns if c not in places])
 
 
 def read_claims_strict(spark: SparkSession, path: str, **options) -> DataFrame:

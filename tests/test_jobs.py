@@ -3,7 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from claimwise.operators import audits, model
+from claimwise import session
+from claimwise.operators import audits, cleaning, model
 from claimwise.operators.normalise import join_claims, split_claims
 from claimwise.plans import analysis, etl, prepared
 from claimwise.schemas import CLAIM_COLUMNS, PRIMARY_KEYS, TABLES, table_schema
@@ -134,11 +135,9 @@ def test_bucketed_tables_join_without_shuffle(spark):
     assert "Exchange" not in plan
 
 
-def test_one_hot_drops_first_level_and_guards_width(spark):
+def test_one_hot_drops_first_level(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3), (None, 4)], "c string, n int")
     assert sorted(tuple(r) for r in model.one_hot(df, ["c"]).collect()) == [(1, 1, 0), (2, 0, 0), (3, 0, 1), (4, 0, 0)]
-    with pytest.raises(ValueError, match="more than 2 levels"):
-        model.one_hot(df, ["c"], max_levels=2)
 
 
 def test_vectors_equal_one_hot(spark):
@@ -170,3 +169,55 @@ def test_analysis_frames(spark):
     frames = analysis.explore(clean)
     assert {"describe", "histogram", "effects", "crosstab", "mean by incident_type"} <= set(frames)
     assert all(frame.count() >= 0 for frame in frames.values())
+
+
+def test_forest_does_not_depend_on_input_partitions(spark):
+    df = spark.range(300).select("id", (F.col("id") % 17).cast("double").alias("x"), (F.col("id") * 7 % 23).cast("double").alias("z")).withColumn(
+        "vehicle_claim", F.col("x") * 10 + F.col("z"))
+    runs = [{r["feature"]: r["importance"] for r in analysis.baseline(df.repartition(n), "id", trees=5, depth=4, partitions=4, cross_validation=False)["importances"].collect()}
+            for n in (1, 3, 8)]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_csv_faults_are_errors(spark, tmp_path):
+    surplus, broken = tmp_path / "s.csv", tmp_path / "b.csv"
+    surplus.write_text("a,b\n1,2\n3,4,5\n")
+    broken.write_text('a,b\n"x\ny",7\n1\n')
+    with pytest.raises(Exception, match="more fields than columns"):
+        read_csv_text(spark, str(surplus)).collect()
+    with pytest.raises(ValueError, match="unbalanced quotes"):
+        read_csv_text(spark, str(broken))
+    assert [tuple(r) for r in read_csv_text(spark, str(broken), multiline=True).collect()] == [("x\ny", "7"), ("1", "")]
+
+
+def test_staged_data_go_with_the_job(spark, tmp_path):
+    df = spark.range(5)
+    with session.scratch(spark):
+        path = session.scratch_path(spark, "x")
+        assert session.stage(df, "x", path).count() == 5 and os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_several_date_formats(spark):
+    df = spark.createDataFrame([("2014-10-17",), ("10/17/2014",), (None,)], "d string")
+    assert [str(r[0]) for r in cleaning.parse_dates(df, ["d"], ["yyyy-MM-dd", "MM/dd/yyyy"]).collect()] == ["2014-10-17", "2014-10-17", "None"]
+    with pytest.raises(Exception, match="no date in"):
+        cleaning.parse_dates(df, ["d"]).collect()
+
+
+def test_audit_plan_is_small(spark, tmp_path):
+    source = write_source(tmp_path / "claims.csv", [{}, {}])
+    flat = session.stage(etl.transform(etl.extract(spark, source)), "flat")
+    plan = audits.audit_flat(flat, etl.ROW_NUMBER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 6
+
+
+def test_mapping_of_the_tables():
+    """Literal names of every target column, beside the table that the code reads."""
+    assert {t: ",".join(c for _, c, _ in columns) for t, columns in TABLES.items()} == {
+        "kunden": "kunde_id,alter_jahre,geschlecht,bildungsniveau,beruf,hobbys,familienverhaeltnis,plz,kapitalgewinne,kapitalverluste,kunde_seit_monaten",
+        "policen": "police_id,kunde_id,policen_nummer,vertragsbeginn,bundesstaat,deckungsgrenze,selbstbeteiligung,jahrespraemie,umbrella_limit",
+        "fahrzeuge": "fahrzeug_id,police_id,marke,modell,baujahr",
+        "unfaelle": "unfall_id,police_id,unfall_datum,unfall_typ,kollisions_typ,schadensschwere,behoerde,bundesstaat,stadt,adresse,"
+                    "uhrzeit_stunde,anzahl_fahrzeuge,sachschaden_dritter,anzahl_verletzte,anzahl_zeugen,polizeibericht",
+        "schaeden": "schaden_id,unfall_id,gesamtschaden,personenschaden,sachschaden,fahrzeugschaden,betrug_gemeldet"}

@@ -1,10 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from claimwise.operators.reports import compare_with_means, feature_table, severity_means
+from claimwise.operators.reports import extract_features, feature_table
 from claimwise.operators.synth import case_type, generate_reports
-from claimwise.phrases import DEFAULT_BOOK, FIELDS, PhraseBook
-from claimwise.plans.scoring import score_reports, score_with_history
+from claimwise.phrases import DEFAULT_BOOK, PhraseBook, book_from_table
+from claimwise.plans.scoring import score_reports, score_with_claims_file, score_with_history
 from claimwise.streaming.scores import report_stream, run_scores, scored_stream
 
 FORM = ("Am 10.06.2026 kam es zu einem Unfall mit 2 Fahrzeugen. Mein Auto wurde erheblich beschädigt, "
@@ -17,7 +17,7 @@ CASES = [
     ("0 Fahrzeuge", "Minor Damage", 0, 0, 0, "Nein"),
     ("３ Fahrzeuge und ٤ Zeugen", "Minor Damage", 3, 0, 4, "Nein"),
     ("12  verletzt; 5 Zeugen, 9 Zeugen", "Minor Damage", 1, 12, 5, "Nein"),
-    ("99999999999999999999 Fahrzeuge", "Minor Damage", 1, 0, 0, "Nein"),
+    ("99999999999999999999 Fahrzeuge", "Minor Damage", 99999999999999999999, 0, 0, "Nein"),
 ]
 
 
@@ -50,12 +50,21 @@ def test_display_table(texts):
 def test_comparison(spark, texts):
     history = spark.createDataFrame([("Total Loss", 4.0), ("Total Loss", 6.0), ("Odd", 7.0), (None, 1.0)],
                                     "incident_severity string, total_claim_amount double")
-    rows = score_with_history(texts, history).where("report_id = 1").collect()
-    assert sorted((r["category"], r["mean"], r["category_german"]) for r in rows) == [
-        ("Odd", 7.0, "Odd"), ("Total Loss", 5.0, "Totalschaden")]
-    assert score_with_history(texts, history.limit(0)).count() == 0
-    with pytest.raises(Exception, match="too many categories"):
-        compare_with_means(score_reports(texts), severity_means(history), max_levels=1).collect()
+    rows = {r["report_id"]: r for r in score_with_history(texts, history).collect()}
+    assert set(rows) == set(range(len(CASES)))
+    assert {(r["severity"], r["category_mean"]) for r in rows.values()} >= {("Total Loss", 5.0)}
+    assert all(r["category_mean"] is None for r in rows.values() if r["severity"] != "Total Loss")
+    assert all(r["category_mean"] is None for r in score_with_history(texts, history.limit(0)).collect())
+
+
+def test_optional_claims_file(texts, tmp_path):
+    found = score_with_claims_file(texts.sparkSession, texts, str(tmp_path / "none.csv"))
+    assert found["means"].count() == 0 and found["scored"].count() == len(CASES)
+
+
+def test_long_numbers(spark):
+    df = spark.createDataFrame([("12345678901234567890 Zeugen",), ("9" * 39 + " Zeugen",), ("Zeugen",)], "text string")
+    assert [r["witnesses"] for r in extract_features(df).collect()] == [12345678901234567890, None, 0]
 
 
 def test_stream_equals_batch(spark, texts, tmp_path):
@@ -90,12 +99,18 @@ def test_generated_text_shape(claims):
     rows = generate_reports(claims, "id").collect()
     for r in rows:
         text = r["generated_description"]
-        assert "Land Rover X" in text and "  " not in text and text == text.strip() and "{" not in text
-        case = DEFAULT_BOOK.cases[r["collision_type"].strip() if r["collision_type"] != "?" else "Side Collision"]
-        pool, least, most = case.damage["major" if r["incident_severity"] == "Total Loss" else "minor"]
-        named = {p for p in pool if p in text}
-        assert least <= len(named) <= most + 1  # one phrase may contain another
-    assert len({r["generated_description"] for r in rows}) > 550
+        assert "Land Rover X (2003)" in text and "  " not in text and text == text.strip() and "{" not in text
+        case = r["collision_type"].strip() if r["collision_type"] != "?" else "Side Collision"
+        level = "major" if r["incident_severity"] == "Total Loss" else "minor"
+        least, most = DEFAULT_BOOK.harm_range(case, level)
+        assert least <= sum(item in text for item in DEFAULT_BOOK.pool("harm", case, level)) <= most
+        assert any(e in text for e in DEFAULT_BOOK.pool("event", case, level))
+    assert len({r["generated_description"] for r in rows}) > 500
+
+
+def test_filter_on_generated_text_plans(claims):
+    made = generate_reports(claims, "id")
+    assert made.where("generated_description LIKE '%Polizei%' AND length(generated_description) > 20").count() > 0
 
 
 def test_values_with_braces_are_not_templates(spark):
@@ -117,12 +132,11 @@ def test_case_type(spark):
         "Rear Collision", "Vehicle Theft", "Side Collision"]
 
 
-def test_phrase_book_sizes_and_checks():
-    front, theft = DEFAULT_BOOK.cases["Front Collision"], DEFAULT_BOOK.cases["Vehicle Theft"]
-    assert (len(front.damage["major"][0]), len(front.damage["minor"][0]), len(theft.damage["major"][0])) == (27, 15, 4)
-    assert {k: {s: len(t) for s, t in v.items()} for k, v in DEFAULT_BOOK.templates.items()} == {
-        "collision": dict.fromkeys(DEFAULT_BOOK.styles, 4), "parked": dict.fromkeys(DEFAULT_BOOK.styles, 2),
-        "theft": dict.fromkeys(DEFAULT_BOOK.styles, 2)}
-    assert len(FIELDS) == 13
-    with pytest.raises(ValueError, match="unknown template fields"):
-        PhraseBook({}, {"x": {"s": ["{nope}"]}}, [], [], [], [], [], [])
+def test_phrase_book_checks(spark):
+    with pytest.raises(ValueError, match="unknown parts"):
+        PhraseBook(DEFAULT_BOOK.parts, [["nope"]], DEFAULT_BOOK.harm)
+    with pytest.raises(ValueError, match="distinct items"):
+        PhraseBook(DEFAULT_BOOK.parts, DEFAULT_BOOK.plans, {**DEFAULT_BOOK.harm, "stolen": (2, 9)})
+    rows = [(part, tag, text) for part, tags in DEFAULT_BOOK.parts.items() for tag, texts in tags.items() for text in texts]
+    book = book_from_table(spark.createDataFrame(rows, "part string, tag string, text string"), DEFAULT_BOOK.plans, DEFAULT_BOOK.harm)
+    assert {p: {t: sorted(x) for t, x in tags.items()} for p, tags in DEFAULT_BOOK.parts.items()} == book.parts

@@ -42,16 +42,25 @@ def test_spearman_of_constant_target_is_null(frame):
     assert S.spearman(frame, ["b"], "flat").first()["effect"] is None
 
 
-def test_anova_equals_direct_formula(frame, sample):
-    got = {r["feature"]: r for r in S.anova(frame, ["c", "d"], "y").collect()}
-    assert set(got) == {"c"}
-    part = sample[["c", "y"]].dropna()
-    groups = [g["y"].values for _, g in part.groupby("c")]
-    mean = part["y"].mean()
-    between = sum(len(g) * (g.mean() - mean) ** 2 for g in groups)
-    within = sum(((g - g.mean()) ** 2).sum() for g in groups)
-    assert got["c"]["effect"] == pytest.approx(between / (between + within), rel=1e-9)
-    assert got["c"]["f_stat"] == pytest.approx(between / 2 / (within / (len(part) - 3)), rel=1e-9)
+def test_anova_of_a_small_table_by_hand(spark):
+    # a: 1, 3 (mean 2); b: 5, 7 (mean 6); c: 9, 11 (mean 10); overall 6. Between 2 * (16 + 0 + 16) = 64, within 3 * 2 = 6.
+    rows = [("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", 7.0), ("c", 9.0), ("c", 11.0), (None, 5.0), ("a", None)]
+    row = S.anova(spark.createDataFrame(rows, "c string, y double").selectExpr("*", "'same' AS d"), ["c", "d"], "y").collect()
+    assert [(r["feature"], r["k"], r["n"]) for r in row] == [("c", 3, 6)]
+    assert row[0]["f_stat"] == pytest.approx(16.0) and row[0]["effect"] == pytest.approx(64 / 70)
+
+
+def test_no_features_give_empty_tables(spark):
+    df = spark.createDataFrame([("a",)], "y string")
+    assert S.effect_ranking(df, [], [], "y").count() == 0 and S.pearson_matrix(df).count() == 0
+
+
+def test_tail_of_very_many_rows():
+    for n in (1e7, 1e9, 1e12):
+        for z in (0.3, 1.0, 1.74, 3.0, 6.0):
+            # the t tail is the normal tail but for a term of order z^4 / n
+            assert f_tail(z * z, 1, n) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=max(1e-9, 40 * (1 + z ** 4) / n))
+        assert f_tail(2.5, 2, n) == pytest.approx(math.exp(-n / 2 * math.log1p(5 / n)), rel=1e-9)
 
 
 def test_anova_extremes(spark):
