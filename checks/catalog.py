@@ -948,6 +948,7 @@ def analysis_clean(spark, sf):
     return found.select("src_pos", *[F.col(f"`{c}`").cast("double").alias(c) if c in NUMBERS else F.col(f"`{c}`") for c in COLUMNS])
 
 
+PARTITIONS = 8  # of the training rows; a forest depends on it, and on nothing else of the cluster
 IDENTIFYING = ["policy_number", "policy_bind_date", "incident_date", "incident_location", "insured_zip"]
 
 
@@ -958,7 +959,7 @@ def model_frame(spark, sf) -> DataFrame:
 
 
 def level_count(c: str) -> str:
-    return f'(SELECT greatest(count(DISTINCT "{c}") - 1, 0) FROM ({SQL["analysis_clean"]}) t)'
+    return f'(SELECT greatest(count(DISTINCT "{c}") - 1, 0) FROM {PLAIN} t)'
 
 
 FEATURE_COLUMNS = [c for c in COLUMNS if c not in IDENTIFYING and ("claim" not in c or c == "vehicle_claim")]
@@ -969,7 +970,7 @@ FEATURE_COLUMNS = [c for c in COLUMNS if c not in IDENTIFYING and ("claim" not i
      *[level_count(c) for c in FEATURE_COLUMNS if c in TEXTS or c == FLAG]]) + " AS BIGINT) AS features, 1.0::DOUBLE AS total, CAST(15 AS BIGINT) AS top")
 def rf_importance(spark, sf):
     """Random forest of 200 trees of depth 10 over all columns: facts of its importances."""
-    found = analysis.baseline(model_frame(spark, sf), "src_pos", cross_validation=False)
+    found = analysis.baseline(model_frame(spark, sf), "src_pos", partitions=PARTITIONS, cross_validation=False)
     top = found["top importances"].agg(F.count("*").alias("top"))
     return found["importances"].agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total")).join(top)
 
@@ -981,7 +982,7 @@ N = "(SELECT count(*) FROM orders)"
     UNION ALL SELECT 'fold ' || f, {N} // 5 + CASE WHEN f < {N} % 5 THEN 1 ELSE 0 END, true FROM range(5) r(f)""")
 def rf_scores(spark, sf):
     """Rows of the holdout and of five folds, and whether the forest explains most of the variance in each."""
-    found = analysis.baseline(model_frame(spark, sf), "src_pos")
+    found = analysis.baseline(model_frame(spark, sf), "src_pos", partitions=PARTITIONS)
     holdout = found["holdout"].select(F.lit("holdout").alias("part"), "n", "r2")
     folds = found["folds"].select(F.concat(F.lit("fold "), "fold").alias("part"), "n", "r2")
     return holdout.unionByName(folds).select("part", "n", (F.col("r2") > 0.5).alias("fits"))

@@ -112,7 +112,7 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
 def cross_validate(
     vectors: DataFrame, estimator: RandomForestRegressor, fold_column: str = "fold", folds: int = 5,
-    key: str | None = None, partitions: int = 64,
+    key: str | None = None, partitions: int = 16,
 ) -> DataFrame:
     """``fold, n, r2, mae`` per fold: trained on the other folds, scored on this one.
 

@@ -53,7 +53,7 @@ def explore(df: DataFrame, target: str = "vehicle_claim",
 
 
 def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share: float = 0.2, folds: int = 5,
-             seed: int = 42, trees: int = 200, depth: int = 10, partitions: int = 64,
+             seed: int = 42, trees: int = 200, depth: int = 10, partitions: int = 16,
              cross_validation: bool = True) -> dict[str, DataFrame]:
     """Holdout scores, fold scores and importances of the random-forest baseline.
 
