@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from claimwise.llm import repeats
 from claimwise.llm.frames import staged, texts
-from claimwise.llm.wordhash import NOT_SPACE, slices, span_hashes
+from claimwise.llm.wordhash import slices, span_hashes
 
 _GEAR = np.random.default_rng(99).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -65,56 +65,27 @@ def _seeds(batches: Iterator[pa.RecordBatch], bits: int, least: int, most: int)
                  pa.array(start - off[doc]), pa.array((end - start).astype(np.int32))], names=["digest", "doc_id", "pos", "size"])
 
 
-def _bytes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return data, off
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans trimmed to whole words, with their number of words."""
-    for batch in batches:
-        asked = batch.column(2)
-        for low, high, data, off in slices(batch.column(1)):
-            out = ([], [], [], [], [], [])
-            for d in range(high - low):
-                for s in asked[low + d].as_py():
-                    begin, end = repeats.whole_words(data, off[d] + s["start"], off[d] + s["stop"], off[d], off[d + 1])
-                    inside = NOT_SPACE[data[begin:end]]
-                    n = int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
-                    moved = begin - int(off[d]) - s["start"]
-                    for column, x in zip(out, (batch.column(0)[low + d].as_py(), s["start"] + moved, end - int(off[d]), n, s["ref_doc"], s["ref_start"] + moved)):
-                        column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out],
-                                             names=["doc_id", "start", "stop", "n_words", "keep_doc_id", "keep_start"])
-
-
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
-    bits: int = 5, least: int = 16, most: int = 256, reach: int = 512,
+    bits: int = 5, least: int = 16, most: int = 256,
 ) -> DataFrame:
     """``doc_id, start, stop, n_words, keep_doc_id, keep_start``: passages that stand earlier elsewhere.
 
-    Byte spans, whole words, of at least ``least_words`` words, each with the place
-    of the same bytes in the smallest document (or further ahead in the same one)
-    that stays. Texts are cut into chunks of ``least`` to ``most`` bytes, 48 on average
+    Word spans (words from 0, ``stop`` exclusive) of at least ``least_words`` words, each with
+    the place of the same words in the smallest document, or further ahead in the same
+    one, that stays. Texts are cut into chunks of ``least`` to ``most`` bytes, 48 on average
     by default, so a passage of that length holds whole chunks wherever it starts;
     an insertion moves cuts only near it. Equal chunk digests are matched, chained
-    and extended exactly by up to ``reach`` bytes at each end.
+    and extended by the words around them.
 
     Null and empty texts and rows without id have no passage. Repeated rows of one id
     are one place. Other columns are ignored.
     """
     rows = texts(docs, id_col, text_col).where("doc_id is not null")
     seeds = staged(rows.mapInArrow(lambda it: _seeds(it, bits, least, most), "digest long, doc_id long, pos long, size int"), "chunks")
-    hits = repeats.shared_seeds(seeds, ["digest"]).where("first.doc_id <> doc_id or first.pos <> pos").select(
-        "doc_id", "pos", "size", F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_pos"))
-    grown = repeats.extended(repeats.chains(hits), rows, _bytes, np.uint8, reach)
-    long = grown.where(F.col("stop") - F.col("start") >= 2 * least_words - 1)
-    each = long.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "ref_doc", "ref_start")).alias("spans"))
-    return rows.join(each, "doc_id").select("doc_id", "text", "spans").mapInArrow(
-        _count_words, "doc_id long, start long, stop long, n_words long, keep_doc_id long, keep_start long"
-    ).where(F.col("n_words") >= least_words).distinct()
+    return repeats.extended(repeats.chains(repeats.matched(seeds)), rows, True, least_words)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the passages of :func:`repeated_passages`."""
-    return repeats.without(docs, passages, "bytes", id_col, text_col)
+    return repeats.without(docs, passages, id_col, text_col)

@@ -1,25 +1,22 @@
-"""Repeated passages from content-selected seeds: shared matching, extension and removal.
+"""Repeated passages from content-selected seeds: matching, extension and removal.
 
 A seed is a stretch of a text with a digest of its content. Equal digests are
 matched with the first place of that content; seeds on one diagonal of one
 pair of texts chain to a stretch, which is then extended left and right by
-exact comparison. Two ways of choosing seeds use this: content-defined chunks
-(:mod:`chunks`) and minimiser suffixes (:mod:`suffixes`).
+comparing the words around it. Two ways of choosing seeds use this: content-defined
+chunks (:mod:`chunks`) and minimiser suffixes (:mod:`suffixes`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from claimwise.llm.frames import staged, unused
-from claimwise.llm.wordhash import NOT_SPACE, Spans, slices
-
-#: Elements of every text of a slice (bytes or word hashes), one after the other, and their bounds.
-Elements = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+from claimwise.llm.wordhash import Spans, slices, span_hashes
 
 
 def shared_seeds(seeds: DataFrame, digests: list[str]) -> DataFrame:
@@ -30,7 +27,61 @@ def shared_seeds(seeds: DataFrame, digests: list[str]) -> DataFrame:
     """
     places = F.struct("doc_id", "pos")
     first = seeds.groupBy(*digests).agg(F.count(F.lit(1)).alias("n"), F.min(places).alias("first")).where("n > 1").drop("n")
-    return seeds.join(first, digests)
+    # written, so that the join is on two shuffles of its own and a frequent digest can be split
+    return seeds.join(staged(first, "first"), digests)
+
+
+def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by digest and place, each with the first place of its digest.
+
+    The first of a digest is left out, but for the edges of the partition: all rows
+    of its first digest, and the first row of its last one, come marked, since
+    their digest may go on in a neighbouring partition.
+    """
+    key, lead, anchor = None, True, (0, 0, 0)
+    schema = ["digest", "doc_id", "pos", "size", "ref_doc", "ref_pos", "edge"]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        digest, doc, pos, size = (batch.column(c).to_numpy() for c in schema[:4])
+        new = np.concatenate([[key is None or digest[0] != key], digest[1:] != digest[:-1]])
+        begins = np.flatnonzero(new)
+        later = begins[1:] if key is None else begins
+        edge = np.zeros(len(digest), bool)
+        if lead:
+            edge[:later[0] if len(later) else None] = True
+        at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
+        ref_doc = np.where(at < 0, anchor[0], doc[np.maximum(at, 0)])
+        ref_pos = np.where(at < 0, anchor[1], pos[np.maximum(at, 0)])
+        out = edge | ~new
+        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (digest, doc, pos, size, ref_doc, ref_pos, edge)], names=schema)
+        lead = lead and not len(later)
+        key = digest[-1]
+        if len(begins):
+            anchor = (doc[begins[-1]], pos[begins[-1]], size[begins[-1]])
+    if key is not None and not lead:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x], k) for x, k in zip((key, *anchor, anchor[0], anchor[1], True),
+                                              (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))], names=schema)
+
+
+def matched(seeds: DataFrame) -> DataFrame:
+    """``doc_id, pos, size, ref_doc, ref_pos``: seeds with the first place of their digest, that place left out.
+
+    One sort of ``digest, doc_id, pos, size`` over all tasks: places are part of the range, so a
+    frequent digest is dealt over several. What a digest that goes over a
+    border needs is put together from the rows at the borders, of which at most two
+    digests a partition are grouped.
+    """
+    parts = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = staged(seeds.repartitionByRange(parts, "digest", "doc_id", "pos").sortWithinPartitions("digest", "doc_id", "pos").mapInArrow(
+        _first_places, "digest long, doc_id long, pos long, size int, ref_doc long, ref_pos long, edge boolean"), "matches")
+    edges = found.where("edge")
+    # at most two digests a partition
+    first = edges.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
+    moved = edges.join(F.broadcast(first), "digest").select(
+        "doc_id", "pos", "size", F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_pos"))
+    return found.where("not edge").select(*moved.columns).unionByName(moved).where("doc_id <> ref_doc or pos <> ref_pos")
 
 
 def chains(hits: DataFrame) -> DataFrame:
@@ -49,71 +100,86 @@ def chains(hits: DataFrame) -> DataFrame:
             .select("doc_id", "start", "stop", "ref_doc", (F.col("start") - F.col("shift")).alias("ref_start")))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], elements: Elements, reach: int) -> Iterator[pa.RecordBatch]:
-    """The ``reach`` elements on either side of every asked stretch."""
+def _cut(batches: Iterator[pa.RecordBatch], in_bytes: bool, reach: int) -> Iterator[pa.RecordBatch]:
+    """Word hashes on either side of every asked stretch, and its first and last word.
+
+    A stretch in bytes stands for the words with a byte of it on both sides: those are
+    the same wherever the same bytes stand.
+    """
+    names = ["doc_id", "a", "b", "first", "last", "left", "right"]
     for batch in batches:
-        asked = batch.column(2)
+        ids, asked = batch.column(0), batch.column(2)
         for low, high, data, off in slices(batch.column(1)):
-            item, bounds = elements(data, off)
-            out = ([], [], [], [], [])
+            w = Spans(data, off)
+            h = span_hashes(data, w.start, w.end).astype(np.uint32)
+            out: list[tuple] = []
             for d in range(high - low):
-                own = item[bounds[d]:bounds[d + 1]]
-                for at in asked[low + d].as_py():
-                    a, b = at["a"], at["b"]
-                    for column, x in zip(out, (batch.column(0)[low + d].as_py(), a, b, own[max(0, a - reach):a].tobytes(), own[b:b + reach].tobytes())):
-                        column.append(x)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:3]), *(pa.array(x, pa.binary()) for x in out[3:])],
-                                             names=["doc_id", "a", "b", "left", "right"])
-
-
-def _extend(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
-    """Lengths by which a stretch and its first place go on alike to the left and to the right."""
+                p, q = w.first[d], w.first[d + 1]
+                own = h[p:q]
+                each = asked[low + d].as_py()
+                if in_bytes:
+                    ends = np.array([(at["a"], at["b"]) for at in each]) + off[d]
+                    first = np.searchsorted(w.start[p:q], ends[:, 0], "right")
+                    last = np.maximum(first, np.searchsorted(w.end[p:q], ends[:, 1], "left"))
+                    places = zip(first.tolist(), last.tolist())
+                else:
+                    places = ((at["a"], at["b"]) for at in each)
+                doc = ids[low + d].as_py()
+                out.extend((doc, at["a"], at["b"], x, y, own[max(0, x - reach):x].tobytes(), own[y:y + reach].tobytes())
+                           for at, (x, y) in zip(each, places))
+            columns = list(zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64() if i < 5 else pa.binary()) for i, c in enumerate(columns)], names=names)
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches in words with their first places, longer by the words that go on alike."""
     for batch in batches:
         grown = []
         for mine, theirs, back in (("left", "ref_left", True), ("right", "ref_right", False)):
             out = np.zeros(batch.num_rows, np.int64)
             for i, (x, y) in enumerate(zip(batch.column(mine), batch.column(theirs))):
-                x, y = np.frombuffer(x.as_py(), kind), np.frombuffer(y.as_py(), kind)
+                x, y = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
                 n = min(len(x), len(y))
                 if n:
                     differ = np.flatnonzero(x[::-1][:n] != y[::-1][:n] if back else x[:n] != y[:n])
                     out[i] = differ[0] if len(differ) else n
-            grown.append(pa.array(out))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "stop", "ref_doc", "ref_start")), *grown],
-                                         names=["doc_id", "start", "stop", "ref_doc", "ref_start", "more_left", "more_right"])
+            grown.append(out)
+        first, last, ref = (batch.column(c).to_numpy() for c in ("first", "last", "ref_first"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(first - grown[0]), pa.array(last - first + grown[0] + grown[1]), batch.column("ref_doc"), pa.array(ref - grown[0])],
+            names=["doc_id", "pos", "size", "ref_doc", "ref_pos"])
 
 
-def extended(found: DataFrame, docs: DataFrame, elements: Elements, kind: type, reach: int) -> DataFrame:
-    """Chains extended left and right by at most ``reach`` elements, by comparing the texts.
+def extended(found: DataFrame, docs: DataFrame, in_bytes: bool, least_words: int) -> DataFrame:
+    """``doc_id, start, stop, n_words, keep_doc_id, keep_start`` in words, from chains in bytes or words.
 
-    Stretches of one diagonal that meet by that become one. A stretch inside
-    another one is left out, and of equal ones that with the smallest place counts.
+    Each end grows by the words that are alike, up to ``least_words`` (by 32-bit hashes), so a
+    stretch of that length is never taken for a shorter one. Stretches of one
+    diagonal that meet by that become one. A stretch inside another one is left
+    out, and of equal ones that with the smallest place counts.
 
-    Texts are joined once: every stretch asks for its surroundings, equal
-    requests are asked once, and only the cut pieces travel on.
+    Texts are joined once: every stretch asks for its surroundings, equal requests
+    are asked once, and only word hashes travel on.
     """
     found = staged(found, "chains")
     stop = (F.col("ref_start") + F.col("stop") - F.col("start")).alias("b")
     asked = found.select("doc_id", F.col("start").alias("a"), F.col("stop").alias("b")).unionByName(
         found.select(F.col("ref_doc").alias("doc_id"), F.col("ref_start").alias("a"), stop)).distinct()
     each = asked.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("asked"))
-    pieces = staged(docs.where("doc_id is not null").join(each, "doc_id").select("doc_id", "text", "asked").mapInArrow(
-        lambda it: _cut(it, elements, reach), "doc_id long, a long, b long, left binary, right binary")
-        .dropDuplicates(["doc_id", "a", "b"]), "pieces")
+    pieces = staged(docs.where("doc_id is not null").join(each, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "asked").mapInArrow(
+        lambda it: _cut(it, in_bytes, least_words), "doc_id long, a long, b long, first long, last long, left binary, right binary"), "pieces")
     mine = pieces.withColumnsRenamed({"a": "start", "b": "stop"})
     theirs = pieces.select(F.col("doc_id").alias("ref_doc"), F.col("a").alias("ref_start"), F.col("b").alias("ref_stop"),
-                           F.col("left").alias("ref_left"), F.col("right").alias("ref_right"))
+                           F.col("first").alias("ref_first"), F.col("left").alias("ref_left"), F.col("right").alias("ref_right"))
     both = (found.join(mine, ["doc_id", "start", "stop"]).withColumn("ref_stop", stop)
             .join(theirs, ["ref_doc", "ref_start", "ref_stop"]))
-    grown = both.select("doc_id", "start", "stop", "ref_doc", "ref_start", "left", "right", "ref_left", "ref_right").mapInArrow(
-        lambda it: _extend(it, kind),
-        "doc_id long, start long, stop long, ref_doc long, ref_start long, more_left long, more_right long").select(
-        "doc_id", (F.col("start") - F.col("more_left")).alias("pos"),
-        (F.col("stop") + F.col("more_right") - F.col("start") + F.col("more_left")).alias("size"),
-        "ref_doc", (F.col("ref_start") - F.col("more_left")).alias("ref_pos"))
+    grown = both.select("doc_id", "first", "last", "ref_doc", "ref_first", "left", "right", "ref_left", "ref_right").mapInArrow(
+        _extend, "doc_id long, pos long, size long, ref_doc long, ref_pos long")
     lane = Window.partitionBy("doc_id").orderBy("start", F.col("stop").desc(), "ref_doc", "ref_start")
     reach = F.max("stop").over(lane.rowsBetween(Window.unboundedPreceding, -1))
-    return chains(grown).withColumn("reach", reach).where("reach is null or reach < stop").drop("reach")
+    longest = chains(grown.where(F.col("size") >= least_words)).withColumn("reach", reach).where("reach is null or reach < stop")
+    return longest.select("doc_id", "start", "stop", (F.col("stop") - F.col("start")).alias("n_words"),
+                          F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start"))
 
 
 def merged(spans: DataFrame) -> DataFrame:
@@ -126,14 +192,7 @@ def merged(spans: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")))
 
 
-def _word_bytes(data: np.ndarray, off: np.ndarray, doc: int, w: Spans, start: int, stop: int) -> tuple[int, int]:
-    at = w.first[doc]
-    begin = int(w.start[at + start]) if at + start < w.first[doc + 1] else int(off[doc + 1])
-    end = int(w.start[at + stop]) if at + stop < w.first[doc + 1] else int(off[doc + 1])
-    return begin, end
-
-
-def _remove(batches: Iterator[pa.RecordBatch], unit: str, text_col: str, cut: str) -> Iterator[pa.RecordBatch]:
+def _remove(batches: Iterator[pa.RecordBatch], text_col: str, cut: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = batch.column(cut)
         for low, high, data, off in slices(batch.column(text_col)):
@@ -144,15 +203,11 @@ def _remove(batches: Iterator[pa.RecordBatch], unit: str, text_col: str, cut: st
                 if not own:
                     out.append(batch.column(text_col)[low + d].as_py())
                     continue
+                place = lambda i: int(w.start[w.first[d] + i]) if w.first[d] + i < w.first[d + 1] else int(off[d + 1])  # noqa: B023, E731
                 kept, at = [], int(off[d])
                 for s in own:
-                    if unit == "words":
-                        begin, end = _word_bytes(data, off, d, w, s["start"], s["stop"])
-                    else:
-                        begin, end = whole_words(data, off[d] + s["start"], off[d] + s["stop"], off[d], off[d + 1])
-                    if end > begin:
-                        kept.append(data[at:begin].tobytes())
-                        at = max(at, end)
+                    kept.append(data[at:place(s["start"])].tobytes())
+                    at = place(s["stop"])
                 kept.append(data[at:off[d + 1]].tobytes())
                 out.append(b"".join(kept).decode("utf-8", "replace").strip(" \t\r\n"))
             names = [n for n in batch.schema.names if n != cut]
@@ -160,21 +215,7 @@ def _remove(batches: Iterator[pa.RecordBatch], unit: str, text_col: str, cut: st
                 [pa.array(out, pa.string()) if n == text_col else batch.column(n).slice(low, high - low) for n in names], names=names)
 
 
-def whole_words(data: np.ndarray, begin: int, end: int, low: int, high: int) -> tuple[int, int]:
-    """The bytes of the words that lie wholly within ``begin, end`` of the text ``low, high``."""
-    begin, end = int(begin), int(end)
-    while begin < end and begin > low and NOT_SPACE[data[begin]] and NOT_SPACE[data[begin - 1]]:
-        begin += 1
-    while begin < end < high and NOT_SPACE[data[end - 1]] and NOT_SPACE[data[end]]:
-        end -= 1
-    while begin < end and not NOT_SPACE[data[begin]]:
-        begin += 1
-    while begin < end and not NOT_SPACE[data[end - 1]]:
-        end -= 1
-    return begin, end
-
-
-def without(docs: DataFrame, spans: DataFrame, unit: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the stretches cut from the texts; all columns and rows stay.
 
     A text that loses something is also stripped at its ends. Rows without id
@@ -184,5 +225,5 @@ def without(docs: DataFrame, spans: DataFrame, unit: str, id_col: str = "doc_id"
     cuts = merged(spans).select(F.col("doc_id").alias(doc), F.col("spans").alias(cut))
     named = docs.where(F.col(f"`{id_col}`").isNotNull())
     joined = named.join(cuts, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left").drop(doc)
-    done = joined.mapInArrow(lambda it: _remove(it, unit, text_col, cut), docs.schema)
+    done = joined.mapInArrow(lambda it: _remove(it, text_col, cut), docs.schema)
     return done.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

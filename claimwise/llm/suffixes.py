@@ -51,11 +51,6 @@ def _suffixes(batches: Iterator[pa.RecordBatch], words: int, window: int) -> Ite
                 names=["head", "next", "doc_id", "pos"])
 
 
-def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    w = Spans(data, off)
-    return span_hashes(data, w.start, w.end), w.first
-
-
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted suffixes with the first suffix of their run of equal heads and continuations."""
     last, doc, pos = None, 0, 0
@@ -100,11 +95,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 .sortWithinPartitions("head", "next", "doc_id", "pos")
                 .mapInArrow(_neighbours, "doc_id long, pos long, ref_doc long, ref_pos long"))
     hits = by_head.unionByName(by_order).where("ref_doc <> doc_id or ref_pos <> pos").withColumn("size", F.lit(head))
-    grown = repeats.extended(repeats.chains(hits), rows, _words, np.uint64, least_words)
-    return (grown.withColumn("n_words", F.col("stop") - F.col("start")).where(F.col("n_words") >= least_words)
-            .select("doc_id", "start", "stop", "n_words", F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start")))
+    return repeats.extended(repeats.chains(hits), rows, False, least_words)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the passages of :func:`repeated_passages`."""
-    return repeats.without(docs, passages, "words", id_col, text_col)
+    return repeats.without(docs, passages, id_col, text_col)
