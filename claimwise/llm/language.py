@@ -153,7 +153,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, penalty: float) ->
                 votes = np.bincount(doc * k + label, minlength=n * k).reshape(n, k)
             for d in range(n):
                 text = column[low + d].as_py()
-                if k and text and _LETTER.search(text):
+                if k and text and any(m[0].isalpha() for m in _LETTER.finditer(text)):
                     if first[d + 1] > first[d]:
                         top = int(votes[d].argmax())
                         share[d] = votes[d, top] / votes[d].sum()
