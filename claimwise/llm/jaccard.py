@@ -103,7 +103,8 @@ def _buckets(sets: DataFrame, limit: int) -> DataFrame:
         "doc_id", F.col("s.run").alias("run"), F.xxhash64("s.run", "s.token").alias("bucket"))
     done = []
     for level in range(LEVELS):
-        sizes = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        # written, so that the join is on two shuffles of its own and a large bucket can be split
+        sizes = staged(now.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         sized = staged(now.join(sizes, "bucket"), "buckets")
         if level == LEVELS - 1:
             done.append(sized)
