@@ -1,18 +1,16 @@
-"""Substring dedup by content-defined chunks: gear rolling hash, digests, exact extension."""
+"""Substring dedup by content-defined chunks: gear rolling hash over words, digests, matched windows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from claimwise.llm import repeats
-from claimwise.llm.frames import staged, texts
-from claimwise.llm.wordhash import slices, span_hashes
+from claimwise.llm.frames import texts
+from claimwise.llm.wordhash import Spans, grams, inside_text, mix
 
 _GEAR = np.random.default_rng(99).integers(0, 1 << 32, 256, dtype=np.uint32)
+_BASE = np.uint64(0x9FB21C651E98DF25)
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -25,65 +23,63 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cut_points(data: np.ndarray, off: np.ndarray, bits: int, least: int, most: int) -> np.ndarray:
-    """Chunk starts: after bytes whose gear hash has ``bits`` leading zeros, ``least`` to ``most`` apart.
+def cut_points(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Words after which a chunk ends: ``bits`` bits of the gear hash over words are 0.
+
+    The lowest but one bits are taken, which hold the last ``bits + 1`` words only.
+    """
+    h = gear((hashes >> np.uint64(56)).astype(np.uint8))
+    return np.flatnonzero((h >> np.uint32(1)) & np.uint32((1 << bits) - 1) == 0)
+
+
+def digests(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of the words ``start`` to ``stop`` (exclusive) of each span; spans may overlap."""
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(len(hashes) + 1, _BASE)) * np.uint64(pow(int(_BASE), -1, 1 << 64))
+        back = np.cumprod(np.full(len(hashes) + 1, pow(int(_BASE), -1, 1 << 64), np.uint64)) * _BASE
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:-1], dtype=np.uint64)])
+        return mix((total[stop] - total[start]) * back[start] + (stop - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def chosen(w: Spans, hashes: np.ndarray, bits: int, ahead: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Seeds of :func:`repeats.passages`: chunks of under ``words`` words with the ``ahead`` words before them.
 
-    The first byte of every text starts a chunk, and no hash cuts within the
-    first 31 bytes, whose hashes still hold bytes of the text before.
+    Cuts hang on the last words only and those stand in the seed, so the same words
+    have the same seeds wherever they stand. A window that holds no chunk is a seed itself.
     """
-    natural = np.flatnonzero(gear(data) >> np.uint32(32 - bits) == 0) + 1
-    natural = natural[natural - off[np.searchsorted(off, natural - 1, "right") - 1] >= 32]
-    bounds = np.searchsorted(natural, off)
-    out = []
-    for d in range(len(off) - 1):
-        stop, last = int(off[d + 1]), int(off[d])
-        if stop == last:
-            continue
-        out.append(last)
-        for cut in natural[bounds[d]:bounds[d + 1]].tolist():
-            while cut - last > most:
-                last += most
-                out.append(last)
-            if cut - last >= least and cut < stop:
-                last = cut
-                out.append(last)
-        while stop - last > most:
-            last += most
-            out.append(last)
-    return np.array(out, np.int64)
-
-
-def _seeds(batches: Iterator[pa.RecordBatch], bits: int, least: int, most: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for low, high, data, off in slices(batch.column(1)):
-            start = cut_points(data, off, bits, least, most)
-            end = np.append(start[1:], len(data))
-            doc = np.searchsorted(off, start, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(span_hashes(data, start, end).view(np.int64)), pa.array(ids[low:high][doc]),
-                 pa.array(start - off[doc]), pa.array((end - start).astype(np.int32))], names=["digest", "doc_id", "pos", "size"])
+    whole = inside_text(w, words)
+    if not len(whole):
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    cut = cut_points(hashes, bits) + 1
+    begin, stop = cut[:-1] - ahead, cut[1:]
+    own = (begin >= w.first[w.doc[stop - 1]]) & (stop - begin < words)
+    begin, stop = begin[own], stop[own]
+    first = np.maximum(stop - words, w.first[w.doc[begin]])
+    held = np.zeros(len(hashes) + 2, np.int64)
+    np.add.at(held, first, 1)
+    np.add.at(held, begin + 1, -1)
+    bare = np.flatnonzero(whole & (np.cumsum(held)[:len(whole)] == 0))
+    return (np.concatenate([begin, bare]), np.concatenate([digests(hashes, begin, stop), grams(hashes, words)[bare]]),
+            np.concatenate([first, bare]), np.concatenate([begin, bare]))
 
 
 def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
-    bits: int = 5, least: int = 16, most: int = 256,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50, bits: int = 3, ahead: int = 8,
 ) -> DataFrame:
     """``doc_id, start, stop, n_words, keep_doc_id, keep_start``: passages that stand earlier elsewhere.
 
     Word spans (words from 0, ``stop`` exclusive) of at least ``least_words`` words, each with
     the place of the same words in the smallest document, or further ahead in the same
-    one, that stays. Texts are cut into chunks of ``least`` to ``most`` bytes, 48 on average
-    by default, so a passage of that length holds whole chunks wherever it starts;
-    an insertion moves cuts only near it. Equal chunk digests are matched, chained
-    and extended by the words around them.
+    one, that stays. Texts are cut after words, every 8 on average by default, where the last
+    words say so, and an insertion moves cuts only near it. Windows of ``least_words``
+    words whose chunks (each with the ``ahead`` words before it) all stand twice, or which hold
+    no chunk and stand twice, are matched as a whole and chained, so every such passage is found.
 
     Null and empty texts and rows without id have no passage. Repeated rows of one id
-    are one place. Other columns are ignored.
+    are one place. Words and windows are compared by 64-bit hashes. Other columns are ignored.
     """
     rows = texts(docs, id_col, text_col).where("doc_id is not null")
-    seeds = staged(rows.mapInArrow(lambda it: _seeds(it, bits, least, most), "digest long, doc_id long, pos long, size int"), "chunks")
-    return repeats.extended(repeats.chains(repeats.matched(seeds)), rows, True, least_words)
+    return repeats.passages(rows, lambda w, h: chosen(w, h, bits, ahead, least_words), least_words)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,22 +1,26 @@
 """Repeated passages from content-selected seeds: matching, extension and removal.
 
-A seed is a stretch of a text with a digest of its content. Equal digests are
-matched with the first place of that content; seeds on one diagonal of one
-pair of texts chain to a stretch, which is then extended left and right by
-comparing the words around it. Two ways of choosing seeds use this: content-defined
-chunks (:mod:`chunks`) and minimiser suffixes (:mod:`suffixes`).
+A seed is a stretch of a text with a digest of its content, chosen by that content
+alone. Each seed decides for some windows of ``least_words`` words: a window that
+stands twice has all its seeds twice, so only windows without a seed of its own are left
+out. The others are matched as a whole with the first place of the same words, and
+windows on one diagonal of one pair of texts chain to a stretch. Two ways of choosing seeds
+use this: content-defined chunks (:mod:`chunks`) and minimiser suffixes (:mod:`suffixes`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from claimwise.llm.frames import staged, unused
-from claimwise.llm.wordhash import Spans, slices, span_hashes
+from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashes
+
+#: From the words of texts and their hashes: places of the seeds, digests, and the first and last window each decides for.
+Choose = Callable[[Spans, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def shared_seeds(seeds: DataFrame, digests: list[str]) -> DataFrame:
@@ -65,29 +69,39 @@ def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                               (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))], names=schema)
 
 
+def _looked_up(batches: Iterator[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows with the first place of their digest from ``known``, sorted rows of digest, doc_id, pos."""
+    for batch in batches:
+        if batch.num_rows:
+            at = np.searchsorted(known[:, 0], batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(known[at, 1]), pa.array(known[at, 2])],
+                                             names=["doc_id", "pos", "size", "ref_doc", "ref_pos"])
+
+
 def matched(seeds: DataFrame) -> DataFrame:
     """``doc_id, pos, size, ref_doc, ref_pos``: seeds with the first place of their digest, that place left out.
 
     One sort of ``digest, doc_id, pos, size`` over all tasks: places are part of the range, so a
     frequent digest is dealt over several. What a digest that goes over a
-    border needs is put together from the rows at the borders, of which at most two
-    digests a partition are grouped.
+    border needs is put together from the rows at the borders: the first places of at most two
+    digests a partition go to the driver and back to all tasks.
     """
     parts = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = staged(seeds.repartitionByRange(parts, "digest", "doc_id", "pos").sortWithinPartitions("digest", "doc_id", "pos").mapInArrow(
         _first_places, "digest long, doc_id long, pos long, size int, ref_doc long, ref_pos long, edge boolean"), "matches")
     edges = found.where("edge")
     # at most two digests a partition
-    first = edges.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    moved = edges.join(F.broadcast(first), "digest").select(
-        "doc_id", "pos", "size", F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_pos"))
-    return found.where("not edge").select(*moved.columns).unionByName(moved).where("doc_id <> ref_doc or pos <> ref_pos")
+    first = edges.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select("digest", "first.doc_id", "first.pos").collect()
+    known = np.array(sorted(map(tuple, first)), np.int64).reshape(-1, 3)
+    columns = ["doc_id", "pos", "size", "ref_doc", "ref_pos"]
+    moved = edges.select("digest", *columns[:3]).mapInArrow(lambda it: _looked_up(it, known), "doc_id long, pos long, size int, ref_doc long, ref_pos long")
+    return found.where("not edge").select(*columns).unionByName(moved).where("doc_id <> ref_doc or pos <> ref_pos")
 
 
 def chains(hits: DataFrame) -> DataFrame:
     """``doc_id, start, stop, ref_doc, ref_start``: stretches covered by seeds on one diagonal.
 
-    ``hits`` has ``doc_id, pos, size, ref_doc, ref_pos``. The groups are pairs
+    ``hits`` has ``doc_id, pos, size, ref_doc, ref_pos``, each place once. The groups are pairs
     of texts on one diagonal, at most as long as a text.
     """
     lane = Window.partitionBy("doc_id", "ref_doc", "shift").orderBy("pos")
@@ -100,6 +114,68 @@ def chains(hits: DataFrame) -> DataFrame:
             .select("doc_id", "start", "stop", "ref_doc", (F.col("start") - F.col("shift")).alias("ref_start")))
 
 
+def _seeds(batches: Iterator[pa.RecordBatch], choose: Choose) -> Iterator[pa.RecordBatch]:
+    """Digests and places of the seeds of every text."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for low, high, data, off in slices(batch.column(1)):
+            w = Spans(data, off)
+            at, digest, first, last = choose(w, span_hashes(data, w.start, w.end))
+            doc = w.doc[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digest.view(np.int64)), pa.array(ids[low:high][doc]), pa.array(at - w.first[doc]), pa.array((last - first + 1).astype(np.int32))],
+                names=["digest", "doc_id", "pos", "size"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch], choose: Choose, words: int) -> Iterator[pa.RecordBatch]:
+    """Digests and places of the windows of ``words`` words that no seed found only here decides for."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for low, high, data, off in slices(batch.column(1)):
+            w = Spans(data, off)
+            h = span_hashes(data, w.start, w.end)
+            at, _, first, last = choose(w, h)
+            asked = batch.column(2).slice(low, high - low)
+            doc = np.repeat(np.arange(high - low), asked.value_lengths().to_numpy())
+            place = asked.flatten().to_numpy() + w.first[doc]
+            twice = np.zeros(len(h) + 1, bool)
+            twice[place[place < w.first[doc + 1]]] = True
+            once = ~twice[at]
+            change = np.zeros(len(h) + 2, np.int64)
+            np.add.at(change, first[once], 1)
+            np.add.at(change, last[once] + 1, -1)
+            whole = inside_text(w, words)
+            kept = np.flatnonzero(whole & (np.cumsum(change)[:len(whole)] == 0))
+            doc = w.doc[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams(h, words)[kept].view(np.int64)), pa.array(ids[low:high][doc]), pa.array(kept - w.first[doc]),
+                 pa.array(np.full(len(kept), words, np.int32))], names=["digest", "doc_id", "pos", "size"])
+
+
+def passages(docs: DataFrame, choose: Choose, least_words: int) -> DataFrame:
+    """``doc_id, start, stop, n_words, keep_doc_id, keep_start`` in words: all windows that stand earlier, chained.
+
+    Every window of ``least_words`` words must hold a seed that depends on its
+    words only. A stretch inside another one is left out, and of equal ones that
+    with the smallest place counts.
+
+    Texts are read twice: for the seeds, and for the windows between seeds found twice.
+    """
+    schema = "digest long, doc_id long, pos long, size int"
+    seeds = staged(docs.mapInArrow(lambda it: _seeds(it, choose), schema), "seeds")
+    twice = matched(seeds)
+    # combined before the shuffle, so the first place of a frequent digest is one row a task
+    places = twice.select("doc_id", "pos").unionByName(twice.select(F.col("ref_doc").alias("doc_id"), F.col("ref_pos").alias("pos"))).distinct()
+    asked = places.groupBy("doc_id").agg(F.collect_list("pos").alias("asked"))
+    windows = staged(docs.join(asked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "asked").mapInArrow(
+        lambda it: _windows(it, choose, least_words), schema), "windows")
+    lane = Window.partitionBy("doc_id").orderBy("start", F.col("stop").desc(), "ref_doc", "ref_start")
+    reach = F.max("stop").over(lane.rowsBetween(Window.unboundedPreceding, -1))
+    longest = chains(matched(windows)).withColumn("reach", reach).where("reach is null or reach < stop")
+    return longest.select("doc_id", "start", "stop", (F.col("stop") - F.col("start")).alias("n_words"),
+                          F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start"))
+
+
 def _cut(batches: Iterator[pa.RecordBatch], in_bytes: bool, reach: int) -> Iterator[pa.RecordBatch]:
     """Word hashes on either side of every asked stretch, and its first and last word.
 

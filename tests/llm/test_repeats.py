@@ -97,3 +97,46 @@ def test_matches_over_partition_borders(spark):
         got = repeats.matched(spark.createDataFrame(rows, "digest long, doc_id long, pos long, size int").repartition(6)).collect()
         assert sorted((r.doc_id, r.pos, r.ref_doc, r.ref_pos) for r in got) == want
     spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def brute(docs, least=50):
+    """Words of every document in a window of ``least`` words that stands earlier."""
+    first, covered = {}, {}
+    for d in sorted(docs):
+        words = docs[d].split()
+        for i in range(len(words) - least + 1):
+            if first.setdefault(tuple(words[i:i + least]), (d, i)) != (d, i):
+                covered.setdefault(d, set()).update(range(i, i + least))
+    return covered
+
+
+def agrees(spark, module, docs):
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    covered = {}
+    for r in module.repeated_passages(df).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.stop))
+        assert r.n_words >= 50 and (r.keep_doc_id, r.keep_start) < (r.doc_id, r.start)
+        assert docs[r.doc_id].split()[r.start:r.stop] == docs[r.keep_doc_id].split()[r.keep_start:r.keep_start + r.n_words]
+    assert covered == brute(docs)
+    return covered
+
+
+@pytest.mark.parametrize("module", [chunks])
+def test_exact_copy_behind_edited_ones(spark, module):
+    rng = random.Random(21)
+    docs = {}
+    for k in range(8):
+        p = sentence(rng, 60, 100000).split()
+        docs[10 * k] = " ".join([*p[:36], "changed", *p[37:]])
+        docs[10 * k + 1] = " ".join([*p[:24], "other", *p[25:]])
+        docs[10 * k + 2] = docs[10 * k + 3] = " ".join(p)
+    covered = agrees(spark, module, docs)
+    assert set(covered) == {10 * k + 3 for k in range(8)} and all(len(c) == 60 for c in covered.values())
+
+
+@pytest.mark.parametrize("module", [chunks])
+def test_texts_of_frequent_lines_equal_brute_force(spark, module):
+    rng = random.Random(22)
+    lines = [sentence(rng, rng.randrange(5, 30), 50) for _ in range(12)]
+    docs = {i: "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 25))) for i in range(60)}
+    assert agrees(spark, module, docs)
