@@ -23,18 +23,6 @@ from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashe
 Choose = Callable[[Spans, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def shared_seeds(seeds: DataFrame, digests: list[str]) -> DataFrame:
-    """Seeds whose digest stands in two or more places, with the first place of it.
-
-    Only digests and counts are combined first, and only digests found twice
-    carry on, so a frequent digest is one row per task in that shuffle.
-    """
-    places = F.struct("doc_id", "pos")
-    first = seeds.groupBy(*digests).agg(F.count(F.lit(1)).alias("n"), F.min(places).alias("first")).where("n > 1").drop("n")
-    # written, so that the join is on two shuffles of its own and a frequent digest can be split
-    return seeds.join(staged(first, "first"), digests)
-
-
 def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by digest and place, each with the first place of its digest.
 
@@ -106,7 +94,7 @@ def chains(hits: DataFrame) -> DataFrame:
     """
     lane = Window.partitionBy("doc_id", "ref_doc", "shift").orderBy("pos")
     reach = F.max(F.col("pos") + F.col("size")).over(lane.rowsBetween(Window.unboundedPreceding, -1))
-    return (hits.select("doc_id", "pos", "size", "ref_doc", (F.col("pos") - F.col("ref_pos")).alias("shift")).distinct()
+    return (hits.select("doc_id", "pos", "size", "ref_doc", (F.col("pos") - F.col("ref_pos")).alias("shift"))
             .withColumn("new", (F.coalesce(reach, F.lit(-1)) < F.col("pos")).cast("int"))
             .withColumn("part", F.sum("new").over(lane))
             .groupBy("doc_id", "ref_doc", "shift", "part")
@@ -176,88 +164,6 @@ def passages(docs: DataFrame, choose: Choose, least_words: int) -> DataFrame:
                           F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], in_bytes: bool, reach: int) -> Iterator[pa.RecordBatch]:
-    """Word hashes on either side of every asked stretch, and its first and last word.
-
-    A stretch in bytes stands for the words with a byte of it on both sides: those are
-    the same wherever the same bytes stand.
-    """
-    names = ["doc_id", "a", "b", "first", "last", "left", "right"]
-    for batch in batches:
-        ids, asked = batch.column(0), batch.column(2)
-        for low, high, data, off in slices(batch.column(1)):
-            w = Spans(data, off)
-            h = span_hashes(data, w.start, w.end).astype(np.uint32)
-            out: list[tuple] = []
-            for d in range(high - low):
-                p, q = w.first[d], w.first[d + 1]
-                own = h[p:q]
-                each = asked[low + d].as_py()
-                if in_bytes:
-                    ends = np.array([(at["a"], at["b"]) for at in each]) + off[d]
-                    first = np.searchsorted(w.start[p:q], ends[:, 0], "right")
-                    last = np.maximum(first, np.searchsorted(w.end[p:q], ends[:, 1], "left"))
-                    places = zip(first.tolist(), last.tolist())
-                else:
-                    places = ((at["a"], at["b"]) for at in each)
-                doc = ids[low + d].as_py()
-                out.extend((doc, at["a"], at["b"], x, y, own[max(0, x - reach):x].tobytes(), own[y:y + reach].tobytes())
-                           for at, (x, y) in zip(each, places))
-            columns = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64() if i < 5 else pa.binary()) for i, c in enumerate(columns)], names=names)
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches in words with their first places, longer by the words that go on alike."""
-    for batch in batches:
-        grown = []
-        for mine, theirs, back in (("left", "ref_left", True), ("right", "ref_right", False)):
-            out = np.zeros(batch.num_rows, np.int64)
-            for i, (x, y) in enumerate(zip(batch.column(mine), batch.column(theirs))):
-                x, y = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
-                n = min(len(x), len(y))
-                if n:
-                    differ = np.flatnonzero(x[::-1][:n] != y[::-1][:n] if back else x[:n] != y[:n])
-                    out[i] = differ[0] if len(differ) else n
-            grown.append(out)
-        first, last, ref = (batch.column(c).to_numpy() for c in ("first", "last", "ref_first"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(first - grown[0]), pa.array(last - first + grown[0] + grown[1]), batch.column("ref_doc"), pa.array(ref - grown[0])],
-            names=["doc_id", "pos", "size", "ref_doc", "ref_pos"])
-
-
-def extended(found: DataFrame, docs: DataFrame, in_bytes: bool, least_words: int) -> DataFrame:
-    """``doc_id, start, stop, n_words, keep_doc_id, keep_start`` in words, from chains in bytes or words.
-
-    Each end grows by the words that are alike, up to ``least_words`` (by 32-bit hashes), so a
-    stretch of that length is never taken for a shorter one. Stretches of one
-    diagonal that meet by that become one. A stretch inside another one is left
-    out, and of equal ones that with the smallest place counts.
-
-    Texts are joined once: every stretch asks for its surroundings, equal requests
-    are asked once, and only word hashes travel on.
-    """
-    found = staged(found, "chains")
-    stop = (F.col("ref_start") + F.col("stop") - F.col("start")).alias("b")
-    asked = found.select("doc_id", F.col("start").alias("a"), F.col("stop").alias("b")).unionByName(
-        found.select(F.col("ref_doc").alias("doc_id"), F.col("ref_start").alias("a"), stop)).distinct()
-    each = asked.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("asked"))
-    pieces = staged(docs.where("doc_id is not null").join(each, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "asked").mapInArrow(
-        lambda it: _cut(it, in_bytes, least_words), "doc_id long, a long, b long, first long, last long, left binary, right binary"), "pieces")
-    mine = pieces.withColumnsRenamed({"a": "start", "b": "stop"})
-    theirs = pieces.select(F.col("doc_id").alias("ref_doc"), F.col("a").alias("ref_start"), F.col("b").alias("ref_stop"),
-                           F.col("first").alias("ref_first"), F.col("left").alias("ref_left"), F.col("right").alias("ref_right"))
-    both = (found.join(mine, ["doc_id", "start", "stop"]).withColumn("ref_stop", stop)
-            .join(theirs, ["ref_doc", "ref_start", "ref_stop"]))
-    grown = both.select("doc_id", "first", "last", "ref_doc", "ref_first", "left", "right", "ref_left", "ref_right").mapInArrow(
-        _extend, "doc_id long, pos long, size long, ref_doc long, ref_pos long")
-    lane = Window.partitionBy("doc_id").orderBy("start", F.col("stop").desc(), "ref_doc", "ref_start")
-    reach = F.max("stop").over(lane.rowsBetween(Window.unboundedPreceding, -1))
-    longest = chains(grown.where(F.col("size") >= least_words)).withColumn("reach", reach).where("reach is null or reach < stop")
-    return longest.select("doc_id", "start", "stop", (F.col("stop") - F.col("start")).alias("n_words"),
-                          F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start"))
-
-
 def merged(spans: DataFrame) -> DataFrame:
     """``doc_id, spans``: per document its removed stretches, joined where they touch."""
     lane = Window.partitionBy("doc_id").orderBy("start", "stop")

@@ -1,72 +1,40 @@
-"""Suffix-array dedup: suffixes at minimiser positions, sorted, compared with neighbours, extended."""
+"""Suffix-array dedup: suffixes at minimiser positions, sorted, windows around shared ones sorted in turn."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from claimwise.llm import repeats
-from claimwise.llm.frames import staged, texts
-from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashes
-
+from claimwise.llm.frames import texts
+from claimwise.llm.wordhash import Spans, grams, inside_text
 
-def minimisers(keys: np.ndarray, inside: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest key of every ``window`` positions of one text.
 
-    The first of equal keys counts; a key that repeats within a window of the last
-    one taken is left out, so that periodic text yields few suffixes.
-    """
+def smallest(keys: np.ndarray, inside: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of ``window`` positions of one text, and the position of the smallest key of each; the first of equal keys counts."""
     if len(keys) < window:
-        windows = np.zeros(0, np.int64)
-    else:
-        low = np.where(inside, keys, np.uint64(2 ** 64 - 1))
-        span = np.lib.stride_tricks.sliding_window_view(low, window)
-        whole = inside[:len(span)] & inside[window - 1:] & (doc[:len(span)] == doc[window - 1:len(keys)])
-        starts = np.flatnonzero(whole)
-        windows = np.unique(starts + span[starts].argmin(axis=1))
-    again = np.zeros(len(windows), bool)
-    again[1:] = (keys[windows[1:]] == keys[windows[:-1]]) & (np.diff(windows) < window)
-    return windows[~again]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = np.where(inside, keys, np.uint64(2 ** 64 - 1))
+    span = np.lib.stride_tricks.sliding_window_view(low, window)
+    whole = inside[:len(span)] & inside[window - 1:] & (doc[:len(span)] == doc[window - 1:len(keys)])
+    starts = np.flatnonzero(whole)
+    return starts, starts + span[starts].argmin(axis=1)
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], words: int, window: int) -> Iterator[pa.RecordBatch]:
-    """The kept suffixes: hashes of their first and second ``words`` words, and their places."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for low, high, data, off in slices(batch.column(1)):
-            w = Spans(data, off)
-            keys = grams(span_hashes(data, w.start, w.end), words)
-            inside = inside_text(w, words)
-            at = minimisers(keys, inside, w.doc, window)
-            doc = w.doc[at]
-            after = at + words
-            second = np.zeros(len(at), np.uint64)
-            fits = after + words <= w.first[doc + 1]
-            second[fits] = keys[after[fits]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[at].view(np.int64)), pa.array(second.view(np.int64)), pa.array(ids[low:high][doc]), pa.array(at - w.first[doc])],
-                names=["head", "next", "doc_id", "pos"])
+def minimisers(keys: np.ndarray, inside: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the smallest key of every ``window`` positions of one text."""
+    return np.unique(smallest(keys, inside, doc, window)[1])
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes with the first suffix of their run of equal heads and continuations."""
-    last, doc, pos = None, 0, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        head, after, docs, places = (batch.column(c).to_numpy() for c in ("head", "next", "doc_id", "pos"))
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = (head[1:] != head[:-1]) | (after[1:] != after[:-1])
-        new[0] = last != (head[0], after[0])
-        first = np.maximum.accumulate(np.where(new, np.arange(batch.num_rows), -1))
-        ref_doc = np.where(first < 0, doc, docs[np.maximum(first, 0)])
-        ref_pos = np.where(first < 0, pos, places[np.maximum(first, 0)])
-        last, doc, pos = (head[-1], after[-1]), ref_doc[-1], ref_pos[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(places), pa.array(ref_doc), pa.array(ref_pos)],
-                                         names=["doc_id", "pos", "ref_doc", "ref_pos"])
+def chosen(w: Spans, hashes: np.ndarray, words: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Seeds of :func:`repeats.passages`: suffixes at minimisers, each deciding for the windows it is the smallest of."""
+    keys = grams(hashes, words)
+    starts, at = smallest(keys, inside_text(w, words), w.doc, window)
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (np.diff(starts) != 1)
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(at))[:len(begin)] - 1
+    return at[begin], keys[at[begin]], starts[begin], starts[last]
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50) -> DataFrame:
@@ -75,27 +43,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Word spans (words from 0, ``stop`` exclusive) of at least ``least_words`` words, each with
     the place of the same words in the smallest document, or further ahead in the same
     one, that stays. Half of ``least_words`` is the compared head of a suffix, and
-    windows of the other half choose the suffixes, so every such passage holds a
-    chosen one. Suffixes with an equal head are sorted by what follows, and each is
-    compared with the first of its neighbours that go on alike and with the first place of
-    its head; matches are chained and extended left and right by the text itself.
+    windows of the other half choose the suffixes, periodic text included, so each
+    ``least_words`` words hold a chosen one. Suffixes are sorted by their heads; around
+    those whose head stands twice all windows of ``least_words`` words are sorted in turn and
+    matched with the first place of the same words, and chained, so every such passage is found.
 
     Null and short texts and rows without id have no passage. Repeated rows of one id are
-    one place. Words are compared by 64-bit hashes. Other columns are ignored.
+    one place. Words and windows are compared by 64-bit hashes. Other columns are ignored.
     """
     head = least_words // 2
-    window = least_words - head
+    window = least_words - head + 1
     rows = texts(docs, id_col, text_col).where("doc_id is not null")
-    suffixes = staged(rows.mapInArrow(lambda it: _suffixes(it, head, window), "head long, next long, doc_id long, pos long"), "suffixes")
-    shared = staged(repeats.shared_seeds(suffixes, ["head"]), "shared")
-    by_head = shared.select("doc_id", "pos", F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_pos"))
-    # the place is part of the range key, so a frequent head is spread over tasks
-    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_order = (shared.select("head", "next", "doc_id", "pos").repartitionByRange(parts, "head", "next", "doc_id", "pos")
-                .sortWithinPartitions("head", "next", "doc_id", "pos")
-                .mapInArrow(_neighbours, "doc_id long, pos long, ref_doc long, ref_pos long"))
-    hits = by_head.unionByName(by_order).where("ref_doc <> doc_id or ref_pos <> pos").withColumn("size", F.lit(head))
-    return repeats.extended(repeats.chains(hits), rows, False, least_words)
+    return repeats.passages(rows, lambda w, h: chosen(w, h, head, window), least_words)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

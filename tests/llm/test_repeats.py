@@ -121,7 +121,7 @@ def agrees(spark, module, docs):
     return covered
 
 
-@pytest.mark.parametrize("module", [chunks])
+@pytest.mark.parametrize("module", [chunks, suffixes])
 def test_exact_copy_behind_edited_ones(spark, module):
     rng = random.Random(21)
     docs = {}
@@ -134,9 +134,22 @@ def test_exact_copy_behind_edited_ones(spark, module):
     assert set(covered) == {10 * k + 3 for k in range(8)} and all(len(c) == 60 for c in covered.values())
 
 
-@pytest.mark.parametrize("module", [chunks])
+@pytest.mark.parametrize("module", [chunks, suffixes])
 def test_texts_of_frequent_lines_equal_brute_force(spark, module):
     rng = random.Random(22)
     lines = [sentence(rng, rng.randrange(5, 30), 50) for _ in range(12)]
     docs = {i: "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 25))) for i in range(60)}
     assert agrees(spark, module, docs)
+
+
+@pytest.mark.parametrize("module", [chunks, suffixes])
+def test_passages_begun_in_an_earlier_text(spark, module):
+    rng = random.Random(23)
+    docs = {}
+    for k in range(20):
+        p = sentence(rng, 50 + k % 11, 100000).split()
+        docs[10 * k] = " ".join([*p[:45], sentence(rng, 30, 100000)])
+        for i in (1, 2):
+            docs[10 * k + i] = " ".join([sentence(rng, 40, 100000), *p, sentence(rng, 40, 100000)])
+    covered = agrees(spark, module, docs)
+    assert set(covered) == {10 * k + 2 for k in range(20)}
