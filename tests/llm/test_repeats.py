@@ -153,3 +153,15 @@ def test_passages_begun_in_an_earlier_text(spark, module):
             docs[10 * k + i] = " ".join([sentence(rng, 40, 100000), *p, sentence(rng, 40, 100000)])
     covered = agrees(spark, module, docs)
     assert set(covered) == {10 * k + 2 for k in range(20)}
+
+
+@pytest.mark.parametrize("module", [chunks, suffixes])
+def test_periodic_sections(spark, module):
+    rng = random.Random(24)
+    docs = {}
+    for k, period in enumerate((1, 3, 7, 24, 26, 60)):
+        part = (" ".join(sentence(rng, period, 100000) for _ in range(1)) + " ") * (1000 // period)
+        for i in range(2):
+            docs[10 * k + i] = f"{sentence(rng, 30, 100000)} {part}{sentence(rng, 30, 100000)}"
+    covered = agrees(spark, module, docs)
+    assert all(len(covered[10 * k + 1]) == 1000 // p * p for k, p in enumerate((1, 3, 7, 24, 26, 60)))
