@@ -165,3 +165,16 @@ def test_periodic_sections(spark, module):
             docs[10 * k + i] = f"{sentence(rng, 30, 100000)} {part}{sentence(rng, 30, 100000)}"
     covered = agrees(spark, module, docs)
     assert all(len(covered[10 * k + 1]) == 1000 // p * p for k, p in enumerate((1, 3, 7, 24, 26, 60)))
+
+
+@pytest.mark.parametrize("module", [chunks, suffixes])
+def test_passages_of_short_words(spark, module):
+    rng = random.Random(25)
+    docs = {}
+    for k in range(60):
+        size = 1 + k % 2
+        word = lambda: "".join(rng.choice("abcdefghij0123456789") for _ in range(size))  # noqa: B023, E731
+        passage = [word() for _ in range(50 + k % 11)]
+        for i in range(2):
+            docs[10 * k + i] = " ".join([sentence(rng, 30, 100000), *passage, sentence(rng, 30, 100000)])
+    assert len(agrees(spark, module, docs)) == 60
