@@ -23,6 +23,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
 
+def row_key(sized: DataFrame) -> list[str]:
+    """The column ``row`` where :func:`sizes` was given a key."""
+    return ["row"] if "row" in sized.columns else []
+
+
 def source_targets(sized: DataFrame, cap: int = CAP, cycle: tuple[float, ...] = CYCLE) -> DataFrame:
     """``source, sid, source_size, target``: shares by weight, none above ``cap`` times its size.
 
@@ -53,15 +58,16 @@ def placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     The order is by MD5 of the id. Running sums go over 4096 hash ranges per source and
     inside each range, so a large source is many groups.
     """
+    row = row_key(sized)
     known = (sized.join(targets.select("source", "sid"), sized["source"].eqNullSafe(targets["source"]))
-             .select("doc_id", "size", "sid", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+             .select("doc_id", "size", "sid", *row, F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
              .withColumn("range", F.substring("h", 1, 3)))
     ranges = known.groupBy("sid", "range").agg(F.sum("size").alias("n"))
     ahead = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("sid", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("sid", "range").orderBy("h", "doc_id", "size", *row).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = ranges.select("sid", "range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     return known.join(base, ["sid", "range"]).select(
-        "doc_id", "size", "sid", (F.col("base") + F.sum("size").over(inside) - F.col("size")).alias("at"))
+        "doc_id", "size", "sid", *row, (F.col("base") + F.sum("size").over(inside) - F.col("size")).alias("at"))
 
 
 def schedule(targets: DataFrame, slots: int, block: int = BLOCK, cap: int = CAP) -> DataFrame:
@@ -89,14 +95,15 @@ def schedule(targets: DataFrame, slots: int, block: int = BLOCK, cap: int = CAP)
         "slot", "sid", (F.col("base") + F.row_number().over(Window.partitionBy("sid", "run").orderBy("slot")) - 1).alias("turn"))
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size`` of every row, written once."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """``doc_id, source, size`` of every row, written once, and ``row`` where a column of unique row keys is given."""
+    row = [F.col(f"`{row_col}`").alias("row")] if row_col else []
     return staged(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                              word_count(F.col(f"`{text_col}`")).alias("size")), "sizes")
+                              word_count(F.col(f"`{text_col}`")).alias("size"), *row), "sizes")
 
 
 def mix(sized: DataFrame, block: int = BLOCK, cap: int = CAP, cycle: tuple[float, ...] = CYCLE) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of :func:`sizes`.
+    """``doc_id, size, source_size, target, taken`` (and ``row``, if there) for every row of :func:`sizes`.
 
     The slots of a source take its blocks of ``block`` words in order, from the front again
     when they are used up, at most ``cap`` times; ``taken`` sums what they take of a
@@ -113,32 +120,34 @@ def mix(sized: DataFrame, block: int = BLOCK, cap: int = CAP, cycle: tuple[float
     taken = (schedule(targets, slots, block, cap).join(targets.select("sid", blocks.alias("blocks")), "sid")
              .where(F.col("turn") < F.col("blocks") * cap)
              .groupBy("sid", (F.col("turn") % F.col("blocks")).alias("block")).agg(F.count(F.lit(1)).alias("times")))
+    row = row_key(sized)
     places = staged(placed(sized, targets), "places")
     begin, end = F.col("block") * block, F.col("block") * block + block
     overlap = F.least(F.col("at") + F.col("size"), end) - F.greatest("at", begin)
     pieces = places.where("size > 0").withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))))
-    some = (pieces.join(taken, ["sid", "block"], "left").groupBy("sid", "at", "doc_id", "size")
-            .agg(F.sum(F.coalesce("times", F.lit(0)) * overlap).alias("taken")).select("doc_id", "size", "sid", "taken"))
-    none = places.where("size = 0").select("doc_id", "size", "sid", F.lit(0).cast("long").alias("taken"))
-    return some.unionByName(none).join(targets.drop("source"), "sid").select("doc_id", "size", "source_size", "target", "taken")
+    some = (pieces.join(taken, ["sid", "block"], "left").groupBy("sid", "at", "doc_id", "size", *row)
+            .agg(F.sum(F.coalesce("times", F.lit(0)) * overlap).alias("taken")).select("doc_id", "size", "sid", "taken", *row))
+    none = places.where("size = 0").select("doc_id", "size", "sid", F.lit(0).cast("long").alias("taken"), *row)
+    return some.unionByName(none).join(targets.drop("source"), "sid").select("doc_id", "size", "source_size", "target", "taken", *row)
 
 
-def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``docs`` with the words the mix takes of each text, as one text per document.
 
     Whole passes follow one another on new lines, then the words of a pass
-    broken off. Documents of which nothing is taken go. Rows of one id share
-    what the mix takes of that id.
+    broken off. Documents of which nothing is taken go. With ``row_col``,
+    the key given to :func:`sizes`, each row gets what the mix takes of it, rows without id
+    too. Else rows of one id share what the mix takes of that id, and rows without id go.
     """
     doc, words, size = (unused(docs, name) for name in ("_doc", "_taken", "_size"))
-    shares = mixed.where("taken > 0").groupBy(F.col("doc_id").alias(doc)).agg(F.sum("taken").alias(words), F.sum("size").alias(size))
+    shares = mixed.where("taken > 0").groupBy(F.col("row" if row_col else "doc_id").alias(doc)).agg(F.sum("taken").alias(words), F.sum("size").alias(size))
     text = F.col(f"`{text_col}`")
     whole = F.floor(F.col(words) / F.col(size)).cast("int")
     rest = (F.col(words) - whole * F.col(size)).cast("int")
     part = F.when(rest > 0, F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + _WORD), F.lit(0)), F.lit(1), rest), ""))
     out = F.concat_ws("\n", F.array_repeat(text, whole), part)
-    return docs.join(shares, F.col(f"`{id_col}`").cast("long") == F.col(doc)).withColumn(text_col, out).drop(doc, words, size)
+    return docs.join(shares, F.col(f"`{row_col or id_col}`").cast("long") == F.col(doc)).withColumn(text_col, out).drop(doc, words, size)
 
 
 SQL = f"""

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwise.llm import jaccard, mixture, packing, quality, suffixes
+from claimwise.llm.frames import staged, unused
 from claimwise.session import scratch_path
 
 
@@ -35,8 +36,11 @@ def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts as often as the mix takes them; ``n_chars`` follows the text."""
-    mixed = mixture.apply_mix(docs, mixture.mix(mixture.sizes(docs)))
+    """Texts as often as the mix takes them, rows without id too; ``n_chars`` follows the text."""
+    row = unused(docs, "_row")
+    # written once, so that the keys stay the same
+    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    mixed = mixture.apply_mix(keyed, mixture.mix(mixture.sizes(keyed, row_col=row)), row_col=row)
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from claimwise.llm import mixture
 from tests.llm.conftest import sentence
 
 
@@ -51,3 +52,13 @@ def test_empty_corpus(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
     assert docs.count() == 0
+
+
+def test_rows_without_id_are_mixed(spark):
+    rows = [(None, f"first{i} " * 100, "en", "a", 0) for i in range(3)] + [(1, "named " * 100, "en", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixture.mix(mixture.sizes(docs)).collect()
+    out = corpus_pipeline.mixed_sources(spark, docs, "").collect()
+    words = [len(r.text.split()) for r in out if r.doc_id is None]
+    assert sum(words) == sum(r.taken for r in mixed if r.doc_id is None) > 0
+    assert all(len(set(r.text.split())) == 1 for r in out)
