@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwise.llm import chunks, compression, hnsw, jaccard, language, licences, mixture, packing, quality, suffixes
+from claimwise.llm import (
+    chunks, compression, divergence, hnsw, jaccard, language, licences, mixture, packing, quality, ranked_search, secret_scan,
+    suffixes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,3 +78,24 @@ def op8_small_world(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op10_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.repeated_passages(_table(spark, sf, "documents"))
+
+
+@_query
+def op11_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secret_scan(_table(spark, sf, "documents")))
+
+
+@_query
+def op12_shared_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.ranked_search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+SQL["op12_shared_search"] = ranked_search.SQL
+
+
+@_query
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf, "documents"))
+
+
+SQL["op13_source_divergence"] = divergence.SQL
