@@ -7,6 +7,11 @@ gives each bucket its offset, and only inside a bucket are values ordered. No
 window is ever unpartitioned over data rows. Split points steer balance only;
 any split points give the same result. Equal values are collapsed to a count
 before the shuffle, so a value that fills a third of the table is one row.
+
+No window orders more than ``BUCKET_ROWS`` rows. Quantile borders prove that for
+tables of up to about that many rows a bucket. For larger ones, and for borders given
+by the caller, buckets are counted, and those with more distinct values are split
+again by their own quantiles, round by round (:func:`refinements`).
 """
 
 from __future__ import annotations
@@ -19,6 +24,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from claimwise.functions.hashing import order_key as seeded_order, slot
 from claimwise.functions.numbers import as_double
 from claimwise.functions.text import quoted
+from claimwise.session import stage
+
+#: Most rows that one window orders.
+BUCKET_ROWS = 1_000_000
+#: Parts into which one round splits a bucket, and the relative error of the borders: a part has at most
+#: 1 / FAN + 2 / CUT_ACCURACY of the rows.
+FAN = 64
+CUT_ACCURACY = 2000
+#: Rows of a round's borders that are broadcast, each at most FAN numbers.
+_FEW = 20_000
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -38,6 +53,19 @@ def clean_splits(points: list[float | None]) -> list[float]:
     return [-math.inf, *inner, math.inf]
 
 
+def _measured_splits(df: DataFrame, columns: list[str], buckets: int, sample_fraction: float = 1.0) -> tuple[dict[str, list[float]], int]:
+    """Borders per column, and the most values that a column has."""
+    values = doubles(df, columns, [])
+    if sample_fraction < 1.0:
+        values = values.sample(sample_fraction, seed=11)
+    shares = [i / buckets for i in range(1, buckets)]
+    row = values.agg(
+        *[F.percentile_approx(f"_v{i}", shares, max(10000, 10 * buckets)).alias(f"_s{i}") for i in range(len(columns))],
+        *[F.count(f"_v{i}").alias(f"_n{i}") for i in range(len(columns))]).first()
+    return ({c: clean_splits(row[f"_s{i}"] or []) for i, c in enumerate(columns)},
+            max((row[f"_n{i}"] for i in range(len(columns))), default=0))
+
+
 def split_points(
     df: DataFrame, columns: list[str], buckets: int | None = None, sample_fraction: float = 1.0,
 ) -> dict[str, list[float]]:
@@ -47,16 +75,67 @@ def split_points(
     numbers per column reach the driver. On very large inputs a
     ``sample_fraction`` makes this pass cheaper and only affects balance.
     """
+    return _measured_splits(df, columns, buckets or default_buckets(df.sparkSession), sample_fraction)[0]
+
+
+def bounded(rows: int, buckets: int, most: int) -> bool:
+    """Whether quantile borders alone keep every bucket of ``rows`` values within ``most`` distinct ones.
+
+    A border is off by at most a tenth of a bucket, and a bucket has two.
+    """
+    return rows * 1.2 / buckets + 1 <= most
+
+
+def _borders(df: DataFrame, columns: list[str], buckets: int | None, splits: dict | None, most: int) -> tuple[dict, bool]:
+    """Borders per column, and whether they are known to be fine enough. Borders of the caller are not."""
+    if splits:
+        return splits, False
     buckets = buckets or default_buckets(df.sparkSession)
-    values = doubles(df, columns, [])
-    if sample_fraction < 1.0:
-        values = values.sample(sample_fraction, seed=11)
-    shares = [i / buckets for i in range(1, buckets)]
-    row = values.agg(*[
-        F.percentile_approx(f"_v{i}", shares, max(10000, 10 * buckets)).alias(f"_s{i}")
-        for i in range(len(columns))
-    ]).first()
-    return {c: clean_splits(row[f"_s{i}"] or []) for i, c in enumerate(columns)}
+    found, rows = _measured_splits(df, columns, buckets)
+    return found, bounded(rows, buckets, most)
+
+
+def refinements(values: DataFrame, by: list[str], most: int = BUCKET_ROWS, value: str = "value", bucket: str = "bucket") -> list[DataFrame]:
+    """Rounds of borders that split every bucket of over ``most`` rows of ``values``, a staged frame with ``by, value, bucket``.
+
+    A round sketches every bucket where the rows lie and merges the sketches, so that a crowded
+    bucket is no single task. The borders are written, as all later steps must see the same
+    ones. Equal values stay together; callers collapse them first.
+    """
+    rounds: list[DataFrame] = []
+    keys = [*[quoted(b) for b in by], quoted(bucket)]
+    while True:
+        now = refined(values, by, rounds, value, bucket)
+        shares = [i / FAN for i in range(1, FAN)]
+        sketched = now.groupBy(*keys).agg(
+            F.count("*").alias("_rows"), (F.min(value) < F.max(value)).alias("_wide"),
+            F.percentile_approx(value, shares, CUT_ACCURACY).alias("_cuts"))
+        cuts = stage(sketched.where((F.col("_rows") > most) & F.col("_wide")).select(*keys, F.array_distinct("_cuts").alias("_cuts")), "cuts")
+        if cuts.isEmpty():
+            return rounds
+        rounds.append(cuts)
+
+
+def refined(frame: DataFrame, by: list[str], rounds: list[DataFrame], value: str = "value", bucket: str = "bucket") -> DataFrame:
+    """``frame`` with its buckets split by the borders of :func:`refinements`; the order of buckets stays that of the values."""
+    if not rounds:
+        return frame
+    frame = frame.withColumn(bucket, quoted(bucket).cast("bigint"))
+    for cuts in rounds:
+        cuts = cuts.withColumn(bucket, quoted(bucket).cast("bigint"))
+        few = cuts.count() <= _FEW
+        below = F.size(F.filter("_cuts", lambda c: c < quoted(value)))
+        frame = (frame.join(F.broadcast(cuts) if few else cuts, [*by, bucket], "left")
+                 .withColumn(bucket, quoted(bucket) * FAN + F.coalesce(F.when(F.col("_cuts").isNotNull(), below), F.lit(0))).drop("_cuts"))
+    return frame
+
+
+def within(counts: DataFrame, by: list[str], fine: bool, most: int) -> DataFrame:
+    """``counts`` as they are where the borders are ``fine``, else staged and refined."""
+    if fine:
+        return counts
+    counts = stage(counts, "value-counts")
+    return refined(counts, by, refinements(counts, by, most))
 
 
 def add_buckets(wide: DataFrame, splits: list[list[float]]) -> DataFrame:
@@ -113,8 +192,8 @@ def running_positions(
 ) -> DataFrame:
     """Add ``before``: rows of the group with a smaller value.
 
-    ``few_groups`` states that ``by`` is bounded by the schema (feature names),
-    so the offset table has at most features x buckets rows and is broadcast;
+    ``few_groups`` states that ``by`` is bounded by the schema (feature names) and no bucket was
+    split, so the offset table has at most features x buckets rows and is broadcast;
     otherwise Spark chooses the join from the measured sizes. ``sizes`` may give
     counts per group and bucket from a cheaper source than ``counts``.
     """
@@ -128,15 +207,15 @@ def running_positions(
 
 def average_rank(
     df: DataFrame, columns: list[str], buckets: int | None = None,
-    splits: dict | None = None,
+    splits: dict | None = None, most: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``feature, value, n, avg_rank`` for each distinct value of each column.
 
     Ties share the mean of the positions they occupy (1-based).
     """
-    splits = splits or split_points(df, columns, buckets)
-    counts = value_counts(long_values(df, columns, splits=splits), ["feature"])
-    placed = running_positions(counts, ["feature"], few_groups=True)
+    splits, fine = _borders(df, columns, buckets, splits, most)
+    counts = within(value_counts(long_values(df, columns, splits=splits), ["feature"]), ["feature"], fine, most)
+    placed = running_positions(counts, ["feature"], few_groups=fine)
     return placed.select(
         "feature", "value", "n",
         (F.col("before") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
@@ -144,7 +223,7 @@ def average_rank(
 
 def exact_quantiles(
     df: DataFrame, columns: list[str], probs: list[float], by: list[str] = (),
-    buckets: int | None = None, splits: dict | None = None,
+    buckets: int | None = None, splits: dict | None = None, most: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``by..., feature, prob, quantile``.
 
@@ -153,7 +232,7 @@ def exact_quantiles(
     Rows with a null group key or null value do not count.
     """
     by = list(by)
-    splits = splits or split_points(df, columns, buckets)
+    splits, fine = _borders(df, columns, buckets, splits, most)
     for key in by:
         df = df.where(quoted(key).isNotNull())
     group = [*by, "feature"]
@@ -161,7 +240,7 @@ def exact_quantiles(
     names = [*renamed.values(), "feature"]
     long = long_values(df, columns, by, splits)
     long = long.select(*[quoted(b).alias(a) for b, a in renamed.items()], "feature", "value", "bucket")
-    counts = value_counts(long, names)
+    counts = within(value_counts(long, names), names, fine, most)
 
     # positions wanted in every group, with their interpolation weights
     place = F.col("prob") * (F.col("total") - 1)
@@ -180,7 +259,7 @@ def exact_quantiles(
     earlier = (Window.partitionBy(*names, "bucket").orderBy("value")
                .rowsBetween(Window.unboundedPreceding, -1))
     found = (
-        counts.join(F.broadcast(wanted) if not by else wanted, [*names, "bucket"])
+        counts.join(F.broadcast(wanted) if not by else wanted, [*names, "bucket"])  # at most two buckets a column and probability
         .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .select("*", F.inline("targets"))
         .where("position >= before AND position < before + n")
@@ -201,9 +280,12 @@ def medians(df: DataFrame, columns: list[str], **options) -> DataFrame:
 
 def row_index(
     df: DataFrame, order_by: str, name: str = "row_index", start: int = 1,
-    buckets: int | None = None,
+    buckets: int | None = None, most: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Contiguous number in the order of a unique numeric or time column."""
+    """Contiguous number in the order of a unique numeric or time column.
+
+    Missing keys come first, as in any ascending order; they share one bucket.
+    """
     kind = dict(df.dtypes)[order_by]
     key = quoted(order_by)
     if kind == "date":
@@ -211,17 +293,23 @@ def row_index(
     elif kind in ("timestamp", "timestamp_ntz"):
         key = F.unix_micros(key.cast("timestamp"))
     keyed = df.withColumn("_v0", key.cast("double"))
-    splits = split_points(keyed, ["_v0"], buckets)
-    def bucketed(frame: DataFrame) -> DataFrame:
+    splits, fine = _borders(keyed, ["_v0"], buckets, None, most)
+
+    def placed(frame: DataFrame) -> DataFrame:
         return add_buckets(frame, [splits["_v0"]]).withColumnRenamed("_b0", "_bucket")
 
+    rounds = [] if fine else refinements(stage(placed(keyed.select("_v0")), "keys"), [], most, "_v0", "_bucket")
+
+    def bucketed(frame: DataFrame) -> DataFrame:
+        return refined(placed(frame), [], rounds, "_v0", "_bucket")
+
     sizes = bucketed(keyed.select("_v0")).groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # one row per bucket: bounded by ``buckets``
+    # one row per bucket: a millionth of the rows beyond the first buckets
     earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_bucket").orderBy(quoted(order_by))
     return (
-        bucketed(keyed).join(F.broadcast(offsets), "_bucket")
+        bucketed(keyed).join(F.broadcast(offsets) if fine else offsets, "_bucket")
         .withColumn(name, (F.col("_offset") + F.row_number().over(inside) + (start - 1)).cast("bigint"))
         .drop("_bucket", "_offset", "_v0")
     )
@@ -256,44 +344,40 @@ def file_row_index(df: DataFrame, name: str = "row_index", start: int = 1) -> Da
 
 def seeded_cuts(
     df: DataFrame, key: str, seed: int, sizes: list[int], buckets: int | None = None,
-    total: int | None = None,
+    total: int | None = None, most: int = BUCKET_ROWS,
 ) -> list[str]:
     """Upper borders that cut the seeded order of ``key`` into parts of exact sizes.
 
     The order key starts with a uniform hash, so its leading digits are the
-    bucket and no split points are needed. Only the buckets holding a border
-    are ordered; the driver receives one count per bucket and one text per
-    border. ``key`` must be unique.
+    bucket and no split points are needed; there are as many buckets as keep each at half of
+    ``most`` rows. Only the buckets holding a border are ordered; the driver
+    receives one bucket and one text per border. ``key`` must be unique.
     """
-    buckets = buckets or default_buckets(df.sparkSession)
+    total = df.count() if total is None else total
+    buckets = max(buckets or default_buckets(df.sparkSession), -(-2 * total // most))
     text = seeded_order(quoted(key), seed)
     keyed = df.select(text.alias("_order")).withColumn(
-        "_bucket", F.floor(slot(F.col("_order"), 0) * buckets / F.lit(2.0 ** 32)).cast("int"))
-    counts = {r["_bucket"]: r["n"] for r in keyed.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
-    borders, reached, bucket_start = {}, 0, {}
-    for b in sorted(counts):
-        bucket_start[b] = reached
-        reached += counts[b]
-    cumulative = 0
-    wanted = []
-    for size in sizes:
-        cumulative += size
-        wanted.append(cumulative)
-        for b, first in bucket_start.items():
-            if first < cumulative <= first + counts[b]:
-                borders[cumulative] = (b, cumulative - first)
-    if not borders:
-        return ["" for _ in wanted]
-    hit = F.lit(False)
-    for b, local in borders.values():
-        hit = hit | ((F.col("_bucket") == b) & (F.col("_at") == local))
+        "_bucket", F.floor(slot(F.col("_order"), 0) * buckets / F.lit(2.0 ** 32)).cast("bigint"))
+    ends = [sum(sizes[:i + 1]) for i in range(len(sizes))]
+    inner = sorted({e for e in ends if 0 < e <= total})
+    if not inner:
+        return ["" for _ in ends]
+    # one row per bucket passes this window
+    reached = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket"))
+    hits = (keyed.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn("_last", reached)
+            .withColumn("_end", F.explode(F.array(*[F.lit(e).cast("bigint") for e in inner])))
+            .where("_end <= _last and _end > _last - _n").select("_bucket", "_end", (F.col("_end") - F.col("_last") + F.col("_n")).alias("_place")).collect())
     inside = Window.partitionBy("_bucket").orderBy("_order")
+    hit = F.lit(False)
+    for h in hits:
+        hit = hit | ((F.col("_bucket") == h["_bucket"]) & (F.col("_at") == h["_place"]))
     rows = (
-        keyed.where(F.col("_bucket").isin(*{b for b, _ in borders.values()}))
+        keyed.where(F.col("_bucket").isin(*{h["_bucket"] for h in hits}))
         .withColumn("_at", F.row_number().over(inside)).where(hit).collect()
     )
     text_at = {(r["_bucket"], r["_at"]): r["_order"] for r in rows}
-    return [text_at[borders[w]] if w in borders else "" for w in wanted]
+    border = {h["_end"]: text_at[h["_bucket"], h["_place"]] for h in hits}
+    return [border.get(e, "") for e in ends]
 
 
 def holdout_split(
@@ -305,7 +389,7 @@ def holdout_split(
     The flag is a comparison with one literal: no shuffle of the data.
     """
     total = df.count()
-    border, = seeded_cuts(df, key, seed, [math.ceil(fraction * total)], buckets)
+    border, = seeded_cuts(df, key, seed, [math.ceil(fraction * total)], buckets, total)
     return df.withColumn(name, seeded_order(quoted(key), seed) <= F.lit(border))
 
 
@@ -316,7 +400,7 @@ def fold_index(
     """Shuffled folds 0..folds-1; the first (rows mod folds) folds hold one row more."""
     total = df.count()
     sizes = [total // folds + (1 if i < total % folds else 0) for i in range(folds)]
-    borders = seeded_cuts(df, key, seed, sizes[:-1], buckets)
+    borders = seeded_cuts(df, key, seed, sizes[:-1], buckets, total)
     order: Column = seeded_order(quoted(key), seed)
     fold = F.lit(0)
     for border in borders:

@@ -11,7 +11,7 @@ from claimwise.functions.numbers import as_double
 from claimwise.functions.pvalues import correlation_p, f_survival
 from claimwise.functions.text import quoted
 from claimwise.operators.ranking import (
-    add_buckets, clean_splits, default_buckets, doubles, exact_quantiles, running_positions,
+    BUCKET_ROWS, add_buckets, bounded, clean_splits, default_buckets, doubles, exact_quantiles, running_positions, within,
 )
 
 
@@ -93,14 +93,16 @@ def contingency(df: DataFrame, row: str, column: str) -> DataFrame:
             .groupBy(quoted(row), quoted(column)).agg(F.count("*").alias("count")))
 
 
-def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
+def crosstab(df: DataFrame, row: str, column: str, most_levels: int = 2000) -> DataFrame:
     """Contingency table in wide form, absent pairs as 0.
 
-    One output column per level, so the levels are listed first; for columns
-    of many levels take :func:`contingency`, which has one row per pair.
+    One output column per level, so the levels are listed first; over ``most_levels`` of them
+    are an error, as no table is that wide. :func:`contingency` has one row per pair instead.
     """
     cells = contingency(df, row, column)
-    levels = sorted(r[0] for r in cells.select(quoted(column)).distinct().collect())
+    levels = sorted(r[0] for r in cells.select(quoted(column)).distinct().take(most_levels + 1))
+    if len(levels) > most_levels:
+        raise ValueError(f"{column} has over {most_levels} levels: take contingency(), or raise most_levels")
     wide = cells.groupBy(quoted(row)).pivot(column, levels).agg(F.sum("count"))
     return wide.na.fill(0, subset=[c for c in wide.columns if c != row])
 
@@ -138,7 +140,7 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, pairs_per_pa
 
 
 def spearman(
-    df: DataFrame, features: list[str], target: str, buckets: int | None = None, salts: int = 64,
+    df: DataFrame, features: list[str], target: str, buckets: int | None = None, salts: int = 64, most: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``feature, n, effect``: rank correlation of each numeric feature with the target.
 
@@ -166,6 +168,7 @@ def spearman(
     repeats = Counter(info["_hot"] or [])
     frequent = [float(v) for v, times in repeats.items() if times > 1]
     total = info["n"]
+    fine = bounded(total, buckets, most)
     complete = [i for i in range(y) if info[f"_n{i}"] == total]
     partial = [i for i in range(y) if 0 < info[f"_n{i}"] < total]
     binned = add_buckets(values, [clean_splits(info[f"_s{i}"] or []) for i in range(y + 1)])
@@ -189,7 +192,7 @@ def spearman(
         for v in (i, (float(total if i == -1 else info[f"_n{i}"]) + 1) / 2)]), F.col("scope"))
 
     target_counts = rows.groupBy("scope", F.col("y").alias("value"), F.col("by").alias("bucket")).agg(F.count("*").alias("n"))
-    target_ranks = running_positions(target_counts, ["scope"], few_groups=True).select(
+    target_ranks = running_positions(within(target_counts, ["scope"], fine, most), ["scope"], few_groups=fine).select(
         "scope", F.col("value").alias("y"),
         (F.col("before") + (F.col("n") + 1) / F.lit(2.0) - middle).alias("ry"))
     if frequent:
@@ -204,8 +207,8 @@ def spearman(
     by_value = ranked.groupBy("f", "value", "bucket").agg(
         F.count("*").alias("n"), F.sum("ry").alias("sy"), F.sum(F.col("ry") * F.col("ry")).alias("syy"))
     # bucket sizes need no ranks: counted from the rows, a few numbers per task
-    sizes = rows.select(F.inline("cells")).groupBy("f", "bucket").agg(F.count("*").alias("n"))
-    placed = running_positions(by_value, ["f"], few_groups=True, sizes=sizes)
+    sizes = rows.select(F.inline("cells")).groupBy("f", "bucket").agg(F.count("*").alias("n")) if fine else None
+    placed = running_positions(within(by_value, ["f"], fine, most), ["f"], few_groups=fine, sizes=sizes)
     centre = F.element_at(F.create_map(*[F.lit(v) for i in range(y) for v in (i, (float(info[f"_n{i}"]) + 1) / 2)]), F.col("f"))
     placed = placed.withColumn("rx", F.col("before") + (F.col("n") + 1) / F.lit(2.0) - centre)
     names = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("f") + 1)

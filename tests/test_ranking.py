@@ -69,3 +69,44 @@ def test_no_unpartitioned_window_over_rows(spark, sample):
     df = spark.createDataFrame(sample[["id", "x", "g"]])
     for frame in (R.average_rank(df, ["x"]), R.exact_quantiles(df, ["x"], [0.5], by=["g"])):
         assert "SinglePartition" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crowded_range_is_split_until_each_window_is_small(spark, monkeypatch):
+    """One crowded range, 4 buckets, at most 50 rows a window: every window group is counted."""
+    rng = np.random.default_rng(8)
+    values = np.unique(np.concatenate([5 + rng.random(3000) * 1e-6, rng.random(200) * 100]))
+    rng.shuffle(values)
+    pdf = pd.DataFrame({"v": values, "g": rng.choice(["a", "b"], len(values)), "id": np.arange(len(values))})
+    df = spark.createDataFrame(pdf).repartition(5)
+    groups = []
+    plain = R.running_positions
+    monkeypatch.setattr(R, "running_positions", lambda counts, by, *a, **k: (groups.append((counts, by)), plain(counts, by, *a, **k))[1])
+    got = {r["value"]: r["avg_rank"] for r in R.average_rank(df, ["v"], buckets=4, most=50).collect()}
+    assert got == dict(zip(pdf["v"], pdf["v"].rank()))
+    counts, by = groups.pop()
+    assert counts.groupBy(*by, "bucket").count().agg(F.max("count")).first()[0] <= 50
+
+    # the same for borders of the caller, all of them outside the values
+    bad = {"v": [-np.inf, -5.0, 1e9, np.inf]}
+    assert {r["value"]: r["avg_rank"] for r in R.average_rank(df, ["v"], splits=bad, most=50).collect()} == got
+    rows = R.exact_quantiles(df, ["v"], [0.1, 0.5, 0.93], by=["g"], buckets=4, most=40).collect()
+    for r in rows:
+        assert r["quantile"] == pytest.approx(np.quantile(pdf[pdf.g == r["g"]]["v"], r["prob"]), abs=1e-12)
+    numbered = R.row_index(df.drop("id"), "v", buckets=4, most=50)
+    assert numbered.toPandas().sort_values("v")["row_index"].tolist() == list(range(1, len(values) + 1))
+    held = R.holdout_split(df, "id", buckets=2).where("is_test").count()
+    assert held == -(-len(values) // 5)
+
+
+def test_refinement_keeps_equal_values_together(spark):
+    """A bucket of one value cannot be split, and is not tried for ever."""
+    df = spark.createDataFrame([(1.0,)] * 30 + [(2.0,)] * 3, "value double").withColumn("bucket", F.lit(0))
+    rounds = R.refinements(df, [], most=2)
+    sizes = R.refined(df, [], rounds).groupBy("bucket").agg(F.count_distinct("value").alias("d")).collect()
+    assert len(sizes) == 2 and all(r["d"] == 1 for r in sizes)
+
+
+def test_seeded_cuts_use_as_many_buckets_as_the_rows_need(spark):
+    whole = R.seeded_cuts(spark.range(2000), "id", 7, [500, 700])
+    assert R.seeded_cuts(spark.range(2000), "id", 7, [500, 700], buckets=2, most=20) == whole
+    assert R.seeded_cuts(spark.range(0), "id", 7, [0, 5]) == ["", ""]

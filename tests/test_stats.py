@@ -128,3 +128,16 @@ def test_histogram_equals_numpy(spark, values):
 def test_crosstab_drops_null_keys_and_fills_zero(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "x"), ("a", None)], "r string, k string")
     assert sorted(tuple(r) for r in S.crosstab(df, "r", "k").collect()) == [("a", 1, 0), ("b", 0, 1)]
+
+
+def test_spearman_in_small_windows(frame, sample):
+    """At most 20 rows a window give the same effects."""
+    want = {r["feature"]: r["effect"] for r in S.spearman(frame, ["a", "b"], "y").collect()}
+    got = {r["feature"]: r["effect"] for r in S.spearman(frame, ["a", "b"], "y", buckets=2, most=20).collect()}
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_crosstab_refuses_too_many_levels(spark):
+    df = spark.range(50).selectExpr("'a' as a", "id as b")
+    with pytest.raises(ValueError, match="over 20 levels"):
+        S.crosstab(df, "a", "b", most_levels=20)
