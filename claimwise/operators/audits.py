@@ -1,15 +1,17 @@
 """Constraint audits: violations as rows, and one summary row per rule.
 
 Row-local rules (required value, range, text length, number and date format)
-of a table are counted together in one pass. Key rules group by the key, so
-any number of equal keys collapses before the shuffle.
+of a table are counted together in one pass. A summary of many rules tags what every row
+has to say: the rules it breaks, and its keys with the place they stand in. Tags are combined
+map-side, so any number of equal keys or broken rules is one row a task, and one
+shuffle on the key answers all unique, foreign-key and local rules together.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimwise.functions.text import quoted
 from claimwise.schemas import (
@@ -97,24 +99,98 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
     return counted.join(parents, "key", "left_anti")
 
 
-def _summary(rule: str, hits: DataFrame, amount: Column) -> DataFrame:
-    return hits.agg(F.coalesce(amount, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(rule).alias("rule"), "violations")
+class _Audit:
+    """Rules by number, and the tags that answer them.
+
+    A *place* is a column that holds keys; places that a foreign key links share a domain, so that a
+    key meets its parents in one group.
+    """
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.unique: list[tuple[int, int]] = []
+        self.foreign: list[tuple[int, int, int]] = []
+        self.places: list[object] = []
+        self.domains: list[int] = []
+
+    def _rule(self, name: str) -> int:
+        self.names.append(name)
+        return len(self.names) - 1
+
+    def place(self, key: object) -> int:
+        if key not in self.places:
+            self.places.append(key)
+            self.domains.append(len(self.domains))
+        return self.places.index(key)
+
+    def add_unique(self, name: str, key: object) -> None:
+        self.unique.append((self._rule(name), self.place(key)))
+
+    def add_foreign(self, name: str, child: object, parent: object) -> None:
+        number, at, to = self._rule(name), self.place(child), self.place(parent)
+        if at != to:  # a key from its own parent column always has a parent
+            self.foreign.append((number, at, to))
+            old, new = self.domains[at], self.domains[to]
+            self.domains = [new if d == old else d for d in self.domains]
+
+    def tags(self, df: DataFrame, local: Rules, keys: dict[object, str]) -> DataFrame:
+        """``domain, place, key`` of a table: one row per non-null key and per broken rule."""
+        def tag(domain: int, place: int, key: Column) -> Column:
+            return F.struct(F.lit(domain).alias("domain"), F.lit(place).alias("place"), key.alias("key"))
+        cells = [F.when(rule, tag(-1, -1, F.lit(str(self._rule(name))))) for name, rule in local.items()]
+        for key, column in keys.items():
+            if key in self.places:
+                at = self.place(key)
+                cells.append(F.when(quoted(column).isNotNull(), tag(self.domains[at], at, quoted(column).cast("string"))))
+        return df.select(F.inline(F.array_compact(F.array(*cells))))
+
+    def summary(self, tags: list[DataFrame], spark: SparkSession) -> DataFrame:
+        """``rule, violations`` of every rule, 0 included. Copies beyond the first of a key, and children without parent."""
+        def cell(number: Column, amount: Column) -> Column:
+            return F.struct(number.try_cast("int").alias("number"), amount.cast("bigint").alias("violations"))
+        rows = [spark.range(len(self.names)).select(F.col("id").cast("int").alias("number"), F.lit(0).cast("bigint").alias("violations"))]
+        if tags:
+            groups = reduce(DataFrame.unionByName, tags).groupBy("domain", "key").agg(
+                F.count("*").alias("n"), *[F.count_if(F.col("place") == i).alias(f"p{i}") for i in range(len(self.places))])
+            cells = [F.when(F.col("domain") == -1, cell(F.col("key"), F.col("n")))]
+            cells += [F.when(F.col(f"p{at}") > 1, cell(F.lit(number), F.col(f"p{at}") - 1)) for number, at in self.unique]
+            cells += [F.when((F.col(f"p{at}") > 0) & (F.col(f"p{to}") == 0), cell(F.lit(number), F.col(f"p{at}"))) for number, at, to in self.foreign]
+            rows.append(groups.select(F.inline(F.array_compact(F.array(*cells)))))
+        names = F.array(*[F.lit(n) for n in self.names])
+        return (reduce(DataFrame.unionByName, rows).groupBy("number").agg(F.sum("violations").alias("violations"))
+                .select(F.element_at(names, F.col("number") + 1).alias("rule"), "violations"))
+
+
+def _key_rules(audit: _Audit, origin: dict, unique: bool, foreign: bool) -> None:
+    """The unique and foreign-key rules whose columns ``origin`` maps to places."""
+    for key in [*PRIMARY_KEYS.items(), *UNIQUE_KEYS] if unique else []:
+        if key in origin:
+            audit.add_unique(f"unique {key[0]}.{key[1]}", origin[key])
+    for child, key, parent, parent_key in FOREIGN_KEYS if foreign else []:
+        if (child, key) in origin and (parent, parent_key) in origin:
+            audit.add_foreign(f"foreign_key {child}.{key}", origin[child, key], origin[parent, parent_key])
+
+
+def _summary(tables: dict[str, DataFrame], local: bool, unique: bool, foreign: bool) -> DataFrame:
+    audit = _Audit()
+    _key_rules(audit, {(t, c): (t, c) for t in tables for _, c, _ in TABLES[t]}, unique, foreign)
+    tags = []
+    for name, df in tables.items():
+        keys = {(t, c): c for t, c in audit.places if t == name}
+        rules = local_rules(name) if local else {}
+        if keys or rules:
+            tags.append(audit.tags(df, rules, keys))
+    return audit.summary(tags, next(iter(tables.values())).sparkSession)
 
 
 def unique_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """``rule, violations``: surplus copies per primary or unique key."""
-    keys = [*PRIMARY_KEYS.items(), *UNIQUE_KEYS]
-    return reduce(DataFrame.unionByName, [
-        _summary(f"unique {t}.{c}", repeated_keys(tables[t], c), F.sum(F.col("copies") - 1))
-        for t, c in keys if t in tables])
+    """``rule, violations``: surplus copies per primary or unique key; each table is read once."""
+    return _summary(tables, False, True, False)
 
 
 def foreign_key_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """``rule, violations``: child rows without a parent per foreign key."""
-    return reduce(DataFrame.unionByName, [
-        _summary(f"foreign_key {child}.{key}", orphan_keys(tables[child], key, tables[parent], pk), F.sum("children"))
-        for child, key, parent, pk in FOREIGN_KEYS if child in tables and parent in tables])
+    """``rule, violations``: child rows without a parent per foreign key; each table is read once."""
+    return _summary(tables, False, False, True)
 
 
 def local_rules(table: str, prefix: str = "") -> Rules:
@@ -123,34 +199,22 @@ def local_rules(table: str, prefix: str = "") -> Rules:
 
 
 def audit_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """``rule, violations`` of every constraint of the five tables."""
-    local = [count_violations(df, local_rules(name)) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, [*local, unique_summary(tables), foreign_key_summary(tables)])
+    """``rule, violations`` of every constraint of the five tables: one scan a table, one shuffle of keys."""
+    return _summary(tables, True, True, True)
 
 
 def audit_flat(flat: DataFrame, id_column: str) -> DataFrame:
-    """As :func:`audit_tables`, for five tables that are projections of one flat frame.
+    """As :func:`audit_tables`, for five tables that are projections of one flat frame, read once.
 
-    One scan counts the local rules of all tables. Each distinct source column of
-    a key is grouped once, however many keys come from it. A foreign key
-    from the same column as its parent key has a parent in every row.
+    A row tags each distinct source column of a key once, however many keys come from it.
     """
     origin = {(t, target): id_column if source == ROW_ID else source for t, columns in TABLES.items() for source, target, _ in columns}
     wide = flat.select(*[quoted(source).alias(f"{t}.{target}") for (t, target), source in origin.items()])
-    parts = [count_violations(wide, {name: rule for t in TABLES for name, rule in local_rules(t, f"{t}.").items()})]
-    by_source: dict[str, list[str]] = {}
-    for key in [*PRIMARY_KEYS.items(), *UNIQUE_KEYS]:
-        by_source.setdefault(origin[key], []).append(f"unique {key[0]}.{key[1]}")
-    for source, rules in by_source.items():
-        surplus = repeated_keys(flat, source).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("violations"))
-        parts.append(surplus.select(F.explode(F.array(*[F.lit(r) for r in rules])).alias("rule"), "violations"))
-    for child, key, parent, parent_key in FOREIGN_KEYS:
-        name = f"foreign_key {child}.{key}"
-        if origin[child, key] == origin[parent, parent_key]:
-            parts.append(flat.sparkSession.range(1).select(F.lit(name).alias("rule"), F.lit(0).cast("bigint").alias("violations")))
-        else:
-            parts.append(_summary(name, orphan_keys(flat, origin[child, key], flat, origin[parent, parent_key]), F.sum("children")))
-    return reduce(DataFrame.unionByName, parts)
+    audit = _Audit()
+    _key_rules(audit, origin, True, True)
+    one_of = {source: f"{t}.{target}" for (t, target), source in reversed(origin.items())}
+    local = {name: rule for t in TABLES for name, rule in local_rules(t, f"{t}.").items()}
+    return audit.summary([audit.tags(wide, local, {source: one_of[source] for source in audit.places})], flat.sparkSession)
 
 
 class AuditError(ValueError):

@@ -209,7 +209,23 @@ def test_audit_plan_is_small(spark, tmp_path):
     source = write_source(tmp_path / "claims.csv", [{}, {}])
     flat = session.stage(etl.transform(etl.extract(spark, source)), "flat")
     plan = audits.audit_flat(flat, etl.ROW_NUMBER)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") <= 6
+    # one scan; the keys are shuffled once, and then one row a rule and task
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 2
+
+
+def test_audit_of_tables_counts_keys_of_all_places(spark, tmp_path):
+    source = write_source(tmp_path / "claims.csv", [{"policy_number": str(1000 + i % 3)} for i in range(6)] + [{"age": "", "policy_number": ""}])
+    tables = split_claims(etl.transform(etl.extract(spark, source)), etl.ROW_NUMBER, typed=False)
+    tables["unfaelle"] = tables["unfaelle"].withColumn("police_id", F.expr("CASE police_id WHEN 1 THEN 99 WHEN 2 THEN 99 WHEN 3 THEN NULL ELSE police_id END"))
+    tables["schaeden"] = tables["schaeden"].unionByName(tables["schaeden"].where("schaden_id < 3"))
+    tables["kunden"] = tables["kunden"].where("kunde_id <> 4")
+    found = {r["rule"]: r["violations"] for r in audits.audit_tables(tables).collect()}
+    want = {"unique policen.policen_nummer": 3, "unique schaeden.schaden_id": 2, "foreign_key unfaelle.police_id": 2, "foreign_key policen.kunde_id": 1,
+            "not_null unfaelle.police_id": 1, "not_null kunden.alter_jahre": 1, "not_null policen.policen_nummer": 1}
+    assert {r: n for r, n in found.items() if n} == want
+    assert len(found) == 67
+    assert {r["rule"]: r["violations"] for r in audits.unique_summary(tables).collect()} == {r: n for r, n in found.items() if r.startswith("unique")}
+    assert {r["rule"]: r["violations"] for r in audits.foreign_key_summary(tables).collect()} == {r: n for r, n in found.items() if r.startswith("foreign")}
 
 
 def test_mapping_of_the_tables():
