@@ -23,67 +23,60 @@ from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashe
 Choose = Callable[[Spans, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
+_PLACED = ["digest", "doc_id", "pos", "size", "ref_doc", "ref_pos", "border"]
+
+
 def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by digest and place, each with the first place of its digest.
+    """Rows sorted by digest and place, each with the first place of its digest in this partition.
 
-    The first of a digest is left out, but for the edges of the partition: all rows
-    of its first digest, and the first row of its last one, come marked, since
-    their digest may go on in a neighbouring partition.
+    That first place itself is left out, but for the first and the last digest of the
+    partition, which may go on in a neighbouring one: theirs comes marked as ``border``.
     """
-    key, lead, anchor = None, True, (0, 0, 0)
-    schema = ["digest", "doc_id", "pos", "size", "ref_doc", "ref_pos", "edge"]
+    key, anchor, lead = None, None, True
+
+    def made(columns, border: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(border)], names=_PLACED)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        digest, doc, pos, size = (batch.column(c).to_numpy() for c in schema[:4])
+        digest, doc, pos, size = (batch.column(c).to_numpy() for c in range(4))
         new = np.concatenate([[key is None or digest[0] != key], digest[1:] != digest[:-1]])
-        begins = np.flatnonzero(new)
-        later = begins[1:] if key is None else begins
-        edge = np.zeros(len(digest), bool)
-        if lead:
-            edge[:later[0] if len(later) else None] = True
         at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
-        ref_doc = np.where(at < 0, anchor[0], doc[np.maximum(at, 0)])
-        ref_pos = np.where(at < 0, anchor[1], pos[np.maximum(at, 0)])
-        out = edge | ~new
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (digest, doc, pos, size, ref_doc, ref_pos, edge)], names=schema)
-        lead = lead and not len(later)
-        key = digest[-1]
+        carried = (doc[0], pos[0]) if anchor is None else anchor[1:3]
+        ref_doc = np.where(at < 0, carried[0], doc[np.maximum(at, 0)])
+        ref_pos = np.where(at < 0, carried[1], pos[np.maximum(at, 0)])
+        border = np.zeros(len(digest), bool)
+        border[0] = key is None
+        out = ~new | border
+        yield made([c[out] for c in (digest, doc, pos, size, ref_doc, ref_pos)], border[out])
+        begins = np.flatnonzero(new)
         if len(begins):
-            anchor = (doc[begins[-1]], pos[begins[-1]], size[begins[-1]])
-    if key is not None and not lead:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x], k) for x, k in zip((key, *anchor, anchor[0], anchor[1], True),
-                                              (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))], names=schema)
-
-
-def _looked_up(batches: Iterator[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows with the first place of their digest from ``known``, sorted rows of digest, doc_id, pos."""
-    for batch in batches:
-        if batch.num_rows:
-            at = np.searchsorted(known[:, 0], batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(known[at, 1]), pa.array(known[at, 2])],
-                                             names=["doc_id", "pos", "size", "ref_doc", "ref_pos"])
+            lead = key is None and len(begins) == 1
+            i = begins[-1:]
+            anchor = (digest[i], doc[i[0]], pos[i[0]], doc[i], pos[i], size[i])
+        key = digest[-1]
+    if anchor is not None and not lead:
+        yield made([anchor[0], *anchor[3:], anchor[3], anchor[4]], np.ones(1, bool))
 
 
 def matched(seeds: DataFrame) -> DataFrame:
     """``doc_id, pos, size, ref_doc, ref_pos``: seeds with the first place of their digest, that place left out.
 
     One sort of ``digest, doc_id, pos, size`` over all tasks: places are part of the range, so a
-    frequent digest is dealt over several. What a digest that goes over a
-    border needs is put together from the rows at the borders: the first places of at most two
-    digests a partition go to the driver and back to all tasks.
+    frequent digest is dealt over several. The sorted run is written with the first places inside
+    each partition, and at most two rows a partition that may belong to a digest which goes over a border.
+    When it is read, the digests on borders, of which there are fewer than partitions, get
+    their first place over all of them.
     """
     parts = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = staged(seeds.repartitionByRange(parts, "digest", "doc_id", "pos").sortWithinPartitions("digest", "doc_id", "pos").mapInArrow(
-        _first_places, "digest long, doc_id long, pos long, size int, ref_doc long, ref_pos long, edge boolean"), "matches")
-    edges = found.where("edge")
-    # at most two digests a partition
-    first = edges.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select("digest", "first.doc_id", "first.pos").collect()
-    known = np.array(sorted(map(tuple, first)), np.int64).reshape(-1, 3)
-    columns = ["doc_id", "pos", "size", "ref_doc", "ref_pos"]
-    moved = edges.select("digest", *columns[:3]).mapInArrow(lambda it: _looked_up(it, known), "doc_id long, pos long, size int, ref_doc long, ref_pos long")
-    return found.where("not edge").select(*columns).unionByName(moved).where("doc_id <> ref_doc or pos <> ref_pos")
+        _first_places, "digest long, doc_id long, pos long, size int, ref_doc long, ref_pos long, border boolean"), "matches")
+    over = staged(found.where("border").groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").select("digest", "first"), "borders")
+    joined = found.join(F.broadcast(over), "digest", "left")
+    return joined.select("doc_id", "pos", "size", F.coalesce("first.doc_id", "ref_doc").alias("ref_doc"),
+                         F.coalesce("first.pos", "ref_pos").alias("ref_pos")).where("doc_id <> ref_doc or pos <> ref_pos")
 
 
 def chains(hits: DataFrame) -> DataFrame:
