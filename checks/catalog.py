@@ -948,7 +948,6 @@ def analysis_clean(spark, sf):
     return found.select("src_pos", *[F.col(f"`{c}`").cast("double").alias(c) if c in NUMBERS else F.col(f"`{c}`") for c in COLUMNS])
 
 
-PARTITIONS = 8  # of the training rows; a forest depends on it, and on nothing else of the cluster
 IDENTIFYING = ["policy_number", "policy_bind_date", "incident_date", "incident_location", "insured_zip"]
 
 
@@ -970,7 +969,7 @@ FEATURE_COLUMNS = [c for c in COLUMNS if c not in IDENTIFYING and ("claim" not i
      *[level_count(c) for c in FEATURE_COLUMNS if c in TEXTS or c == FLAG]]) + " AS BIGINT) AS features, 1.0::DOUBLE AS total, CAST(15 AS BIGINT) AS top")
 def rf_importance(spark, sf):
     """Random forest of 200 trees of depth 10 over all columns: facts of its importances."""
-    found = analysis.baseline(model_frame(spark, sf), "src_pos", partitions=PARTITIONS, cross_validation=False)
+    found = analysis.baseline(model_frame(spark, sf), "src_pos", cross_validation=False)
     top = found["top importances"].agg(F.count("*").alias("top"))
     return found["importances"].agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total")).join(top)
 
@@ -978,11 +977,18 @@ def rf_importance(spark, sf):
 N = "(SELECT count(*) FROM orders)"
 
 
-@register(f"""SELECT 'holdout' AS part, CAST(ceil(0.2 * {N}) AS BIGINT) AS n, true AS fits
-    UNION ALL SELECT 'fold ' || f, {N} // 5 + CASE WHEN f < {N} % 5 THEN 1 ELSE 0 END, true FROM range(5) r(f)""")
-def rf_scores(spark, sf):
-    """Rows of the holdout and of five folds, and whether the forest explains most of the variance in each."""
-    found = analysis.baseline(model_frame(spark, sf), "src_pos", partitions=PARTITIONS)
-    holdout = found["holdout"].select(F.lit("holdout").alias("part"), "n", "r2")
-    folds = found["folds"].select(F.concat(F.lit("fold "), "fold").alias("part"), "n", "r2")
-    return holdout.unionByName(folds).select("part", "n", (F.col("r2") > 0.5).alias("fits"))
+@register(f"SELECT CAST(ceil(0.2 * {N}) AS BIGINT) AS n, true AS explains, true AS close FROM orders LIMIT 1")
+def rf_holdout(spark, sf):
+    """Rows of the holdout, whether the forest explains 95 % of its variance, and whether its mean error is a tenth of the spread at most."""
+    frame = model_frame(spark, sf)
+    spread = frame.agg(F.stddev_pop("vehicle_claim").cast("double").alias("spread"))
+    found = analysis.baseline(frame, "src_pos", cross_validation=False)["holdout"].join(spread)
+    return found.select("n", (F.col("r2") > 0.95).alias("explains"), (F.col("mae") < F.col("spread") / 10).alias("close"))
+
+
+@register(f"SELECT f AS fold, {N} // 5 + CASE WHEN f < {N} % 5 THEN 1 ELSE 0 END AS n, true AS explains, true AS steady FROM range(5) r(f)")
+def rf_folds(spark, sf):
+    """Rows of five folds, whether each forest explains 95 % of the variance, and whether folds differ by under 0.02 in that."""
+    found = analysis.baseline(model_frame(spark, sf), "src_pos", holdout=False)
+    steady = found["cross validation"].select((F.col("r2_std") < 0.02).alias("steady"))
+    return found["folds"].join(steady).select(F.col("fold").cast("bigint").alias("fold"), "n", (F.col("r2") > 0.95).alias("explains"), "steady")

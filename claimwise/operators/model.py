@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from claimwise.functions.text import quoted
 from claimwise.operators.cleaning import column_roles
@@ -110,24 +113,53 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     return sums.select("n", (1 - F.try_divide(F.col("sse"), F.col("sst"))).alias("r2"), "mae")
 
 
+def training_partitions(rows: int, rows_each: int = 25_000, most: int = 512) -> int:
+    """Partitions of the training rows, from their number alone, so that a seed gives one forest on any cluster.
+
+    Each partition sends the statistics of every open node, so few are better where rows are few.
+    """
+    return max(1, min(most, -(-rows // rows_each)))
+
+
+def train_all(
+    vectors: DataFrame, estimator: RandomForestRegressor, tests: dict[str, Column], key: str | None = None,
+    partitions: int | None = None, at_once: int | None = None,
+) -> dict[str, tuple[RandomForestRegressionModel, Row]]:
+    """Per name a model of the rows outside its test rows, and ``n, r2, mae`` on the test rows.
+
+    Models are trained side by side, each in its own scheduler pool: growing a forest is a chain of
+    short jobs, and those of the others fill the cores that one leaves idle. They share the memory
+    set for node statistics, which does not change a forest that looks at every feature. ``at_once`` limits
+    them. ``vectors`` should be staged by the caller. With a ``key`` the training rows are put in a fixed order.
+    """
+    spark = vectors.sparkSession
+    at_once = max(1, min(len(tests), at_once or len(tests)))
+    learner = estimator.copy({estimator.maxMemoryInMB: max(64, estimator.getMaxMemoryInMB() // at_once)})
+    partitions = partitions or training_partitions(vectors.count())
+
+    def one(name: str) -> tuple[RandomForestRegressionModel, Row]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"forest {name}")
+        rest = vectors.where(~tests[name])
+        fitted = learner.fit(rest if key is None else in_fixed_order(rest, key, partitions))
+        # one row of three numbers
+        return fitted, regression_metrics(fitted.transform(vectors.where(tests[name]))).first()
+
+    with ThreadPool(at_once) as pool:
+        return dict(zip(tests, pool.map(inheritable_thread_target(spark)(one), tests, chunksize=1)))
+
+
+def score_table(spark, found: dict[str, tuple[RandomForestRegressionModel, Row]]) -> DataFrame:
+    """``part, n, r2, mae`` of :func:`train_all`; one row a model."""
+    return spark.createDataFrame([(name, *scores) for name, (_, scores) in found.items()], "part string, n bigint, r2 double, mae double")
+
+
 def cross_validate(
     vectors: DataFrame, estimator: RandomForestRegressor, fold_column: str = "fold", folds: int = 5,
-    key: str | None = None, partitions: int = 16,
+    key: str | None = None, partitions: int | None = None, at_once: int | None = None,
 ) -> DataFrame:
-    """``fold, n, r2, mae`` per fold: trained on the other folds, scored on this one.
-
-    Each fit uses the whole cluster, so folds run one after another. ``vectors``
-    should be staged or persisted by the caller. With a ``key`` the training rows
-    are put in a fixed order.
-    """
-    parts = None
-    for fold in range(folds):
-        rest = vectors.where(F.col(fold_column) != fold)
-        model = estimator.fit(rest if key is None else in_fixed_order(rest, key, partitions))
-        scored = model.transform(vectors.where(F.col(fold_column) == fold))
-        row = regression_metrics(scored).select(F.lit(fold).alias("fold"), "n", "r2", "mae")
-        parts = row if parts is None else parts.unionByName(row)
-    return parts
+    """``fold, n, r2, mae`` per fold: trained on the other folds, scored on this one; folds side by side."""
+    found = train_all(vectors, estimator, {str(i): F.col(fold_column) == i for i in range(folds)}, key, partitions, at_once)
+    return score_table(vectors.sparkSession, found).select(F.col("part").cast("int").alias("fold"), "n", "r2", "mae")
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

@@ -240,8 +240,16 @@ def exact_quantiles(
     names = [*renamed.values(), "feature"]
     long = long_values(df, columns, by, splits)
     long = long.select(*[quoted(b).alias(a) for b, a in renamed.items()], "feature", "value", "bucket")
-    counts = within(value_counts(long, names), names, fine, most)
+    found = quantiles_of_counts(within(value_counts(long, names), names, fine, most), names, probs, few_groups=not by)
+    return (found.select(*[F.col(a).alias(b) for b, a in renamed.items()], "feature", "prob", "quantile")
+            .select(*[quoted(g) for g in group], "prob", "quantile"))
 
+
+def quantiles_of_counts(counts: DataFrame, names: list[str], probs: list[float], few_groups: bool) -> DataFrame:
+    """``names..., prob, quantile`` from ``names..., value, bucket, n``; buckets in the order of the values.
+
+    ``few_groups`` as in :func:`running_positions`: then what is wanted is at most two buckets a group and probability.
+    """
     # positions wanted in every group, with their interpolation weights
     place = F.col("prob") * (F.col("total") - 1)
     low, share = F.floor(place), place - F.floor(place)
@@ -259,17 +267,12 @@ def exact_quantiles(
     earlier = (Window.partitionBy(*names, "bucket").orderBy("value")
                .rowsBetween(Window.unboundedPreceding, -1))
     found = (
-        counts.join(F.broadcast(wanted) if not by else wanted, [*names, "bucket"])  # at most two buckets a column and probability
+        counts.join(F.broadcast(wanted) if few_groups else wanted, [*names, "bucket"])
         .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .select("*", F.inline("targets"))
         .where("position >= before AND position < before + n")
     )
-    return (
-        found.groupBy(*names, "prob")
-        .agg(F.sum(F.col("weight") * F.col("value")).alias("quantile"))
-        .select(*[F.col(a).alias(b) for b, a in renamed.items()], "feature", "prob", "quantile")
-        .select(*[quoted(g) for g in group], "prob", "quantile")
-    )
+    return found.groupBy(*names, "prob").agg(F.sum(F.col("weight") * F.col("value")).alias("quantile"))
 
 
 def medians(df: DataFrame, columns: list[str], **options) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from claimwise.functions.numbers import as_double
 from claimwise.functions.pvalues import correlation_p, f_survival
 from claimwise.functions.text import quoted
+from claimwise.operators import moments
 from claimwise.operators.ranking import (
     BUCKET_ROWS, add_buckets, bounded, clean_splits, default_buckets, doubles, exact_quantiles, running_positions, within,
 )
@@ -63,7 +65,12 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     Border values are settled by comparing with the border itself. A constant
     column gets bins from half below to half above the value.
     """
-    value = df.select(_typed(df, column).alias("v")).where("v IS NOT NULL")
+    return histogram_of_counts(df.select(_typed(df, column).alias("v"), F.lit(1).cast("bigint").alias("n")), bins)
+
+
+def histogram_of_counts(values: DataFrame, bins: int = 30) -> DataFrame:
+    """:func:`histogram` of values ``v`` that stand for ``n`` rows each."""
+    value = values.where("v IS NOT NULL")
     ends = value.agg(F.min("v").alias("a"), F.max("v").alias("b")).select(
         F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("low"),
         F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("high"))
@@ -74,13 +81,13 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
 
     placed = (
-        value.select("v", span.alias("s")).select("v", "s.low", "s.high")
+        value.select("v", "n", span.alias("s")).select("v", "n", "s.low", "s.high")
         .withColumn("i", F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("low")) / width).cast("int")))
         .withColumn("bin", F.when(F.col("v") < border(F.col("i")), F.col("i") - 1)
                     .when((F.col("v") >= border(F.col("i") + 1)) & (F.col("i") < bins - 1), F.col("i") + 1)
                     .otherwise(F.col("i")))
     )
-    counts = placed.groupBy("bin").agg(F.count("*").alias("count"))
+    counts = placed.groupBy("bin").agg(F.sum("n").alias("count"))
     frame = ends.where("low IS NOT NULL").select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return frame.join(counts, "bin", "left").select(
         (F.col("bin") + 1).alias("bin"), border(F.col("bin")).alias("low"),
@@ -110,33 +117,32 @@ def crosstab(df: DataFrame, row: str, column: str, most_levels: int = 2000) -> D
 def pearson_matrix(df: DataFrame, columns: list[str] | None = None, pairs_per_pass: int = 60) -> DataFrame:
     """``col_a, col_b, r`` over rows where both are present; NULL for a constant.
 
-    All pairs come from one aggregate without a shuffle of rows; very wide
-    frames take one aggregate per ``pairs_per_pass`` pairs. Both orders of a
+    One scan without a shuffle of rows: up to ``pairs_per_pass`` pairs are one
+    aggregate, wider frames merge moment matrices (:mod:`moments`). Both orders of a
     pair are returned.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
     values = doubles(df, columns, [])
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    result = None
-    for first in range(0, len(pairs), pairs_per_pass):
-        chunk = pairs[first:first + pairs_per_pass]
-        sums = values.agg(*[
-            F.struct(
-                F.regr_sxy(f"_v{a}", f"_v{b}").alias("xy"),
-                F.regr_syy(f"_v{a}", f"_v{b}").alias("yy"),
-                F.regr_sxx(f"_v{a}", f"_v{b}").alias("xx"),
-            ).alias(f"_p{a}_{b}") for a, b in chunk])
-        cells = [F.struct(F.lit(columns[x]).alias("col_a"), F.lit(columns[y]).alias("col_b"),
-                          F.col(f"_p{a}_{b}").alias("s"))
-                 for a, b in chunk for x, y in ({(a, b), (b, a)})]
-        part = sums.select(F.inline(F.array(*cells))).select(
-            "col_a", "col_b",
-            F.try_divide(F.col("s.xy"), F.sqrt("s.xx") * F.sqrt("s.yy")).alias("r"))
-        # rounding may leave the range by one unit in the last place
-        part = part.withColumn("r", F.when(F.abs("r") > 1, F.signum("r")).when(~F.isnan("r"), F.col("r")))
-        result = part if result is None else result.unionByName(part)
-    return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double") if result is None else result
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+    if len(pairs) > pairs_per_pass:
+        return moments.correlations(values, columns)
+    sums = values.agg(*[
+        F.struct(
+            F.regr_sxy(f"_v{a}", f"_v{b}").alias("xy"),
+            F.regr_syy(f"_v{a}", f"_v{b}").alias("yy"),
+            F.regr_sxx(f"_v{a}", f"_v{b}").alias("xx"),
+        ).alias(f"_p{a}_{b}") for a, b in pairs])
+    cells = [F.struct(F.lit(columns[x]).alias("col_a"), F.lit(columns[y]).alias("col_b"),
+                      F.col(f"_p{a}_{b}").alias("s"))
+             for a, b in pairs for x, y in ({(a, b), (b, a)})]
+    part = sums.select(F.inline(F.array(*cells))).select(
+        "col_a", "col_b",
+        F.try_divide(F.col("s.xy"), F.sqrt("s.xx") * F.sqrt("s.yy")).alias("r"))
+    # rounding may leave the range by one unit in the last place
+    return part.withColumn("r", F.when(F.abs("r") > 1, F.signum("r")).when(~F.isnan("r"), F.col("r")))
 
 
 def spearman(
@@ -238,6 +244,11 @@ def anova(df: DataFrame, features: list[str], target: str) -> DataFrame:
         kept.select("y", F.inline(cells)).where("level IS NOT NULL")
         .groupBy("feature", "level").agg(F.count("*").alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v"))
     )
+    return anova_of_levels(levels, overall)
+
+
+def anova_of_levels(levels: DataFrame, overall: Column) -> DataFrame:
+    """:func:`anova` from ``feature, level, n, m, v``: rows, mean and variance of the target per level, and its mean over all rows."""
     shift = F.col("m") - overall
     sums = levels.groupBy("feature").agg(
         F.count("*").alias("k"), F.sum("n").alias("n"),
@@ -261,7 +272,11 @@ def spearman_table(df: DataFrame, features: list[str], target: str) -> DataFrame
 
 def anova_table(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """``feature, test, effect, p_value`` by analysis of variance."""
-    found = anova(df, features, target)
+    return anova_p(anova(df, features, target))
+
+
+def anova_p(found: DataFrame) -> DataFrame:
+    """The result of :func:`anova` as ``feature, test, effect, p_value``."""
     return found.select("feature", F.lit("anova").alias("test"), "effect",
                         f_survival(F.col("f_stat"), F.col("k") - 1, F.col("n") - F.col("k")).alias("p_value"))
 
@@ -273,10 +288,14 @@ def effect_ranking(df: DataFrame, numeric: list[str], categorical: list[str], ta
         parts.append(spearman_table(df, numeric, target))
     if categorical:
         parts.append(anova_table(df, categorical, target))
+    return stacked_effects(df.sparkSession, parts)
+
+
+def stacked_effects(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """Tables of effects, largest signed effect first, missing ones last."""
     if not parts:
-        return df.sparkSession.createDataFrame([], "feature string, test string, effect double, p_value double")
-    table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return table.orderBy(F.desc_nulls_last("effect"), "feature")
+        return spark.createDataFrame([], "feature string, test string, effect double, p_value double")
+    return reduce(DataFrame.unionByName, parts).orderBy(F.desc_nulls_last("effect"), "feature")
 
 
 def significant(table: DataFrame, level: float = 0.05) -> DataFrame:

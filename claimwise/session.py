@@ -20,6 +20,8 @@ def build_session(app: str = "claimwise", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # models trained side by side share the cores evenly
+        "spark.scheduler.mode": "FAIR",
     }
     settings.update({name.replace("__", "."): value for name, value in conf.items()})
     builder = SparkSession.builder.appName(app)
