@@ -108,7 +108,7 @@ def csv_quoted_lines(spark, sf):
     path = scratch_path(spark, "quoted-csv")
     note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('", '))
     write_csv(V.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string"), note.alias("note")), path)
-    return read_csv_text(spark, path, multiline=True)
+    return read_csv_text(spark, path)
 
 
 @register("SELECT 'surplus field' AS fault, count(*) > 0 AS refused FROM orders UNION ALL SELECT 'line break in quotes', count(*) > 0 FROM orders")
@@ -123,7 +123,7 @@ def csv_bad_rows(spark, sf):
         (rows.select(F.explode(F.array(*lines)).alias("a,b")).write.option("header", True)
          .option("sep", "\u0001").option("quote", "\u0002").csv(path))
         try:
-            read_csv_text(spark, path).write.format("noop").mode("overwrite").save()
+            read_csv_text(spark, path, multiline=False).write.format("noop").mode("overwrite").save()
             found.append((fault, False))
         except Exception as error:  # noqa: BLE001 - the kind of error depends on where it is found
             found.append((fault, "more fields than columns" in str(error) or "unbalanced quotes" in str(error)))

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from claimwise.functions.text import quoted
 from claimwise.operators.cleaning import nullify_tokens
 from claimwise.schemas import CLAIMS_RAW, DEFAULT_NULL_TOKENS, SENTINEL
+from claimwise.session import stage
+from claimwise.sources import records
 
 _RAW = "_csv_record"
 _CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
 
 
-def _checked(df: DataFrame, names: list[str], places: list[Column]) -> DataFrame:
+def _checked(df: DataFrame, names: list[str], places: list[Column], file: Column) -> DataFrame:
     """The named fields, NULL as empty text, and ``places``; a record with more fields than columns is an error that shows it.
 
     Shorter records stay: their absent fields are empty. The message also holds the first
@@ -21,47 +23,70 @@ def _checked(df: DataFrame, names: list[str], places: list[Column]) -> DataFrame
     """
     bare = F.regexp_replace(_RAW, '"(?:[^"]|"")*"', "")
     surplus = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= len(names)
-    message = F.concat(F.lit("more fields than columns in "), F.col("_metadata.file_path"), F.lit(", record "),
+    message = F.concat(F.lit("more fields than columns in "), file, F.lit(", record "),
                        F.coalesce(quoted(names[0]), F.lit("")), F.lit(": "), F.col(_RAW))
     return df.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).select(
         *[F.coalesce(quoted(c), F.lit("")).alias(c) for c in names], *places)
 
 
-def _require_whole_lines(spark: SparkSession, path: str) -> None:
-    """Error if a line holds an odd number of quotes, that is, if a quoted field has a line break."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    odd = lines.where(F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1).first()
-    if odd is not None:
-        raise ValueError(f"unbalanced quotes in {odd['file']}: {odd['value']!r}; read it with multiline=True")
+def _parsed(spark: SparkSession, path: str, parity: DataFrame, names: list[str], positions: bool) -> DataFrame:
+    """The records of files with line breaks in quotes, parsed one by one where their lines lie."""
+    found = records.records(spark, path, parity)
+    text = F.regexp_replace("record", r"\r\z", "").alias(_RAW)
+    inner = [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in inner)
+    fields = F.from_csv(F.col(_RAW), schema, {k: str(_CSV[k]) for k in ("quote", "escape", "mode")} | {"multiLine": "true", "maxCharsPerColumn": "-1"})
+    rows = found.select("file", "block", "index", text).withColumn("_fields", fields)
+    named = rows.select(*[F.col(f"_fields.{c}").alias(n) for c, n in zip(inner, names)], _RAW, "file", "block", "index")
+    head = (F.col("block") == 0) & (F.col("index") == 0)
+    wrong = F.lit(False)
+    for n in names:
+        wrong = wrong | ~quoted(n).eqNullSafe(F.lit(n))
+    message = F.concat(F.lit("the header of "), F.col("file"), F.lit(" differs from the columns: "), F.col(_RAW))
+    body = named.where(F.when(head & wrong, F.raise_error(message).cast("boolean")).otherwise(~head))
+    places = [F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("index").alias("_seq")] if positions else []
+    return _checked(body, names, places, F.col("file"))
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False, positions: bool = False,
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True, positions: bool = False,
 ) -> DataFrame:
     """Every field as text, by header name, without null tokens.
 
     Without a schema the header names the columns. With one, the header of
     every file is checked against it. Absent trailing fields read as empty
-    text; surplus fields are an error. ``multiline`` allows line breaks inside
-    quotes, at the price of files that cannot be split. Without it the lines are
-    looked through first, and such a line break is an error.
-    ``positions`` adds ``_file, _block, _seq`` for ``file_row_index``.
+    text; surplus fields are an error. Line breaks inside quotes are read, or are an error without
+    ``multiline``; a quote that is never closed is an error. ``positions`` adds ``_file, _block,
+    _seq`` for ``file_row_index``.
+
+    Files are read by blocks in any case. A pass over the lines counts quotes per
+    block: where every line has an even number, each line is a record and the built-in
+    reader takes the files; else records are joined from lines (:mod:`records`). A quote inside
+    a field that is not quoted counts like any other.
     """
-    options = {**_CSV, "multiLine": multiline}
     if schema is None:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in spark.read.options(**options).csv(path).columns])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in spark.read.options(**_CSV, multiLine=multiline).csv(path).columns])
+    names = schema.fieldNames()
+    parity = stage(records.block_parity(records.lines(spark, path)), "parity")
+    odd_lines = parity.agg(F.coalesce(F.sum("odd_lines"), F.lit(0))).first()[0]
+    if odd_lines and not multiline:
+        line = records.lines(spark, path).where("odd = 1").first()
+        raise ValueError(f"unbalanced quotes in {line['file']}: {line['line']!r}; read it with multiline=True")
+    if odd_lines:
+        open_file = parity.groupBy("file").agg(F.sum("odd").alias("odd")).where("odd % 2 = 1").first()
+        if open_file is not None:
+            raise ValueError(f"unbalanced quotes in {open_file['file']}: a quote is never closed")
+        return _parsed(spark, path, parity, names, positions)
     whole = T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())])
-    df = spark.read.options(**options, enforceSchema=False).schema(whole).csv(path)
-    if not multiline:
-        _require_whole_lines(spark, path)
+    df = spark.read.options(**_CSV, multiLine=False, enforceSchema=False).schema(whole).csv(path)
     places = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
               F.monotonically_increasing_id().alias("_seq")] if positions else []
-    return _checked(df, schema.fieldNames(), places)
+    return _checked(df, names, places, F.col("_metadata.file_path"))
 
 
 def read_claims(
     spark: SparkSession, path: str, extra_null_tokens: list[str] = (), schema: T.StructType | None = None,
-    positions: bool = False, multiline: bool = False,
+    positions: bool = False, multiline: bool = True,
 ) -> DataFrame:
     """Claims CSV as text columns with the usual null tokens read as NULL.
 

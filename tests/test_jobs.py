@@ -1,11 +1,12 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from claimwise import session
 from claimwise.operators import audits, cleaning, model
 from claimwise.operators.normalise import join_claims, split_claims
+from claimwise.operators.ranking import file_row_index
 from claimwise.plans import analysis, etl, prepared
 from claimwise.schemas import CLAIM_COLUMNS, PRIMARY_KEYS, TABLES, table_schema
 from claimwise.sources.readers import read_claims, read_claims_optional, read_csv_text, read_tables
@@ -186,8 +187,49 @@ def test_csv_faults_are_errors(spark, tmp_path):
     with pytest.raises(Exception, match="more fields than columns"):
         read_csv_text(spark, str(surplus)).collect()
     with pytest.raises(ValueError, match="unbalanced quotes"):
+        read_csv_text(spark, str(broken), multiline=False)
+    assert sorted(tuple(r) for r in read_csv_text(spark, str(broken)).collect()) == [("1", ""), ("x\ny", "7")]
+    broken.write_text('a,b\n"x\ny",7\n1,"2\n')
+    with pytest.raises(ValueError, match="never closed"):
         read_csv_text(spark, str(broken))
-    assert [tuple(r) for r in read_csv_text(spark, str(broken), multiline=True).collect()] == [("x\ny", "7"), ("1", "")]
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "1.csv").write_text('a,b\n"x\ny",7\n')
+    (tmp_path / "two" / "2.csv").write_text('b,a\n1,2\n')
+    with pytest.raises(Exception, match="differs from the columns"):
+        read_csv_text(spark, str(tmp_path / "two"), T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])).collect()
+
+
+@pytest.mark.parametrize("block", [40, 150, 4000])
+def test_records_over_several_lines_and_blocks(spark, tmp_path, block):
+    """Random quotes, commas, line breaks and blank lines in files cut into small blocks, against the csv module."""
+    import csv
+    import random
+
+    rng, want = random.Random(block), []
+    for name in ("b.csv", "a.csv", "c.csv"):
+        ending = "\r\n" if name == "c.csv" else "\n"
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=ending)
+            out.writerow(["id", "note", "end"])
+            for i in range(60):
+                text = "".join(rng.choice(["x", "é", '"', ",", "\n", "\n\n", "\r\n", " word "]) for _ in range(rng.choice([0, 1, 3, 40])))
+                out.writerow([f"{name}{i}", text, rng.choice(["", "z", "a\nb" * 20])])
+                if rng.random() < 0.2:
+                    f.write(ending)
+    for name in sorted(["a.csv", "b.csv", "c.csv"]):
+        with open(tmp_path / name, newline="", encoding="utf-8") as f:
+            want += [tuple(r) for r in list(csv.reader(f))[1:] if r]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read_csv_text(spark, str(tmp_path), positions=True)
+        assert block == 4000 or df.rdd.getNumPartitions() > 10
+        got = file_row_index(df, "n").orderBy("n").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r["id"], r["note"], r["end"]) for r in got] == want
+    assert [r["n"] for r in got] == list(range(1, len(want) + 1))
 
 
 def test_staged_data_go_with_the_job(spark, tmp_path):
