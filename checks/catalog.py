@@ -17,7 +17,7 @@ from claimwise.sources.readers import (
     read_claims, read_claims_optional, read_claims_strict, read_csv_text, read_tables,
 )
 from claimwise.sources.writers import write_csv
-from claimwise.streaming.scores import report_stream, run_scores, scored_stream
+from claimwise.streaming.scores import report_stream, run_scores, run_scores_and_rejects, scored_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -811,6 +811,23 @@ def stream_scores(spark, sf):
     return rounded(spark.read.parquet(output).select(*COMPARED_COLUMNS), 4)
 
 
+@register(f"""SELECT 'scored' AS sink, report_id, predicted_claim FROM {SCORED} s
+    UNION ALL SELECT 'rejected', report_id, NULL FROM {V.reports_duck()} t WHERE trim(text) = ''""")
+def stream_rejects(spark, sf):
+    """Both outputs of the stream: scores and blank messages, after its last batch was run a second time."""
+    arriving = report_stream(spark, sf, V.table(spark, sf, "orders").schema, pathGlobFilter="orders.parquet").selectExpr(
+        f"{V.K} AS report_id", f"{V.REPORT_TEXT} AS text")
+    scores, rejects, progress = (scratch_path(spark, n) for n in ("sink-scores", "sink-rejects", "sink-progress"))
+    for again in (True, False):
+        run_scores_and_rejects(arriving, scores, rejects, progress).awaitTermination()
+        if again:
+            # the batch is forgotten as done, as after a failure just before that is noted
+            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{progress}/commits")
+            done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+    return spark.read.parquet(scores).select(F.lit("scored").alias("sink"), "report_id", "predicted_claim").unionByName(
+        spark.read.parquet(rejects).select(F.lit("rejected").alias("sink"), "report_id", F.lit(None).cast("double").alias("predicted_claim")))
+
+
 # --- generated reports --------------------------------------------------------
 
 SYNTH_IN = f"""(SELECT src_pos, auto_make, auto_model, auto_year, incident_severity, collision_type, incident_type FROM {FLAT} f)"""

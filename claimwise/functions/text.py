@@ -63,17 +63,25 @@ def has_text(c: Column) -> Column:
     return F.coalesce(F.rlike(c, F.lit(f"[^{_SPACE_CHARS}]")), F.lit(False))
 
 
-def first_number(c: Column, pattern: str, default: int, keyword: str) -> Column:
-    """Group 1 of the first match as DECIMAL(38, 0), else ``default``.
+def first_digits(c: Column, pattern: str, keyword: str) -> Column:
+    """Group 1 of the first match as digits 0-9 without leading zeros, of any length; NULL without a match.
 
     ``keyword`` is plain text every match contains: texts without it skip the
-    pattern. Digits and white space of all scripts count. A number of more than 38
-    digits does not fit and gives NULL, not the default.
+    pattern. Digits and white space of all scripts count.
     """
     wide = pattern.replace("\\d", "\\p{Nd}").replace("\\s", _SPACE)
     digits = F.when(F.contains(c, F.lit(keyword)), F.nullif(F.regexp_extract(c, wide, 1), F.lit("")))
-    number = ascii_digits(digits).try_cast("decimal(38,0)")
-    return F.when(digits.isNull(), F.lit(default).cast("decimal(38,0)")).otherwise(number)
+    return F.regexp_replace(ascii_digits(digits), "^0+(?=.)", "")
+
+
+def first_number(c: Column, pattern: str, default: int, keyword: str, kind: str = "decimal(38,0)") -> Column:
+    """The number of :func:`first_digits`, else ``default``.
+
+    As ``string`` or ``double`` numbers of any length are kept; one of more than 38
+    digits does not fit a DECIMAL and gives NULL there, not the default.
+    """
+    digits = first_digits(c, pattern, keyword)
+    return F.when(digits.isNull(), F.lit(str(default)).cast(kind)).otherwise(digits if kind == "string" else digits.try_cast(kind))
 
 
 def contains_any(c: Column, words: list[str]) -> Column:

@@ -26,13 +26,17 @@ def severity(lowered: Column, rules: list[tuple[str, list[str]]] = SEVERITY_RULE
     return chain.otherwise(default)
 
 
-def extract_features(df: DataFrame, text_column: str = "text",
-                     rules: list[tuple[str, list[str]]] = SEVERITY_RULES) -> DataFrame:
-    """Add ``severity, vehicles, injured, witnesses, police``."""
+def extract_features(df: DataFrame, text_column: str = "text", rules: list[tuple[str, list[str]]] = SEVERITY_RULES,
+                     counts: list[tuple[str, str, int, str]] = COUNT_RULES, kind: str = "decimal(38,0)") -> DataFrame:
+    """Add ``severity``, one column per count rule (``vehicles, injured, witnesses``) and ``police``.
+
+    A count rule is a column, a pattern whose group 1 is the number, the value without a match, and plain
+    text that every match contains. ``kind`` is the type of the counts: as ``string`` they are exact at any length.
+    """
     lowered = F.lower(quoted(text_column))
     return df.withColumns({
         "severity": severity(lowered, rules),
-        **{name: first_number(lowered, *rule) for name, *rule in COUNT_RULES},
+        **{name: first_number(lowered, *rule, kind) for name, *rule in counts},
         "police": F.when(F.contains(lowered, F.lit(POLICE_KEYWORD)), "Ja").otherwise("Nein"),
     })
 
@@ -43,13 +47,21 @@ def lookup(key: Column, table: dict, default: Column | None = None) -> Column:
     return found if default is None else F.coalesce(found, default)
 
 
-def rule_score(df: DataFrame, name: str = "predicted_claim") -> DataFrame:
-    """Base amount by severity plus surcharges; no vehicle gives a deduction."""
+def rule_score(df: DataFrame, name: str = "predicted_claim", text_column: str | None = None) -> DataFrame:
+    """Base amount by severity plus surcharges; no vehicle gives a deduction.
+
+    With the ``text_column`` the counts are taken from the text, so that those too long for their column count too.
+    """
+    if text_column is None:
+        number = {c: F.col(c).cast("double") for c in ("vehicles", "injured")}
+    else:
+        lowered = F.lower(quoted(text_column))
+        number = {c: F.coalesce(F.col(c).cast("double"), first_number(lowered, *rule, "double")) for c, *rule in COUNT_RULES}
     return df.withColumn(
         name,
         lookup(F.col("severity"), BASE_AMOUNTS)
-        + (F.col("vehicles").cast("double") - 1.0) * PER_EXTRA_VEHICLE
-        + F.col("injured").cast("double") * PER_INJURED)
+        + (number["vehicles"] - 1.0) * PER_EXTRA_VEHICLE
+        + number["injured"] * PER_INJURED)
 
 
 def german_severity(c: Column) -> Column:

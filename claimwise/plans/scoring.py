@@ -16,7 +16,12 @@ from claimwise.sources.readers import read_claims_optional
 def score_reports(reports: DataFrame, text_column: str = "text") -> DataFrame:
     """Features, rule score and display amount per non-blank report; one narrow stage."""
     kept, _ = reject_blank(reports, text_column)
-    return format_amount(rule_score(extract_features(kept, text_column)))
+    return score_texts(kept, text_column)
+
+
+def score_texts(kept: DataFrame, text_column: str = "text") -> DataFrame:
+    """:func:`score_reports` of reports known to hold text."""
+    return format_amount(rule_score(extract_features(kept, text_column), text_column=text_column))
 
 
 def score_with_history(reports: DataFrame, history: DataFrame, text_column: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ from claimwise.operators.cleaning import nullify_tokens
 from claimwise.schemas import CLAIMS_RAW, DEFAULT_NULL_TOKENS, SENTINEL
 from claimwise.session import stage
 from claimwise.sources import records
+from claimwise.sources.writers import current_generation
 
 _RAW = "_csv_record"
 _CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
@@ -113,5 +114,6 @@ def read_claims_optional(spark: SparkSession, path: str, schema: T.StructType =
 
 
 def read_tables(spark: SparkSession, location: str, names: list[str]) -> dict[str, DataFrame]:
-    """Parquet tables written by ``write_tables``."""
-    return {name: spark.read.parquet(f"{location}/{name}") for name in names}
+    """Parquet tables of the last complete ``write_tables``."""
+    base = current_generation(spark, location)
+    return {name: spark.read.parquet(f"{base}/{name}") for name in names}

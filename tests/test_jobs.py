@@ -69,6 +69,25 @@ def test_load_refuses_broken_rules(spark, tmp_path):
     assert not os.path.exists(tmp_path / "db")
 
 
+def test_failed_refresh_leaves_the_old_tables(spark, tmp_path):
+    """A failure in the third write leaves all five old tables readable, and a later load replaces all of them."""
+    location = str(tmp_path / "db")
+    flats = [session.stage(etl.transform(etl.extract(spark, write_source(tmp_path / f"{n}.csv", [{}] * n))), "flat") for n in (2, 3, 4)]
+    assert set(write_tables(split_claims(flats[0].withColumn("policy_number", F.col("lfd_id")), etl.ROW_NUMBER), location).values()) == {2}
+    broken = split_claims(flats[1], etl.ROW_NUMBER)
+    third = list(TABLES)[2]
+    broken[third] = broken[third].withColumn("marke", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_tables(broken, location)
+    assert {name: df.count() for name, df in read_tables(spark, location, list(TABLES)).items()} == dict.fromkeys(TABLES, 2)
+    at_work = read_tables(spark, location, list(TABLES))
+    write_tables(split_claims(flats[2], etl.ROW_NUMBER), location)
+    assert {name: df.count() for name, df in read_tables(spark, location, list(TABLES)).items()} == dict.fromkeys(TABLES, 4)
+    assert at_work["kunden"].count() == 2
+    # the unfinished generation went with the next load
+    assert len([n for n in os.listdir(location) if n.startswith("generation-")]) == 2
+
+
 def test_join_is_correct_for_several_vehicles(spark, tmp_path):
     source = write_source(tmp_path / "claims.csv", [{}, {}])
     flat = etl.transform(etl.extract(spark, source))

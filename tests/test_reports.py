@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from claimwise.operators.reports import extract_features, feature_table
 from claimwise.operators.synth import case_type, generate_reports
 from claimwise.phrases import DEFAULT_BOOK, PhraseBook, book_from_table
 from claimwise.plans.scoring import score_reports, score_with_claims_file, score_with_history
-from claimwise.streaming.scores import report_stream, run_scores, scored_stream
+from claimwise.streaming.scores import report_stream, run_scores, run_scores_and_rejects, scored_stream
 
 FORM = ("Am 10.06.2026 kam es zu einem Unfall mit 2 Fahrzeugen. Mein Auto wurde erheblich beschädigt, "
         "1 Person wurde verletzt. Die Polizei wurde informiert, es gibt 2 Zeugen.")
@@ -65,6 +67,17 @@ def test_optional_claims_file(texts, tmp_path):
 def test_long_numbers(spark):
     df = spark.createDataFrame([("12345678901234567890 Zeugen",), ("9" * 39 + " Zeugen",), ("Zeugen",)], "text string")
     assert [r["witnesses"] for r in extract_features(df).collect()] == [12345678901234567890, None, 0]
+    assert [r["witnesses"] for r in extract_features(df, kind="string").collect()] == ["12345678901234567890", "9" * 39, "0"]
+    many = spark.createDataFrame([(f"00{'1' * 45} Fahrzeuge, 2 verletzt",)], "text string")
+    assert extract_features(many, kind="string").first()["vehicles"] == "1" * 45
+    row = score_reports(many).first()
+    assert row["vehicles"] is None and row["predicted_claim"] == pytest.approx(35000 + (float("1" * 45) - 1) * 4000 + 6000)
+
+
+def test_count_rules_are_a_parameter(spark):
+    df = spark.createDataFrame([("7 wheels and 2 cars",)], "text string")
+    found = extract_features(df, counts=[("wheels", r"(\d+)\s*wheel", 4, "wheel"), ("cars", r"(\d+)\s*car", 1, "car"), ("dogs", r"(\d+)\s*dog", 0, "dog")]).first()
+    assert (found["wheels"], found["cars"], found["dogs"]) == (7, 2, 0)
 
 
 def test_stream_equals_batch(spark, texts, tmp_path):
@@ -140,3 +153,24 @@ def test_phrase_book_checks(spark):
     rows = [(part, tag, text) for part, tags in DEFAULT_BOOK.parts.items() for tag, texts in tags.items() for text in texts]
     book = book_from_table(spark.createDataFrame(rows, "part string, tag string, text string"), DEFAULT_BOOK.plans, DEFAULT_BOOK.harm)
     assert {p: {t: sorted(x) for t, x in tags.items()} for p, tags in DEFAULT_BOOK.parts.items()} == book.parts
+
+
+def test_two_sinks_survive_a_repeated_batch(spark, texts, tmp_path):
+    source, scores, rejects, progress = (str(tmp_path / n) for n in ("in", "scores", "rejects", "progress"))
+    blanks = spark.createDataFrame([(900, "  "), (901, None), (902, "\n\t")], "report_id bigint, text string")
+    texts.select("report_id", "text").unionByName(blanks).repartition(3).write.parquet(source)
+
+    def run():
+        run_scores_and_rejects(report_stream(spark, source, texts.select("report_id", "text").schema, files_per_batch=1), scores, rejects, progress).awaitTermination()
+
+    run()
+    # the last batch is forgotten as done, and one of its outputs is lost
+    commits = sorted(int(p.name) for p in (tmp_path / "progress" / "commits").iterdir() if p.name.isdigit())
+    assert len(commits) == 3
+    for name in (str(commits[-1]), f".{commits[-1]}.crc"):
+        (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+    shutil.rmtree(tmp_path / "rejects" / f"batch={commits[-1]}")
+    run()
+    batch = score_reports(spark.read.parquet(source))
+    assert sorted(batch.collect(), key=str) == sorted(spark.read.parquet(scores).select(*batch.columns).collect(), key=str)
+    assert sorted(r["report_id"] for r in spark.read.parquet(rejects).collect()) == [90, 91, 900, 901, 902]
