@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import synth_sql, views as V
-from claimwise.operators import audits, cleaning, model, normalise, prepare, ranking, reports, stats, synth
+from claimwise.operators import audits, cleaning, encode, model, normalise, prepare, ranking, reports, stats, synth
 from claimwise.plans import analysis, etl, prepared, scoring
 from claimwise.schemas import (
     CLAIM_COLUMNS, CLAIMS_RAW, DEFAULT_NULL_TOKENS, FEATURE_LABELS, SENTINEL, PRIMARY_KEYS, SEVERITY_GERMAN, TABLES, spark_type,
@@ -978,6 +978,20 @@ def level_count(c: str) -> str:
     return f'(SELECT greatest(count(DISTINCT "{c}") - 1, 0) FROM {PLAIN} t)'
 
 
+LEVEL_COLUMNS = [c for c in COLUMNS if c in TEXTS or c in ("policy_bind_date", "incident_date", FLAG)]
+
+
+@register(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, CAST("{c}" AS STRING) AS level, count(*) AS rows FROM {PLAIN} t WHERE "{c}" IS NOT NULL
+    AND CAST("{c}" AS STRING) > (SELECT min(CAST("{c}" AS STRING)) FROM {PLAIN} u) GROUP BY 1, 2""" for c in LEVEL_COLUMNS))
+def encoded_levels(spark, sf):
+    """Every text column and date as sparse vectors, zip codes and addresses too: rows per place, read back from the vectors."""
+    claims = plain_claims(spark, sf)
+    dated = claims.withColumns({c: F.col(c).cast("string") for c in ("policy_bind_date", "incident_date")})
+    found = encode.slot_totals(encode.encode(dated, "vehicle_claim", keep=["src_pos"]))
+    return found.where("level IS NOT NULL").select("feature", "level", "rows")
+
+
 FEATURE_COLUMNS = [c for c in COLUMNS if c not in IDENTIFYING and ("claim" not in c or c == "vehicle_claim")]
 
 

@@ -13,27 +13,30 @@ from claimwise.functions.text import quoted
 from claimwise.operators.cleaning import column_roles
 
 
-def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column, for encoding.
-
-    They become the columns of the encoded frame, so the driver has to know them;
-    leave columns out that identify rows.
-    """
+def category_levels(df: DataFrame, columns: list[str], most: int | None = None) -> dict[str, list[str]]:
+    """Sorted distinct values per column, where they become names of columns; over ``most`` in one column are an error."""
     if not columns:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), quoted(c).cast("string").alias("level")) for c in columns])
+    found = df.select(F.inline(cells)).where("level IS NOT NULL").distinct()
+    if most is not None:
+        # one row a column beyond the bound
+        wide = [r["feature"] for r in found.groupBy("feature").count().where(F.col("count") > most).collect()]
+        if wide:
+            raise ValueError(f"{sorted(wide)} have over {most} levels: take encode(), or raise most_levels")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in df.select(F.inline(cells)).where("level IS NOT NULL").distinct().toLocalIterator():
+    for r in found.toLocalIterator():
         levels[r["feature"]].append(r["level"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
+def one_hot(df: DataFrame, columns: list[str], most_levels: int = 2000) -> DataFrame:
     """Replace text columns by 0/1 columns ``column_level``, without the first level.
 
-    A missing value has zeros in all columns of its feature.
+    A missing value has zeros in all columns of its feature. Over ``most_levels`` levels of a column are an error, as no table is that wide:
+    :func:`~claimwise.operators.encode.encode` has them as places of one vector.
     """
-    levels = category_levels(df, columns)
+    levels = category_levels(df, columns, most_levels)
     rest = [quoted(c) for c in df.columns if c not in columns]
     flags = [F.coalesce((quoted(c).cast("string") == level).cast("int"), F.lit(0)).alias(f"{c}_{level}")
              for c in columns for level in levels[c][1:]]
@@ -167,10 +170,15 @@ def cv_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"))
 
 
-def importances(model: RandomForestRegressionModel, names: list[str], spark) -> DataFrame:
-    """``feature, importance`` for every feature of a fitted model."""
-    values = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+def importances(model: RandomForestRegressionModel, slots: DataFrame) -> DataFrame:
+    """``feature, importance`` for every place of the vectors, ``slots`` with ``slot, name``; those no tree uses have 0.
+
+    The forest has no more used places than nodes, which is what the driver holds of them.
+    """
+    values = model.featureImportances
+    used = slots.sparkSession.createDataFrame([(int(i), float(values[int(i)])) for i in values.indices] if hasattr(values, "indices")
+                                              else list(enumerate(values.toArray().tolist())), "slot bigint, importance double")
+    return slots.join(used, "slot", "left").select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def top_importances(table: DataFrame, n: int = 15) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwise.operators import cleaning, cube, model, stats
+from claimwise.operators import cleaning, cube, encode, model, stats
 from claimwise.operators.prepare import typed_claims
 from claimwise.operators.ranking import fold_index, holdout_split
 from claimwise.session import stage
@@ -69,15 +69,15 @@ def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share:
     """Holdout scores, fold scores and importances of the random-forest baseline.
 
     ``key`` identifies a row and is not a feature. ``df`` is read several
-    times, so pass a staged frame. Encoded rows are staged once; the marks for
+    times, so pass a staged frame. Levels of text columns stay in a table (:mod:`~claimwise.operators.encode`). Encoded rows are staged once; the marks for
     holdout and folds are expressions over them, and all their forests are trained side by side. The folds cover all rows,
     those of the holdout included. Training rows lie in ``partitions`` partitions (by default as many as their
     number asks for) in key order, so a seed gives the same forest whatever the cluster or the files.
     """
     spark = df.sparkSession
     clean = cleaning.drop_leakage(df, target)
-    vectors, names = model.feature_vectors(clean, target, keep=[key])
-    rows, tests = stage(vectors, "vectors"), {}
+    encoded = encode.encode(clean, target, keep=[key])
+    rows, tests = stage(encoded.vectors, "vectors"), {}
     if holdout:
         rows = holdout_split(rows, key, test_share, seed)
         tests["holdout"] = F.col("is_test")
@@ -89,7 +89,7 @@ def baseline(df: DataFrame, key: str, target: str = "vehicle_claim", test_share:
     result = {}
     if holdout:
         result["holdout"] = scores.where("part = 'holdout'").drop("part")
-        result["importances"] = model.importances(found["holdout"][0], names, spark)
+        result["importances"] = model.importances(found["holdout"][0], encoded.slots)
         result["top importances"] = model.top_importances(result["importances"])
     if cross_validation:
         result["folds"] = scores.where("part <> 'holdout'").select(F.substring("part", 6, 9).cast("int").alias("fold"), "n", "r2", "mae")
