@@ -60,6 +60,10 @@ def report_sql(source: str, key: str, seed: int, keep: list[str], candidates: li
         steps.append(f"p{i} AS (SELECT *, pool{i}[1 + {draw(f'item {i}')} % greatest(len(pool{i}), 1)] AS h{i} FROM q{i})")
         steps.append(f"q{i + 1} AS (SELECT *, list_filter(pool{i}, lambda x: x <> h{i}) AS pool{i + 1} FROM p{i})")
     steps.append(f"d AS (SELECT *, array_to_string([{', '.join(f'h{i}' for i in range(most))}][1:k], ', ') || '.' AS c_harm FROM q{most})")
-    plans = " ".join(f"WHEN {i} THEN concat_ws(' ', {', '.join(f'c_{p}' for p in plan)})" for i, plan in enumerate(book.plans))
-    final = f"trim(regexp_replace(CASE {draw('plan')} % {len(book.plans)} {plans} END, '\\s+', ' ', 'g'))"
+    def planned(c: str, s: str) -> str:
+        plans = book.plans_of(c, s)
+        return f"CASE {draw('plan')} % {len(plans)} " + " ".join(
+            f"WHEN {i} THEN concat_ws(' ', {', '.join(f'c_{p}' for p in plan)})" for i, plan in enumerate(plans)) + " END"
+
+    final = f"trim(regexp_replace({by_scene(planned)}, '\\s+', ' ', 'g'))"
     return f"WITH {', '.join(steps)} SELECT {', '.join(keep)}, {final} AS {name} FROM d"

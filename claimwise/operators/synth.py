@@ -45,6 +45,17 @@ def draw_names(book: PhraseBook) -> list[str]:
     return ["plan", "count", *[f"item {i}" for i in range(most)], *book.parts, *[f"number {p}" for p in NUMBERS if p in book.parts]]
 
 
+def plan_pools(book: PhraseBook, scenes: list[tuple[str, str]]) -> tuple[list[list[str]], list[int], list[int]]:
+    """All plans of the book once, and first place and number of those of each scene."""
+    groups: list[list[list[str]]] = []
+    for scene in scenes:
+        if book.plans_of(*scene) not in groups:
+            groups.append(book.plans_of(*scene))
+    starts = [sum(map(len, groups[:i])) for i in range(len(groups))]
+    own = [groups.index(book.plans_of(*scene)) for scene in scenes]
+    return [p for g in groups for p in g], [starts[g] for g in own], [len(groups[g]) for g in own]
+
+
 def _array(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -107,7 +118,8 @@ def generate_reports(
         if part != "harm":
             _, first, size = pools(part)
             places[f"_at {part}"] = _at(first, scene) + draw(part) % _at(size, scene)
-    work = work.withColumns({**places, "_plan": draw("plan") % len(book.plans), "_harm": harm})
+    plans, first, size = plan_pools(book, scenes)
+    work = work.withColumns({**places, "_plan": _at(first, scene) + draw("plan") % _at(size, scene), "_harm": harm})
 
     def clause(part: str) -> Column:
         if part == "harm":
@@ -123,8 +135,8 @@ def generate_reports(
         head, tail = [t.partition("{}")[0] for t in texts], [t.partition("{}")[2] for t in texts]
         return F.concat(_at(head, at), F.when(_at(["{}" in t for t in texts], at), value).otherwise(""), _at(tail, at))
 
-    text = F.concat_ws(" ", *[clause(p) for p in book.plans[0]])
-    for i, plan in enumerate(book.plans[1:], 1):
+    text = F.concat_ws(" ", *[clause(p) for p in plans[0]])
+    for i, plan in enumerate(plans[1:], 1):
         text = F.when(F.col("_plan") == i, F.concat_ws(" ", *[clause(p) for p in plan])).otherwise(text)
     made = work.select("*", F.explode(F.array(squeeze(text))).alias("_text"))
     return made.select(*[F.col("_text").alias(name) if c == name else quoted(c) for c in df.columns],

@@ -174,3 +174,14 @@ def test_two_sinks_survive_a_repeated_batch(spark, texts, tmp_path):
     batch = score_reports(spark.read.parquet(source))
     assert sorted(batch.collect(), key=str) == sorted(spark.read.parquet(scores).select(*batch.columns).collect(), key=str)
     assert sorted(r["report_id"] for r in spark.read.parquet(rejects).collect()) == [90, 91, 900, 901, 902]
+
+
+def test_phrase_book_has_the_surveyed_shape():
+    size = lambda part, case, level="major": len(DEFAULT_BOOK.pool(part, case, level))
+    crash, parked, stolen = "Front Collision", "Parked Car", "Vehicle Theft"
+    assert (size("harm", crash), size("harm", crash, "minor"), size("harm", parked), size("harm", stolen)) == (27, 15, 15, 4)
+    assert [size("event", c) for c in (crash, "Rear Collision", "Side Collision", parked, stolen)] == [5, 5, 5, 4, 4]
+    assert [size(p, crash) for p in ("sky", "moment", "pace", "bystanders", "authority", "recovery", "style", "cabin")] == [7, 5, 5, 4, 4, 4, 3, 3]
+    assert size("cabin", crash, "minor") == size("cabin", parked) == 3
+    assert sum("" in DEFAULT_BOOK.pool(p, crash, "major") for p in DEFAULT_BOOK.parts) == 3
+    assert [len(DEFAULT_BOOK.plans_of(c, "minor")) for c in (crash, parked, stolen)] == [4, 2, 2]
