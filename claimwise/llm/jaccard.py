@@ -221,7 +221,7 @@ def jaccard_join(
     without a word (null, empty) link with nothing and are kept; rows without id
     have no class and are kept; repeated rows of an id count as one more copy
     each. Other columns are ignored. After each ``runs`` runs the audit decides about
-    more, up to ``most_rounds`` times.
+    more, up to ``most_rounds`` times; a join that has not reached the ``target`` by then is an error.
     """
     rows = texts(docs, id_col, text_col)
     candidates, described = None, None
@@ -237,8 +237,11 @@ def jaccard_join(
                       .dropDuplicates(["doc_id"]), "sets")
         found = staged(_candidates(sets, bucket, block, threshold - 0.25), "candidates")
         candidates = found if candidates is None else candidates.unionByName(found)
-        if _recall(candidates) >= target:
+        recall = _recall(candidates)
+        if recall >= target:
             break
+    else:
+        raise RuntimeError(f"recall is {recall:.4f} of {target} after {most_rounds * runs} runs; allow more with most_rounds")
     groups = staged(components(candidates.select("u", "v")), "groups")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     members = (groups.join(sizes, "root").withColumnRenamed("node", "doc_id")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +19,57 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = re.compile(r"[^\W\d_]")
 BUCKETS = 1 << 15
-#: Script of a word by the lead byte of its first character, which fixes a range of code points.
-_SCRIPT = np.zeros(256, np.int64)
-for _number, (_low, _high) in enumerate(
-        [(0xCD, 0xCF), (0xD0, 0xD4), (0xD5, 0xD5), (0xD6, 0xD7), (0xD8, 0xDF), (0xE0, 0xE0), (0xE1, 0xE1), (0xE3, 0xE9), (0xEA, 0xED)], 1):
-    _SCRIPT[_low:_high + 1] = _number
-SCRIPTS = 10
+#: Code points of scripts, as first and last; all others count as the Latin one, number 0.
+_RANGES = (
+    (0x0370, 0x03FF, 1), (0x1F00, 0x1FFF, 1),  # Greek
+    (0x0400, 0x052F, 2), (0x1C80, 0x1C8F, 2), (0x2DE0, 0x2DFF, 2), (0xA640, 0xA69F, 2),  # Cyrillic
+    (0x0530, 0x058F, 3),  # Armenian
+    (0x0590, 0x05FF, 4), (0xFB1D, 0xFB4F, 4),  # Hebrew
+    (0x0600, 0x06FF, 5), (0x0750, 0x077F, 5), (0x08A0, 0x08FF, 5), (0xFB50, 0xFDFF, 5), (0xFE70, 0xFEFF, 5),  # Arabic
+    (0x0900, 0x097F, 6),  # Devanagari
+    (0x0980, 0x0DFF, 7),  # further scripts of India
+    (0x0E00, 0x0E7F, 8), (0x0E80, 0x0FFF, 9),  # Thai; Lao and Tibetan
+    (0x10A0, 0x10FF, 10), (0x1C90, 0x1CBF, 10), (0x2D00, 0x2D2F, 10),  # Georgian
+    (0x1100, 0x11FF, 11), (0x3130, 0x318F, 11), (0xA960, 0xA97F, 11), (0xAC00, 0xD7FF, 11),  # Hangul
+    (0x3040, 0x30FF, 12), (0x31F0, 0x31FF, 12),  # Kana
+    (0x2E80, 0x2FDF, 13), (0x3400, 0x4DBF, 13), (0x4E00, 0x9FFF, 13), (0xF900, 0xFAFF, 13), (0x20000, 0x3FFFF, 13),  # Han
+    (0x1200, 0x139F, 14),  # Ethiopic
+    (0x1780, 0x17FF, 15), (0x19E0, 0x19FF, 15),  # Khmer
+)
+SCRIPTS = 16
+
+
+@lru_cache(maxsize=1)
+def _code_points() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point whether it is a letter or a mark on one, and its script."""
+    letter = np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
+    script = np.zeros(0x110000, np.int64)
+    for low, high, number in _RANGES:
+        script[low:high + 1] = number
+    return letter, script
+
+
+def _decoded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with every character beyond ASCII that is no letter as blanks, and the script at each first byte."""
+    head = np.flatnonzero(data >= 0xC0)
+    script = np.zeros(len(data), np.int64)
+    if not len(head):
+        return data, script
+    lead = data[head].astype(np.int64)
+    size = 1 + (lead >= 0xC0).astype(int) + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead & (0xFF >> (size + 1))
+    for i in (1, 2, 3):
+        more = size > i
+        code[more] = code[more] << 6 | (data[np.minimum(head[more] + i, len(data) - 1)] & 0x3F)
+    letter, of = _code_points()
+    code = np.minimum(code, 0x10FFFF)
+    script[head] = of[code]
+    other = ~letter[code]
+    data = data.copy()
+    for i in range(4):
+        place = head[other & (size > i)] + i
+        data[place[place < len(data)]] = 0x20
+    return data, script
 
 
 @dataclass
@@ -36,7 +83,7 @@ class Model:
 
 def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[Spans, np.ndarray, np.ndarray, np.ndarray]:
     """Words, the trigram bucket at every word byte, first of them per word, script per word."""
-    data = _LOWER[data]
+    data, scripts = _decoded(_LOWER[data])
     accent = np.flatnonzero(data[:-1] == 0xC3) + 1
     upper = accent[(data[accent] >= 0x80) & (data[accent] <= 0x9E) & (data[accent] != 0x97)]
     data[upper] += 0x20
@@ -50,7 +97,7 @@ def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[Spans, np.ndarray, np.
     before[first] = 0
     after[first + length - 1] = 0
     bucket = ((before * np.uint32(65599) + now) * np.uint32(65599) + after) * np.uint32(2654435761) >> np.uint32(17)
-    return w, bucket.astype(np.int64), first, _SCRIPT[data[w.start]]
+    return w, bucket.astype(np.int64), first, scripts[w.start]
 
 
 def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +142,7 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     Texts of like length advance together, word by word, so the loop is as
     long as the longest text and not as the batch.
     """
-    label = np.zeros(len(score), np.int8)
+    label = np.zeros(len(score), np.int32)
     length = np.diff(first)
     kind = np.ceil(np.log2(np.maximum(length, 1))).astype(int)
     for size in np.unique(kind[length > 0]):
@@ -104,7 +151,7 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
         n, steps = length[docs], int(length[docs].max())
         live = np.searchsorted(-n, -np.arange(steps), "left")
         begin = first[docs]
-        keep = np.zeros((steps, len(docs)), np.int8)
+        keep = np.zeros((steps, len(docs)), np.int32)
         stays = np.zeros((steps, len(docs), score.shape[1]), bool)
         best = score[begin].astype(np.float64)
         for t in range(1, steps):
@@ -175,8 +222,9 @@ def predict(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_
     """Language of every text from the labels of its words, with the labelled spans.
 
     A switch of language costs ``penalty`` in log-probability. The text gets the language
-    of most of its words; ``score`` is their share. Words are runs of letters, and
-    spans count them from 0. Null text and text without a letter gives ``und`` with
+    of most of its words, the first in order on ties; ``score`` is their share. Words are runs of letters and marks of any script, so
+    quotes, dashes and signs never vote, and
+    spans count them from 0. Long texts are labelled whole. Null text and text without a letter gives ``und`` with
     score 0 and no span, as does everything when nothing was learned. A map without
     shuffle; repeated rows give repeated results; other columns are ignored.
     """

@@ -48,7 +48,7 @@ TEMPLATES = (
 class SuffixAutomaton:
     """Generalised suffix automaton over sequences of word ids.
 
-    A state knows, for every sequence it occurs in, one end position there.
+    A state knows, for every sequence it occurs in, all its end positions there.
     """
 
     def __init__(self, sequences: list[list[int]]):
@@ -58,10 +58,10 @@ class SuffixAutomaton:
             last = 0
             for place, word in enumerate(words):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(number, place)
+                self.ends[last].setdefault(number, set()).add(place)
         for state in sorted(range(1, len(self.next)), key=lambda s: -self.length[s]):
-            for number, place in self.ends[state].items():
-                self.ends[self.link[state]].setdefault(number, place)
+            for number, places in self.ends[state].items():
+                self.ends[self.link[state]].setdefault(number, set()).update(places)
 
     def _new(self, length: int, follow: dict[int, int], link: int) -> int:
         self.next.append(dict(follow))
@@ -133,28 +133,59 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
         return np.where(self.sorted[at] == hashes, self.order[at], len(self.sorted))
 
-    def chains(self, run: list[int]) -> list[tuple[int, float, int, int]]:
-        """``(template, covered share, first word, last word)`` of chained long matches in a run."""
+    def matches(self, run: list[int]) -> dict[int, list[tuple[int, int, int]]]:
+        """Per template ``(first word, last word, template place of the last word)`` of the longest matches to the left and right.
+
+        The state of a word has the places of the longest match that ends there; shorter ones of other places, in other templates or the same,
+        belong to the states above it.
+        """
         found: dict[int, list[tuple[int, int, int]]] = {}
-        stats = self.automaton.statistics(run)
-        for i, (length, state) in enumerate(stats):
-            grows = i + 1 < len(stats) and stats[i + 1][0] == length + 1
-            if length >= self.min_words and not grows:
-                for number, place in self.automaton.ends[state].items():
-                    found.setdefault(number, []).append((i - length + 1, i, place))
+        automaton = self.automaton
+        for i, (length, state) in enumerate(automaton.statistics(run)):
+            seen: dict[int, set[int]] = {}
+            while length >= self.min_words:
+                for number, places in automaton.ends[state].items():
+                    words, known = self.templates[number], seen.setdefault(number, set())
+                    for place in places - known:
+                        if i + 1 == len(run) or place + 1 == len(words) or run[i + 1] != words[place + 1]:
+                            found.setdefault(number, []).append((i - length + 1, i, place))
+                    known |= places
+                state = automaton.link[state]
+                length = automaton.length[state]
+        return found
+
+    def best_chain(self, matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+        """``(words, first word, last word)`` of the chain that covers most; matches in the order of their last words.
+
+        Links go ahead in the text, by at most ``gap`` words, and in the template. What a match shares with the one before it,
+        here or there, is cut from its front, so every word of either counts once.
+        """
+        score, begin = [], []
+        for j, (first, last, place) in enumerate(matches):
+            start, top, origin = place - (last - first), last - first + 1, first
+            for i in range(j - 1, -1, -1):
+                _, before, at = matches[i]
+                if before < first - self.gap - 1:
+                    break
+                cut = max(before - first + 1, at - start + 1, 0)
+                if cut <= last - first and score[i] + last - first + 1 - cut > top:
+                    top, origin = score[i] + last - first + 1 - cut, begin[i]
+            score.append(top)
+            begin.append(origin)
+        j = max(range(len(matches)), key=lambda x: (score[x], -matches[x][1]))
+        return score[j], begin[j], matches[j][1]
+
+    def chains(self, run: list[int]) -> list[tuple[int, float, int, int]]:
+        """``(template, covered share, first word, last word)`` of the best chains in a run, per template without overlap."""
         out = []
-        for number, matches in found.items():
-            size, covered, begin, end, at = len(self.templates[number]), 0, 0, -1, -1
-            for first, last, place in matches:
-                start = place - (last - first)
-                if covered and first - end - 1 <= self.gap and start > at:
-                    covered += last - first + 1
-                else:
-                    if covered:
-                        out.append((number, covered / size, begin, end))
-                    covered, begin = last - first + 1, first
-                end, at = last, place
-            out.append((number, covered / size, begin, end))
+        for number, matches in self.matches(run).items():
+            size, rest = len(self.templates[number]), sorted(matches, key=lambda m: (m[1], m[0], m[2]))
+            while rest:
+                words, begin, end = self.best_chain(rest)
+                if words < self.min_cover * size:
+                    break
+                out.append((number, words / size, begin, end))
+                rest = [m for m in rest if m[1] < begin or m[0] > end]
         return out
 
     def scan(self, data: np.ndarray, off: np.ndarray) -> list[tuple]:
@@ -180,8 +211,7 @@ class Scanner:
             shift = begin - w.first[doc]
             run = ids[begin:end + 1]
             for number, share, first, last in self.chains(np.where(known[begin:end + 1], run, -1).tolist()):
-                if share >= self.min_cover:
-                    spans[doc].append((self.labels[number], min(share, 1.0), int(shift + first), int(shift + last)))
+                spans[doc].append((self.labels[number], share, int(shift + first), int(shift + last)))
         out = []
         for d in range(n):
             base = sorted({label for _, label in places[d]})
@@ -223,10 +253,10 @@ def licence_scan(
 
     Words are compared by 64-bit hashes. A stretch of text counts for a template when
     matches of at least ``min_words`` words, in template order and at most ``gap`` words
-    apart, cover ``min_cover`` of it. ``score`` is the best covered share, 1 with a fixed
+    apart, cover ``min_cover`` of it; the chain that covers most counts, each word of text and template once, and of equal ones the first. ``score`` is the best covered share, 1 with a fixed
     phrase, 0 without any find. A map over texts without shuffle: null text is
-    empty, with no words, empty labels and score 0; repeated rows give repeated
-    results; other columns are ignored.
+    empty, with no words, empty labels and score 0; long texts are scanned whole; repeated rows give repeated
+    results; an empty table gives no row; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, phrases, min_words, gap, min_cover)

@@ -6,6 +6,8 @@ exchanged, is the DuckDB counterpart.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwise.llm.frames import staged, unused
@@ -15,6 +17,9 @@ CYCLE = (1.0, 2.0, 3.0)
 CAP = 3
 _SPAN = 1 << 32
 _GOLDEN = 2654435769  # 2^32 / golden ratio, odd
+#: Sources of fewer words are cut into blocks of equal size, at least so many or one a word, so that a slot is a small part of them.
+SMALL = 1 << 16
+LEAST_BLOCKS = 32
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,6 +57,25 @@ def source_targets(sized: DataFrame, cap: int = CAP, cycle: tuple[float, ...] =
         "source", "sid", "source_size", F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
+def n_blocks(block: int) -> Column:
+    """Blocks of a source: of ``block`` words, more of equal size in a small source."""
+    size = F.col("source_size")
+    whole = F.ceil(size / block).cast("long")
+    return F.when(size < SMALL, F.greatest(whole, F.least(size, F.lit(LEAST_BLOCKS)))).otherwise(whole)
+
+
+def block_start(number: Column, block: int) -> Column:
+    """First word of a block of its source; that of the block after the last is the source's size."""
+    size, blocks = F.col("source_size"), F.col("blocks")
+    return F.when(size < SMALL, F.call_function("div", number * size, blocks)).otherwise(F.least(number * block, size))
+
+
+def block_of(word: Column, block: int) -> Column:
+    """The block that holds a word of its source."""
+    size, blocks = F.col("source_size"), F.col("blocks")
+    return F.when(size < SMALL, F.call_function("div", (word + 1) * blocks - 1, size)).otherwise(F.call_function("div", word, F.lit(block).cast("long")))
+
+
 def placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """``doc_id, size, sid, at``: first word of every document in its source's shuffled stream.
 
@@ -74,14 +98,14 @@ def schedule(targets: DataFrame, slots: int, block: int = BLOCK, cap: int = CAP)
     """``slot, sid, turn``: the source of every slot and the slot's rank within it.
 
     Slot n holds the point ``n x golden ratio mod 1``; the source whose interval of
-    cumulative target weight holds it takes the slot. Intervals are looked up by
+    cumulative ``slots`` holds it takes the slot. Intervals are looked up by
     equal cells of the unit line, so the join is on a key. Ranks are counted per run of
     65,536 slots and inside each.
     """
     spark = targets.sparkSession
     order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("target").over(Window.partitionBy())
-    edges = (targets.where("target > 0").withColumn("high", F.floor(F.sum("target").over(order) / total * _SPAN))
+    total = F.sum("slots").over(Window.partitionBy())
+    edges = (targets.where("slots > 0").withColumn("high", F.floor(F.sum("slots").over(order) / total * _SPAN))
              .withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0)))
              .withColumn("high", F.when(F.lead("sid").over(Window.orderBy("sid")).isNull(), F.lit(_SPAN)).otherwise(F.col("high"))).where("high > low"))
     cells = edges.select("sid", "low", "high", F.explode(F.sequence(F.shiftright("low", 20), F.shiftright(F.col("high") - 1, 20))).alias("cell"))
@@ -105,29 +129,28 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 def mix(sized: DataFrame, block: int = BLOCK, cap: int = CAP, cycle: tuple[float, ...] = CYCLE) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and ``row``, if there) for every row of :func:`sizes`.
 
-    The slots of a source take its blocks of ``block`` words in order, from the front again
+    The slots of a source take its blocks of about ``block`` words in order, from the front again
     when they are used up, at most ``cap`` times; ``taken`` sums what they take of a
-    document. There are as many slots as blocks in all, so sources come within
-    a few blocks of their targets. Null and empty texts have size 0 and nothing is taken; a
+    document. A source gets slots for its target at its own size of blocks, so each comes within
+    a few blocks of its target, and a block is a small part of a small source. Null and empty texts have size 0 and nothing is taken; a
     null source is a source of its own; a null id sorts like empty text; repeated
-    rows stand one after the other in the stream. Reruns agree, since no order
+    rows stand one after the other in the stream; long texts are many blocks; empty tables have no row. Reruns agree, since no order
     depends on partitions.
     """
-    targets = staged(source_targets(sized, cap, cycle), "targets")
-    total = targets.agg(F.sum("source_size")).first()[0] or 0
-    slots = -(-total // block)
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    taken = (schedule(targets, slots, block, cap).join(targets.select("sid", blocks.alias("blocks")), "sid")
+    wanted = F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)
+    targets = staged(source_targets(sized, cap, cycle).withColumn("blocks", n_blocks(block)).withColumn("slots", wanted), "targets")
+    # rounded, so that the order of the sum does not show
+    slots = math.ceil(round(targets.agg(F.sum("slots")).first()[0] or 0.0, 6))
+    taken = (schedule(targets, slots, block, cap).join(targets.select("sid", "blocks"), "sid")
              .where(F.col("turn") < F.col("blocks") * cap)
              .groupBy("sid", (F.col("turn") % F.col("blocks")).alias("block")).agg(F.count(F.lit(1)).alias("times")))
     row = row_key(sized)
     places = staged(placed(sized, targets), "places")
-    begin, end = F.col("block") * block, F.col("block") * block + block
-    overlap = F.least(F.col("at") + F.col("size"), end) - F.greatest("at", begin)
-    pieces = places.where("size > 0").withColumn(
-        "block", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))))
-    some = (pieces.join(taken, ["sid", "block"], "left").groupBy("sid", "at", "doc_id", "size", *row)
-            .agg(F.sum(F.coalesce("times", F.lit(0)) * overlap).alias("taken")).select("doc_id", "size", "sid", "taken", *row))
+    pieces = places.where("size > 0").join(targets.select("sid", "source_size", "blocks"), "sid").withColumn(
+        "block", F.explode(F.sequence(block_of(F.col("at"), block), block_of(F.col("at") + F.col("size") - 1, block))))
+    overlap = F.least(F.col("at") + F.col("size"), block_start(F.col("block") + 1, block)) - F.greatest("at", block_start(F.col("block"), block))
+    some = (pieces.withColumn("overlap", overlap).join(taken, ["sid", "block"], "left").groupBy("sid", "at", "doc_id", "size", *row)
+            .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("overlap")).alias("taken")).select("doc_id", "size", "sid", "taken", *row))
     none = places.where("size = 0").select("doc_id", "size", "sid", F.lit(0).cast("long").alias("taken"), *row)
     return some.unionByName(none).join(targets.drop("source"), "sid").select("doc_id", "size", "source_size", "target", "taken", *row)
 
@@ -162,27 +185,35 @@ leveled AS (
     / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
 targets AS (
   SELECT source, sid, source_size, least(most::DOUBLE, weight * (max(CASE WHEN most / weight >= level THEN level END) OVER ())) AS target FROM leveled),
+cut AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0.0::DOUBLE END AS slots FROM (
+    SELECT *, CASE WHEN source_size < {SMALL} THEN greatest((source_size + {BLOCK} - 1) // {BLOCK}, least(source_size, {LEAST_BLOCKS}))
+      ELSE (source_size + {BLOCK} - 1) // {BLOCK} END::BIGINT AS blocks FROM targets)),
 placed AS (
   SELECT doc_id, size, t.sid, (sum(size) OVER (PARTITION BY t.sid ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS pos
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 bounds AS (
   SELECT sid, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low,
     CASE WHEN lead(sid) OVER (ORDER BY sid) IS NULL THEN {_SPAN} ELSE high END AS high FROM (
-    SELECT sid, floor(sum(target) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) / (sum(target) OVER ()) * {_SPAN})::BIGINT AS high
-    FROM targets WHERE target > 0)),
+    SELECT sid, floor(sum(slots) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) / (sum(slots) OVER ()) * {_SPAN})::BIGINT AS high
+    FROM cut WHERE slots > 0)),
 points AS (
   SELECT n AS slot, (n % 2147483648) * {_GOLDEN} % {_SPAN} AS x
-  FROM range(0, (SELECT ((sum(size) + {BLOCK} - 1) // {BLOCK})::BIGINT FROM sized)) r(n)),
+  FROM range(0, (SELECT coalesce(ceil(round(sum(slots), 6)), 0)::BIGINT FROM cut)) r(n)),
 owned AS (
   SELECT sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS turn FROM points JOIN bounds ON x >= low AND x < high),
 taken AS (
-  SELECT o.sid, turn % ((source_size + {BLOCK} - 1) // {BLOCK}) AS block, count(*) AS times FROM owned o JOIN targets t ON o.sid = t.sid
-  WHERE turn < {CAP} * ((source_size + {BLOCK} - 1) // {BLOCK}) GROUP BY 1, 2),
+  SELECT o.sid, turn % blocks AS block, count(*) AS times FROM owned o JOIN cut t ON o.sid = t.sid
+  WHERE turn < {CAP} * blocks GROUP BY 1, 2),
 pieces AS (
-  SELECT *, unnest(range(pos // {BLOCK}, (pos + size - 1) // {BLOCK} + 1)) AS block FROM placed WHERE size > 0),
+  SELECT *, unnest(CASE WHEN source_size < {SMALL} THEN range(((pos + 1) * blocks - 1) // source_size, ((pos + size) * blocks - 1) // source_size + 1)
+    ELSE range(pos // {BLOCK}, (pos + size - 1) // {BLOCK} + 1) END) AS block FROM placed JOIN cut USING (sid) WHERE size > 0),
+ends AS (
+  SELECT *, CASE WHEN source_size < {SMALL} THEN block * source_size // blocks ELSE least(block * {BLOCK}, source_size) END AS low,
+    CASE WHEN source_size < {SMALL} THEN (block + 1) * source_size // blocks ELSE least(block * {BLOCK} + {BLOCK}, source_size) END AS high FROM pieces),
 sums AS (
-  SELECT p.sid, p.pos, doc_id, size, sum(coalesce(times, 0) * (least(pos + size, p.block * {BLOCK} + {BLOCK}) - greatest(pos, p.block * {BLOCK})))::BIGINT AS taken
-  FROM pieces p LEFT JOIN taken k ON p.sid = k.sid AND p.block = k.block GROUP BY ALL)
+  SELECT p.sid, p.pos, doc_id, size, sum(coalesce(times, 0) * (least(pos + size, high) - greatest(pos, low)))::BIGINT AS taken
+  FROM ends p LEFT JOIN taken k ON p.sid = k.sid AND p.block = k.block GROUP BY ALL)
 SELECT doc_id, size, source_size, target, taken FROM (
   SELECT sid, doc_id, size, taken FROM sums UNION ALL SELECT sid, doc_id, size, 0 FROM placed WHERE size = 0) u JOIN targets USING (sid)
 """

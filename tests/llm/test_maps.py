@@ -47,6 +47,49 @@ def test_compression_bands_reject_both_ends(spark):
     assert rows[1].kept and not rows[2].kept and not rows[3].kept
 
 
+def test_compression_judges_tails_and_encoded_text(spark):
+    import base64
+
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
+
+    def prose(n):
+        out = ""
+        while len(out) < n:
+            out += " ".join(rng.choice(vocabulary) for _ in range(12)).capitalize() + ". "
+        return out[:n]
+
+    def noise(n):
+        raw = base64.b64encode(rng.randbytes(n)).decode()
+        return " ".join(raw[i:i + 60] for i in range(0, n, 60))[:n]
+
+    texts = {1: prose(300), 2: prose(1500), 3: prose(8191), 4: prose(20_000), 11: noise(1400), 12: noise(8191), 13: noise(20_000),
+             14: prose(4096) + noise(4095), 15: noise(4095) + prose(4096), 16: prose(16_000) + noise(4000)}
+    got = {r.doc_id: r for r in compression.compression_bands(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert all(got[i].kept for i in (1, 2, 3, 4)), [got[i] for i in (1, 2, 3, 4)]
+    assert not any(got[i].kept for i in texts if i > 10)
+    bands = compression.Bands()
+    for size in (0, 4095, 4096, 4097, 8191, 8192, 20_000):
+        starts = bands.chunks(size)
+        assert (size < 4096) == (not starts) and {b for s in starts for b in (s, s + 4095)} <= set(range(size))
+        assert not starts or (starts[0] == 0 and starts[-1] + 4096 == size and all(b - a <= 4096 for a, b in zip(starts, starts[1:])))
+
+
+def test_language_of_many_languages_and_scripts(spark):
+    """Over 128 languages, each with letters of its own; signs and digits are no words."""
+    rng = random.Random(22)
+    names = [f"l{i:03d}" for i in range(150)]
+    pools = {n: [chr(0x4E00 + 20 * i + j) for j in range(8)] for i, n in enumerate(names)}
+    rows = [(i, " ".join("".join(rng.choice(pools[names[i % 150]]) for _ in range(4)) for _ in range(12)), names[i % 150]) for i in range(1500)]
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").collect()
+    assert np.mean([r.lang_pred == names[r.doc_id % 150] for r in got]) > 0.99 and {r.lang_pred for r in got} > {names[149], names[129]}
+    data = np.frombuffer("a – “b” 。， ☺ é ç 日本 かな Ω д 𠀀 x́".encode(), np.uint8)
+    w, _, _, script = language._trigrams(data, np.array([0, len(data)]))
+    words = [data[a:b].tobytes().decode() for a, b in zip(w.start, w.end)]
+    assert words == ["a", "b", "é", "ç", "日本", "かな", "Ω", "д", "𠀀", "x́"]
+    assert script.tolist() == [0, 0, 0, 0, 13, 12, 1, 2, 13, 0]
+
+
 def test_empty_tables(spark, no_docs, labels):
     assert compression.compression_bands(no_docs).count() == 0
     assert licences.licence_scan(no_docs).count() == 0
@@ -78,10 +121,50 @@ def test_automaton_equals_brute_force():
     for i, (length, state) in enumerate(automaton.statistics(text)):
         want = next((n for n in range(min(i + 1, 40), 0, -1) if tuple(text[i + 1 - n:i + 1]) in parts), 0)
         assert length == want
-        for number, place in automaton.ends[state].items() if length else ():
-            assert sequences[number][place - length + 1:place + 1] == text[i + 1 - length:i + 1]
-        assert {n for n, s in enumerate(sequences) if length and any(s[k:k + length] == text[i + 1 - length:i + 1] for k in range(len(s)))} == (
-            set(automaton.ends[state]) if length else set())
+        at = {n: {k + length - 1 for k in range(len(s)) if s[k:k + length] == text[i + 1 - length:i + 1]} for n, s in enumerate(sequences)} if length else {}
+        assert {n: p for n, p in at.items() if p} == (automaton.ends[state] if length else {})
+
+
+def scanner(templates, least=4, gap=8, cover=0.6):
+    return licences.Scanner([(f"l{i}", t) for i, t in enumerate(templates)], [], least, gap, cover)
+
+
+def found_spans(s, text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return [(label, round(share, 3), first, last) for label, share, first, last in s.scan(raw, np.array([0, len(raw)]))[0][-1]]
+
+
+def test_licence_chains_count_words_once_and_know_all_places():
+    twice = scanner(["a b c d e p q b c d e f g h"])
+    assert found_spans(twice, "a b c d e f g h") == []
+    assert found_spans(scanner(["a b c d e p q b c d e f g h"], cover=0.5), "a b c d e f g h") == [("l0", round(8 / 14, 3), 0, 7)]
+    again = scanner(["a b c d x y z w a b c d"])
+    assert found_spans(again, "x y z w zz a b c d") == [("l0", round(8 / 12, 3), 0, 8)]
+    # a template that only has a part of the longest match of another one
+    assert found_spans(scanner(["k k2 k3 m n o p q", "m n o p q r"]), "k k2 k3 m n o p q r") == [("l0", 1.0, 0, 7), ("l1", 1.0, 3, 8)]
+    assert len(found_spans(scanner(["a b c d e"]), " ".join(["a b c d e"] * 500))) == 500
+
+
+def test_licence_chains_equal_brute_force():
+    """The best chain against all ways to pair words of text and template in order, in blocks of at least four with small gaps."""
+    rng = random.Random(9)
+    for _ in range(150):
+        template = [rng.randrange(4) for _ in range(rng.randrange(6, 16))]
+        run = [rng.randrange(4) for _ in range(rng.randrange(4, 22))]
+        s = scanner([" ".join(f"w{x}" for x in template)], cover=0.0)
+        ids = {w: i for i, w in enumerate(sorted({f"w{x}" for x in template}))}
+        chain = s.best_chain(sorted(s.matches([ids.get(f"w{x}", -1) for x in run]).get(0, []), key=lambda m: (m[1], m[0], m[2]))) if s.matches(
+            [ids.get(f"w{x}", -1) for x in run]).get(0) else (0, 0, 0)
+        # any diagonal block of 4 and more equal words is a match; blocks may be cut where they meet
+        blocks = [(i, p, n) for i in range(len(run)) for p in range(len(template)) for n in range(1, min(len(run) - i, len(template) - p) + 1)
+                  if run[i:i + n] == template[p:p + n]]
+        long = {(i - p, x) for i, p, n in blocks if n >= 4 for x in range(i, i + n)}
+        blocks = [b for b in blocks if all((b[0] - b[1], x) in long for x in range(b[0], b[0] + b[2]))]
+        blocks.sort(key=lambda b: b[0] + b[2])
+        best = {}
+        for i, p, n in blocks:
+            best[i, p, n] = n + max((v for (a, q, m), v in best.items() if a + m <= i and q + m <= p and i - (a + m) <= 8), default=0)
+        assert chain[0] == max(best.values(), default=0), (template, run)
 
 
 def test_viterbi_equals_brute_force():

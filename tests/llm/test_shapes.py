@@ -41,6 +41,17 @@ def test_mix_equals_sql_and_meets_targets(spark, edge_docs):
     assert abs(got.drop_duplicates(["source_size", "target"])["target"].sum() - got["size"].sum()) < 1
 
 
+def test_small_sources_meet_their_targets(spark):
+    """Sources of 10, 65 and 500 words beside a large one: within 6 % of what they shall give, and one word."""
+    rng = random.Random(15)
+    rows = [(1, sentence(rng, 10), "s10"), (2, sentence(rng, 65), "s65"), (3, sentence(rng, 1), "s1")]
+    rows += [(10 + i, sentence(rng, 50), "t500") for i in range(10)] + [(100 + i, sentence(rng, 400), "u") for i in range(50)]
+    got = mixture.mix(mixture.sizes(spark.createDataFrame(rows, "doc_id long, text string, source string"))).toPandas()
+    each = got.groupby("source_size").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert (abs(each["taken"] - each["target"]) <= 1 + 0.06 * each["target"]).all(), each
+    assert (got["taken"] <= 3 * got["size"]).all()
+
+
 def test_mix_targets_by_direct_rule(spark):
     sizes = {"a": 100, "b": 10, "c": 400, "d": 5, None: 1000}
     sized = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, size long")
