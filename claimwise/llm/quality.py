@@ -86,12 +86,14 @@ def meta_view(data: np.ndarray, off: np.ndarray, source: list, lang: list) -> np
 
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 300) -> np.ndarray:
     """Logistic regression with equal weight on both classes; accelerated gradient steps."""
-    x = _bias(x).astype(np.float64)
+    x = _bias(x)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-    rate = 4.0 / (np.einsum("ij,ij,i->", x, x, weight) + l2)
+    # products in the precision of x, without a wider copy of it; steps in double precision
+    rate = 4.0 / (float(np.einsum("ij,ij,i->", x, x, weight.astype(x.dtype))) + l2)
     w = ahead = np.zeros(x.shape[1])
     for t in range(steps):
-        grad = x.T @ (weight * (_sigmoid(x @ ahead) - y)) + l2 * ahead
+        away = weight * (_sigmoid((x @ ahead.astype(x.dtype)).astype(np.float64)) - y)
+        grad = x.T @ away.astype(x.dtype) + l2 * ahead
         new = ahead - rate * grad
         ahead = new + t / (t + 3) * (new - w)
         w = new
@@ -169,13 +171,17 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 30
                      pa.array([np.concatenate(r).astype(np.float16).tobytes() for r in zip(content, meta)], pa.binary())],
                     names=["doc_id", "y", "x"])
 
-    # bounded by the two limits
+    # bounded by the two limits: of repeated rows of an id one, the smallest, is taken before they leave the tasks
     rows = (_inputs(docs.join(F.broadcast(chosen), "doc_id"), "doc_id", "y")
-            .mapInArrow(view, "doc_id long, y int, x binary").toArrow().sort_by([("doc_id", "ascending"), ("x", "ascending")]))
+            .mapInArrow(view, "doc_id long, y int, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
+            .toArrow().sort_by("doc_id"))
     y = rows["y"].to_numpy()
     if not (y == 0).any() or not (y == 1).any():
         return None
-    x = np.stack([np.frombuffer(r, np.float16) for r in rows["x"].to_pylist()]).astype(np.float32)
+    x = np.empty((rows.num_rows, CONTENT + META), np.float32)
+    for i, r in enumerate(rows["x"]):
+        x[i] = np.frombuffer(r.as_buffer(), np.float16)
+    del rows
     return co_train(x[:, :CONTENT], x[:, CONTENT:], y)
 
 
