@@ -165,7 +165,21 @@ def _block(table: pa.Table) -> pa.Table:
                     schema=pa.schema([("label", pa.string()), ("dim", pa.int32()), ("block", pa.int32()), ("asked", pa.binary()), ("queries", pa.binary())]))
 
 
-def _query(batches: Iterator[pa.RecordBatch], least: float, beam: int, audit: int, target: float) -> Iterator[pa.RecordBatch]:
+def _audit(ids: np.ndarray, vectors: np.ndarray, asked: np.ndarray, queries: np.ndarray, least: float, sample: int, evidence: int) -> list[tuple[int, np.ndarray]]:
+    """Queries with their true links to other vectors, by brute force: ``sample`` of them, and twice as many until they have ``evidence`` links.
+
+    Without so many links all queries are compared, and then no link is missing from the audit. The order does not follow the ids.
+    """
+    order, done, links, out = np.random.default_rng(len(asked)).permutation(len(asked)), 0, 0, []
+    while done < len(order) and links < evidence:
+        part = order[done:done + max(sample, done)]
+        near = (queries[part] @ vectors.T >= least) & (ids[None, :] != asked[part][:, None])
+        out += [(int(part[i]), np.flatnonzero(near[i])) for i in np.flatnonzero(near.any(axis=1))]
+        links, done = links + int(near.sum()), done + len(part)
+    return out
+
+
+def _query(batches: Iterator[pa.RecordBatch], least: float, beam: int, audit: int, evidence: int, target: float) -> Iterator[pa.RecordBatch]:
     """Links of every query of a block in one shard, as lists of partners with a larger or smaller id."""
     for batch in batches:
         for i in range(batch.num_rows):
@@ -175,12 +189,11 @@ def _query(batches: Iterator[pa.RecordBatch], least: float, beam: int, audit: in
             vectors, queries = vectors.reshape(-1, dim), queries.reshape(-1, dim)
             # written by _build of the same job
             graph = pickle.loads(batch.column("graph")[i].as_py()).open(vectors)
-            sample = np.unique(np.linspace(0, len(asked) - 1, min(audit, len(asked))).astype(int))
-            exact = [np.flatnonzero(vectors @ queries[j] >= least) for j in sample]
+            true = _audit(ids, vectors, asked, queries, least, audit, evidence)
             width = beam
-            while width < len(ids):
-                hit = sum(len(np.intersect1d(graph.within(queries[j], least, width), e)) for j, e in zip(sample, exact))
-                if hit >= target * sum(map(len, exact)):
+            while true and width < len(ids):
+                # every query counts alike, so that a large group does not hide others
+                if np.mean([len(np.intersect1d(graph.within(queries[j], least, width), e)) / len(e) for j, e in true]) >= target:
                     break
                 width *= 2
             for low in range(0, len(asked), 256):
@@ -198,7 +211,8 @@ def _query(batches: Iterator[pa.RecordBatch], least: float, beam: int, audit: in
 
 def near_copies(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93,
-    shard: int = 8192, block: int = 2048, links: int = 12, build_beam: int = 64, beam: int = 32, audit: int = 32, target: float = 0.99,
+    shard: int = 8192, block: int = 2048, links: int = 12, build_beam: int = 64, beam: int = 32, audit: int = 32,
+    evidence: int = 64, target: float = 0.99,
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
@@ -206,8 +220,8 @@ def near_copies(
     precision. Equal unit vectors of a label are one, counted as copies. Each label is dealt by
     hash into shards of about ``shard`` vectors with a graph each, stored once, and
     blocks of about ``block`` queries; every block searches every shard of its label. In each such
-    pair ``audit`` queries are compared with brute force, and the beam doubles until their
-    links are found to ``target``, at last by comparing all.
+    pair ``audit`` queries, and more until ``evidence`` links to other vectors are seen or all are taken, are compared with
+    brute force, and the beam doubles until ``target`` of their links are found on average over these queries, at last by comparing all.
 
     Null, zero and non-finite vectors, and null labels, link with nothing: 0 links,
     their own component, kept. A null id has a null component, and is kept. Repeated rows
@@ -232,7 +246,7 @@ def near_copies(
     asked = staged(sized.withColumn("block", part(block)).drop("n").groupBy("label", "dim", "block").applyInArrow(
         _block, "label string, dim int, block int, asked binary, queries binary"), "blocks")
     found = staged(asked.join(graphs.hint("merge"), ["label", "dim"]).repartition(F.col("label"), F.col("dim"), F.col("shard"), F.col("block"))
-                   .mapInArrow(lambda it: _query(it, least, beam, audit, target), "u long, vs array<long>"), "links")
+                   .mapInArrow(lambda it: _query(it, least, beam, audit, evidence, target), "u long, vs array<long>"), "links")
     pairs = found.select("u", F.explode("vs").alias("v"))
     edges = staged(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
     copies = classes.groupBy(F.col("set_id").alias("v")).agg(F.sum("copies").alias("copies"))
