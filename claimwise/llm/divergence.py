@@ -154,7 +154,7 @@ def pair_sums(groups: DataFrame, shares: DataFrame, group_block: int, term_block
 
 def source_divergence(
     docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", least_docs: int = 30, most_terms: int = 50,
-    group_block: int = 16, term_block: int = 4096,
+    group_block: int = 16, term_block: int = 1024,
 ) -> DataFrame:
     """``lang, source, part, item, value, rank``: how far the sources of each language lie apart, and by which terms.
 
