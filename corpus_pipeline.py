@@ -11,7 +11,11 @@ from claimwise.session import scratch_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on ``labels``, does not reject."""
+    """Documents that the classifier, fitted on ``labels``, does not reject; a score on the limit stays.
+
+    Null and empty texts go, long ones are scored whole; null ids stay; repeated rows stay or go together; without labels of both
+    kinds every text with a word stays. An empty table stays empty.
+    """
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, docs.columns).where("kept").select(*docs.columns)
 
@@ -19,7 +23,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document of smallest id; rows without id stay.
 
-    Repeated rows of one id become one.
+    Repeated rows of one id become one. Null and empty texts link with nothing and stay; long ones are compared whole; an empty
+    table stays empty.
     """
     kept = jaccard.jaccard_join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -29,14 +34,20 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 words and more that stand in an earlier document.
 
-    ``n_chars`` follows the text; a document of which nothing is left goes.
+    ``n_chars`` follows the text; a document of which nothing is left goes, as do null and empty texts. Of equal passages that of the
+    smallest id stays, in one document the first. Rows without id are not compared and stay; long texts are
+    cut where they repeat; an empty table stays empty.
     """
     cut = suffixes.without_repeats(docs, suffixes.repeated_passages(docs))
     return cut.withColumn("n_chars", F.length("text").cast("long")).where("length(text) > 0").select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts as often as the mix takes them, rows without id too; ``n_chars`` follows the text."""
+    """Texts as often as the mix takes them, rows without id too; ``n_chars`` follows the text.
+
+    Null and empty texts have no words to take and go; a null source is one of its own; repeated rows are taken each; a long text may be taken in
+    part; an empty table stays empty.
+    """
     row = unused(docs, "_row")
     # written once, so that the keys stay the same
     keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
@@ -45,7 +56,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the token sequences and their places in packed sequences."""
+    """Pieces of the token sequences and their places in packed sequences.
+
+    Null text is empty and has the end token alone; long texts are cut into pieces; repeated rows and rows without id are
+    packed each; an empty table gives no piece.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
