@@ -116,12 +116,13 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     return sums.select("n", (1 - F.try_divide(F.col("sse"), F.col("sst"))).alias("r2"), "mae")
 
 
-def training_partitions(rows: int, rows_each: int = 25_000, most: int = 512) -> int:
+def training_partitions(rows: int) -> int:
     """Partitions of the training rows, from their number alone, so that a seed gives one forest on any cluster.
 
-    Each partition sends the statistics of every open node, so few are better where rows are few.
+    Each partition sends the statistics of every open node, so few are better: up to 8 of at least 4,000 rows, which
+    would else leave cores idle, then one for every 25,000 rows, up to 512.
     """
-    return max(1, min(most, -(-rows // rows_each)))
+    return max(1, min(8, rows // 4_000), min(512, rows // 25_000))
 
 
 def train_all(
