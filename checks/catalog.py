@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import synth_sql, views as V
-from claimwise.operators import audits, cleaning, encode, model, normalise, prepare, ranking, reports, stats, synth
+from claimwise.operators import audits, cleaning, cube, encode, model, normalise, prepare, ranking, reports, stats, synth
 from claimwise.plans import analysis, etl, prepared, scoring
 from claimwise.schemas import (
     CLAIM_COLUMNS, CLAIMS_RAW, DEFAULT_NULL_TOKENS, FEATURE_LABELS, SENTINEL, PRIMARY_KEYS, SEVERITY_GERMAN, TABLES, spark_type,
@@ -597,6 +597,31 @@ def pearson_matrix(spark, sf):
     return rounded(stats.pearson_matrix(gaps(spark, sf).withColumn("flat", F.lit(1.5)), PEARSON))
 
 
+WIDE = {**{c: c for c in PEARSON[:3]}, **{f"w{i}": f"l_extendedprice * {i} + l_quantity * l_quantity * {10 - i}" for i in range(1, 7)},
+        **{f"d{i}": f"CASE WHEN l_quantity > {5 * i} THEN l_discount * l_quantity END" for i in range(1, 5)}}
+
+
+@register(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r(f'corr({x}, {y})')} AS r FROM {GAPS_DUCK} g" for a, x in WIDE.items() for b, y in WIDE.items()))
+def pearson_wide(spark, sf):
+    """More pairs than one aggregate holds, with gaps: merged moment matrices."""
+    return rounded(stats.pearson_matrix(gaps(spark, sf).select(*[F.expr(x).alias(c) for c, x in WIDE.items()]), list(WIDE)))
+
+
+@register(SQL["describe_columns"])
+def cube_describe(spark, sf):
+    """Describe, read from the counts of all values."""
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    return rounded(cube.describe(cube.value_cube(gaps(spark, sf), columns=columns), columns), 4)
+
+
+@register(SQL["null_profile"])
+def cube_nulls(spark, sf):
+    """Gaps of every column, read from the counts of all values."""
+    df = strict(spark, sf)
+    return cube.nulls(cube.value_cube(df), df.columns)
+
+
 def spearman_sql(feature: str, target: str, source: str, digits: int = 6) -> str:
     return f"""SELECT '{feature}' AS feature, count(*) AS n, {r('corr(rx, ry)', digits)} AS effect FROM (
     SELECT rank() OVER (ORDER BY {feature}) + (count(*) OVER (PARTITION BY {feature}) - 1) / 2.0::DOUBLE AS rx,
