@@ -66,7 +66,7 @@ def chosen(w: Spans, hashes: np.ndarray, bits: int, ahead: int, words: int) -> t
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50, bits: int = 3, ahead: int = 8,
 ) -> DataFrame:
-    """``doc_id, start, stop, n_words, keep_doc_id, keep_start``: passages that stand earlier elsewhere.
+    """``doc_id, start, stop, n_words, keep_doc_id, keep_start, text_hash, keep_text_hash``: passages that stand earlier elsewhere.
 
     Word spans (words from 0, ``stop`` exclusive) of at least ``least_words`` words, each with
     the place of the same words in the smallest document, or further ahead in the same
@@ -76,7 +76,8 @@ def repeated_passages(
     no chunk and stand twice, are matched as a whole and chained, so every such passage is found.
 
     Null and empty texts and rows without id have no passage. Repeated rows of one id
-    are one place. Words and windows are compared by 64-bit hashes. Other columns are ignored.
+    are one place; different texts of one id are texts of their own, in the order of their hashes, which tell them apart
+    (``text_hash`` and ``keep_text_hash``, null for ids with one text). Words and windows are compared by 64-bit hashes. Other columns are ignored.
     """
     rows = texts(docs, id_col, text_col).where("doc_id is not null")
     return repeats.passages(rows, lambda w, h: chosen(w, h, bits, ahead, least_words), least_words)

@@ -95,7 +95,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``node, root`` for every node of the edges ``u, v``; root is the smallest node reachable.
 
     Alternating large-star and small-star steps, each written to the shared
-    folder. Minima are combined before the shuffle, so a hub costs no single task.
+    folder. Minima are combined before the shuffle; the join that hands them to the edges has the edges of a hub in one task.
     Raises if it has not settled after ``rounds``.
     """
     now = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))

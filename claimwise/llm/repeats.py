@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwise.llm.frames import staged, unused
 from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashes
@@ -23,6 +23,33 @@ from claimwise.llm.wordhash import Spans, grams, inside_text, slices, span_hashe
 Choose = Callable[[Spans, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
+#: Bits for the place of a word in its text, of which a text of under 2 GB has at most 2**30.
+_PLACE_BITS = 31
+
+
+def shared_ids(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, copy``: the different texts of ids that have several, numbered in the order of id and hash.
+
+    ``docs`` has ``doc_id, text``. Ids and hashes are written once and combined map-side; only texts of shared ids are sorted,
+    id and hash together, so one id with many texts is dealt over several tasks. The running total has one row a partition.
+    """
+    seen = staged(docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_hash")), "ids")
+    several = staged(seen.groupBy("doc_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
+                     .where("low <> high").select("doc_id"), "shared_ids")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = staged(seen.join(several, "doc_id", "left_semi").distinct().repartitionByRange(parts, "doc_id", "text_hash")
+                   .sortWithinPartitions("doc_id", "text_hash").withColumn("at", F.monotonically_increasing_id()), "shared_texts")
+    rows = found.withColumn("part", F.shiftright("at", 33))
+    before = (rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+              .select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")))
+    return staged(rows.join(F.broadcast(before), "part").select(
+        "doc_id", "text_hash", (F.col("before") + F.col("at").bitwiseAND(2 ** 33 - 1)).alias("copy")), "copies")
+
+
+def _place() -> Column:
+    return F.col("pos").bitwiseAND(2 ** _PLACE_BITS - 1)
+
+
 _PLACED = ["digest", "doc_id", "pos", "size", "ref_doc", "ref_pos", "border"]
 
 
@@ -96,15 +123,17 @@ def chains(hits: DataFrame) -> DataFrame:
 
 
 def _seeds(batches: Iterator[pa.RecordBatch], choose: Choose) -> Iterator[pa.RecordBatch]:
-    """Digests and places of the seeds of every text."""
+    """Digests and places of the seeds of every text; places begin at the number of the text."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
+        base = batch.column(2).to_numpy() << _PLACE_BITS
         for low, high, data, off in slices(batch.column(1)):
             w = Spans(data, off)
             at, digest, first, last = choose(w, span_hashes(data, w.start, w.end))
             doc = w.doc[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest.view(np.int64)), pa.array(ids[low:high][doc]), pa.array(at - w.first[doc]), pa.array((last - first + 1).astype(np.int32))],
+                [pa.array(digest.view(np.int64)), pa.array(ids[low:high][doc]), pa.array(at - w.first[doc] + base[low:high][doc]),
+                 pa.array((last - first + 1).astype(np.int32))],
                 names=["digest", "doc_id", "pos", "size"])
 
 
@@ -112,11 +141,12 @@ def _windows(batches: Iterator[pa.RecordBatch], choose: Choose, words: int) -> I
     """Digests and places of the windows of ``words`` words that no seed found only here decides for."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
+        base = batch.column(2).to_numpy() << _PLACE_BITS
         for low, high, data, off in slices(batch.column(1)):
             w = Spans(data, off)
             h = span_hashes(data, w.start, w.end)
             at, _, first, last = choose(w, h)
-            asked = batch.column(2).slice(low, high - low)
+            asked = batch.column(3).slice(low, high - low)
             doc = np.repeat(np.arange(high - low), asked.value_lengths().to_numpy())
             place = asked.flatten().to_numpy() + w.first[doc]
             twice = np.zeros(len(h) + 1, bool)
@@ -129,42 +159,52 @@ def _windows(batches: Iterator[pa.RecordBatch], choose: Choose, words: int) -> I
             kept = np.flatnonzero(whole & (np.cumsum(change)[:len(whole)] == 0))
             doc = w.doc[kept]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams(h, words)[kept].view(np.int64)), pa.array(ids[low:high][doc]), pa.array(kept - w.first[doc]),
+                [pa.array(grams(h, words)[kept].view(np.int64)), pa.array(ids[low:high][doc]), pa.array(kept - w.first[doc] + base[low:high][doc]),
                  pa.array(np.full(len(kept), words, np.int32))], names=["digest", "doc_id", "pos", "size"])
 
 
 def passages(docs: DataFrame, choose: Choose, least_words: int) -> DataFrame:
-    """``doc_id, start, stop, n_words, keep_doc_id, keep_start`` in words: all windows that stand earlier, chained.
+    """``doc_id, start, stop, n_words, keep_doc_id, keep_start, text_hash, keep_text_hash``: all windows that stand earlier, chained.
 
     Every window of ``least_words`` words must hold a seed that depends on its
     words only. A stretch inside another one is left out, and of equal ones that
-    with the smallest place counts.
+    with the smallest place counts. Different texts of one id are texts of their own, in the order of their hashes: while
+    places are sorted they begin at the number of the text, and ``text_hash`` (null for ids with one text) tells them apart.
 
     Texts are read twice: for the seeds, and for the windows between seeds found twice.
     """
     schema = "digest long, doc_id long, pos long, size int"
-    seeds = staged(docs.mapInArrow(lambda it: _seeds(it, choose), schema), "seeds")
+    copies = shared_ids(docs)
+    rows = docs.withColumn("text_hash", F.xxhash64("text")).join(copies, ["doc_id", "text_hash"], "left").select(
+        "doc_id", "text", F.coalesce("copy", F.lit(0)).alias("copy"))
+    seeds = staged(rows.mapInArrow(lambda it: _seeds(it, choose), schema), "seeds")
     twice = matched(seeds)
     # combined before the shuffle, so the first place of a frequent digest is one row a task
     places = twice.select("doc_id", "pos").unionByName(twice.select(F.col("ref_doc").alias("doc_id"), F.col("ref_pos").alias("pos"))).distinct()
-    asked = places.groupBy("doc_id").agg(F.collect_list("pos").alias("asked"))
-    windows = staged(docs.join(asked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "asked").mapInArrow(
+    asked = places.groupBy("doc_id", F.shiftright("pos", _PLACE_BITS).alias("copy")).agg(F.collect_list(_place()).alias("asked"))
+    windows = staged(rows.join(asked, ["doc_id", "copy"]).dropDuplicates(["doc_id", "copy"]).select("doc_id", "text", "copy", "asked").mapInArrow(
         lambda it: _windows(it, choose, least_words), schema), "windows")
     lane = Window.partitionBy("doc_id").orderBy("start", F.col("stop").desc(), "ref_doc", "ref_start")
     reach = F.max("stop").over(lane.rowsBetween(Window.unboundedPreceding, -1))
     longest = chains(matched(windows)).withColumn("reach", reach).where("reach is null or reach < stop")
-    return longest.select("doc_id", "start", "stop", (F.col("stop") - F.col("start")).alias("n_words"),
-                          F.col("ref_doc").alias("keep_doc_id"), F.col("ref_start").alias("keep_start"))
+    own = copies.withColumnRenamed("text_hash", "hash")
+    for doc, start, name in (("doc_id", "start", "text_hash"), ("ref_doc", "ref_start", "keep_text_hash")):
+        of = own.select(F.col("doc_id").alias(doc), F.col("copy").alias("_copy"), F.col("hash").alias(name))
+        longest = longest.withColumn("_copy", F.shiftright(start, _PLACE_BITS)).join(of, [doc, "_copy"], "left").drop("_copy")
+    low = lambda c: F.col(c).bitwiseAND(2 ** _PLACE_BITS - 1)
+    words = F.col("stop") - F.col("start")
+    return longest.select("doc_id", low("start").alias("start"), (low("start") + words).alias("stop"), words.alias("n_words"),
+                          F.col("ref_doc").alias("keep_doc_id"), low("ref_start").alias("keep_start"), "text_hash", "keep_text_hash")
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """``doc_id, spans``: per document its removed stretches, joined where they touch."""
-    lane = Window.partitionBy("doc_id").orderBy("start", "stop")
+    """``doc_id, text_hash, spans``: per text its removed stretches, joined where they touch."""
+    lane = Window.partitionBy("doc_id", "text_hash").orderBy("start", "stop")
     reach = F.max("stop").over(lane.rowsBetween(Window.unboundedPreceding, -1))
-    return (spans.select("doc_id", "start", "stop").distinct()
+    return (spans.select("doc_id", "text_hash", "start", "stop").distinct()
             .withColumn("part", F.sum((F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int")).over(lane))
-            .groupBy("doc_id", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-            .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")))
+            .groupBy("doc_id", "text_hash", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+            .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")))
 
 
 def _remove(batches: Iterator[pa.RecordBatch], text_col: str, cut: str) -> Iterator[pa.RecordBatch]:
@@ -194,11 +234,15 @@ def without(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     """``docs`` with the stretches cut from the texts; all columns and rows stay.
 
     A text that loses something is also stripped at its ends. Rows without id
-    pass unchanged, as do rows without a stretch.
+    pass unchanged, as do rows without a stretch. Of several texts of one id each loses its own stretches.
     """
-    doc, cut = unused(docs, "_doc"), unused(docs, "_spans")
-    cuts = merged(spans).select(F.col("doc_id").alias(doc), F.col("spans").alias(cut))
+    doc, cut, mark, of = (unused(docs, name) for name in ("_doc", "_spans", "_hash", "_of"))
+    cuts = merged(spans).select(F.col("doc_id").alias(doc), F.coalesce("text_hash", F.lit(0)).alias(of), F.col("spans").alias(cut))
+    ident = F.col(f"`{id_col}`").cast("long")
     named = docs.where(F.col(f"`{id_col}`").isNotNull())
-    joined = named.join(cuts, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left").drop(doc)
+    shared = shared_ids(named.select(ident.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))).select(
+        F.col("doc_id").alias(doc), F.col("text_hash").alias(mark))
+    told = named.join(shared, (ident == F.col(doc)) & (F.xxhash64(f"`{text_col}`") == F.col(mark)), "left").drop(doc)
+    joined = told.join(cuts, (ident == F.col(doc)) & (F.coalesce(mark, F.lit(0)) == F.col(of)), "left").select(*[f"`{c}`" for c in docs.columns], cut)
     done = joined.mapInArrow(lambda it: _remove(it, text_col, cut), docs.schema)
     return done.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

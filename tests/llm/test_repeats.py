@@ -178,3 +178,35 @@ def test_passages_of_short_words(spark, module):
         for i in range(2):
             docs[10 * k + i] = " ".join([sentence(rng, 30, 100000), *passage, sentence(rng, 30, 100000)])
     assert len(agrees(spark, module, docs)) == 60
+
+
+@pytest.mark.parametrize("module", [chunks, suffixes])
+def test_one_id_two_texts(spark, module):
+    rng = random.Random(29)
+    p, q, r = (sentence(rng, 60, 100000) for _ in range(3))
+    a, b, c, e = (sentence(rng, 40, 100000) for _ in range(4))
+    rows = [(1, f"{a} {p} {b}"), (5, f"{b} {p} {c}"), (5, f"{c} {q} {a}"), (5, f"{c} {q} {a}"), (5, f"{r} {a} {r}"), (7, f"{a} {q} {c}"),
+            (8, f"{p} {e}"), (9, None), (9, "")] + [(10 + i, sentence(rng, 90, 100000)) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = module.repeated_passages(df)
+    hashes = {t: h for t, h in df.selectExpr("text", "xxhash64(text)").collect()}
+    texts = {h: t for t, h in hashes.items()}
+    one = {d: t for d, t in rows if d not in (5, 9)}
+    spans = []
+    for f in found.collect():
+        text, kept = (texts[h] if h is not None else one[d] for d, h in ((f.doc_id, f.text_hash), (f.keep_doc_id, f.keep_text_hash)))
+        assert (f.text_hash is not None) == (f.doc_id == 5) and (f.keep_text_hash is not None) == (f.keep_doc_id == 5)
+        assert 0 <= f.start and f.stop - f.start == f.n_words
+        words = text.split()[f.start:f.stop]
+        assert words == kept.split()[f.keep_start:f.keep_start + f.n_words]
+        spans.append((text, " ".join(words)))
+    assert sorted(spans) == sorted([(f"{b} {p} {c}", p), (f"{r} {a} {r}", r), (f"{a} {q} {c}", q), (f"{p} {e}", p)])
+    left = sorted((d, t or "") for d, t in module.without_repeats(df, found).collect())
+    want = {f"{b} {p} {c}": f"{b} {c}", f"{r} {a} {r}": f"{r} {a}", f"{a} {q} {c}": f"{a} {c}", f"{p} {e}": e}
+    assert [(d, t.split()) for d, t in left] == [(d, t.split()) for d, t in sorted((d, want.get(t, t) or "") for d, t in rows)]
+
+
+def test_many_texts_of_one_id_are_numbered(spark):
+    df = spark.range(300).selectExpr("if(id < 200, 4L, id) doc_id", "concat('t ', id) text").union(spark.sql("select 4L, 't 0'"))
+    got = repeats.shared_ids(df).orderBy("doc_id", "text_hash").collect()
+    assert [r.copy for r in got] == list(range(200)) and {r.doc_id for r in got} == {4}
