@@ -173,16 +173,33 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 30
 
     # bounded by the two limits: of repeated rows of an id one, the smallest, is taken before they leave the tasks
     rows = (_inputs(docs.join(F.broadcast(chosen), "doc_id"), "doc_id", "y")
-            .mapInArrow(view, "doc_id long, y int, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
-            .toArrow().sort_by("doc_id"))
+            .mapInArrow(view, "doc_id long, y int, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")))
+    found = rows.coalesce(1).mapInArrow(_learn, "content array<float>, meta array<float>, scale array<double>, joined array<double>").first()
+    if found is None:
+        return None
+    return Model(np.array(found["content"], np.float32), np.array(found["meta"], np.float32), np.array(found["scale"]).reshape(2, 2),
+                 np.array(found["joined"]))
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fit, in one task over the bounded sample, so that the driver gets only weights; no row if a class is missing."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    rows = pa.Table.from_batches(held).sort_by("doc_id")
+    del held
     y = rows["y"].to_numpy()
     if not (y == 0).any() or not (y == 1).any():
-        return None
+        return
     x = np.empty((rows.num_rows, CONTENT + META), np.float32)
     for i, r in enumerate(rows["x"]):
         x[i] = np.frombuffer(r.as_buffer(), np.float16)
     del rows
-    return co_train(x[:, :CONTENT], x[:, CONTENT:], y)
+    model = co_train(x[:, :CONTENT], x[:, CONTENT:], y)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([v.tolist()], pa.list_(kind)) for v, kind in ((model.content, pa.float32()), (model.meta, pa.float32()),
+                                                                (model.scale.ravel(), pa.float64()), (model.join, pa.float64()))],
+        names=["content", "meta", "scale", "joined"])
 
 
 def score(docs: DataFrame, model: Model | None, carry: list[str], least: float = 0.5) -> DataFrame:
