@@ -112,11 +112,14 @@ def _cell(table: pa.Table) -> pa.Table:
     matrix[code[~head], place] = share[~head]
     gi, gj = table["gi"][0].as_py(), table["gj"][0].as_py()
     names = source.dictionary.to_pylist()
+    # shuffles hand the rows of each cell over in an order of their own: a pair is named alike in all its cells
+    place_of = np.empty(n, np.int64)
+    place_of[sorted(range(n), key=names.__getitem__)] = np.arange(n)
     rows = [i for i in range(n) if block[i] == gi]
     columns = np.array([i for i in range(n) if block[i] == gj], np.int64)
     a, b, f = [], [], []
     for i in rows:
-        other = columns if gi != gj else columns[columns > i]
+        other = columns if gi != gj else columns[place_of[columns] > place_of[i]]
         f += np.abs(matrix[i] - matrix[other]).sum(axis=1).tolist()
         a += [names[i]] * len(other)
         b += [names[j] for j in other]

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimwise.llm import divergence, ranked_search, secret_scan
@@ -185,5 +186,13 @@ def test_divergence_equals_brute_force(spark, edge_docs, group_block, term_block
     assert sorted(map(tuple, got)) == divergences(docs, least, 7)
 
 
+def test_divergence_pairs_are_named_alike_in_all_cells():
+    # shuffled rows come in any order, another one in each cell
+    rows = [("en", 0, 0, 0, s, None, 7) for s in ("b", "a", "c")] + [("en", 0, 0, 0, "c", 5, 9), ("en", 0, 0, 0, "a", 6, 30)]
+    cells = [divergence._cell(pa.table([pa.array(c) for c in zip(*some)], names=["lang", "gi", "gj", "own", "source", "term", "p"])) for some in (rows, rows[::-1], rows[1:] + rows[:1])]
+    found = [sorted(zip(*(c[k].to_pylist() for k in ("a", "b", "f", "terms")))) for c in cells]
+    assert found == [[("a", "b", 23, 2), ("a", "c", 25, 2), ("b", "c", 2, 2)]] * 3
+
+
 def test_divergence_empty_table(spark, no_docs):
     assert divergence.source_divergence(no_docs).count() == 0
