@@ -135,9 +135,11 @@ def generate_reports(
         head, tail = [t.partition("{}")[0] for t in texts], [t.partition("{}")[2] for t in texts]
         return F.concat(_at(head, at), F.when(_at(["{}" in t for t in texts], at), value).otherwise(""), _at(tail, at))
 
-    text = F.concat_ws(" ", *[clause(p) for p in plans[0]])
-    for i, plan in enumerate(plans[1:], 1):
-        text = F.when(F.col("_plan") == i, F.concat_ws(" ", *[clause(p) for p in plan])).otherwise(text)
+    # each clause is made once, then placed as the plan says: one branch a plan is more code than the compiler takes
+    parts = list(dict.fromkeys(p for plan in plans for p in plan))
+    work = work.withColumn("_clauses", F.array(*[clause(p) for p in parts]))
+    places = _at([[parts.index(p) + 1 for p in plan] for plan in plans], F.coalesce("_plan", F.lit(0)))
+    text = F.array_join(F.transform(places, lambda i: F.element_at("_clauses", i)), " ")
     made = work.select("*", F.explode(F.array(squeeze(text))).alias("_text"))
     return made.select(*[F.col("_text").alias(name) if c == name else quoted(c) for c in df.columns],
                        *([] if name in df.columns else [F.col("_text").alias(name)]))
