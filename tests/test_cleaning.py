@@ -130,3 +130,11 @@ def test_cents_round_half_even(spark):
 def test_make_model_of_missing_part(spark):
     df = spark.createDataFrame([(None, "X")], "a string, b string")
     assert values(df.select(make_model(F.col("a"), F.col("b")).alias("m")), "m") == ["nan X"]
+
+
+def test_modes_are_counted_of_columns_with_gaps_only(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "full string, gaps string")
+    filled = C.impute_mode(df)
+    assert sorted(tuple(r) for r in filled.collect()) == [("a", "x"), ("a", "x"), ("b", "x")]
+    assert "_fill" not in C.impute_mode(df.select("full"))._jdf.queryExecution().analyzed().toString()
+    assert "full AS feature" not in filled._jdf.queryExecution().analyzed().toString()
