@@ -132,6 +132,29 @@ def test_make_model_of_missing_part(spark):
     assert values(df.select(make_model(F.col("a"), F.col("b")).alias("m")), "m") == ["nan X"]
 
 
+@pytest.mark.parametrize("same_hash", [False, True])
+def test_copies_are_told_by_content_not_by_hash(spark, monkeypatch, same_hash):
+    """Also where all rows have one hash; indices may repeat or be missing."""
+    if same_hash:
+        monkeypatch.setattr(C, "content_hash", lambda columns: F.lit(1).cast("bigint"))
+    df = spark.createDataFrame(
+        [(0, "a", "x"), (1, "a", "x"), (2, "a", None), (3, None, "a"), (4, None, "a"), (4, "b", "y"), (5, "b", "y"), (None, "c", "z"), (None, "a", "x")],
+        "i bigint, a string, b string")
+    assert sorted(values(C.duplicate_rows(df, "i"), "i"), key=str) == [1, 5, None, None]
+    assert C.cleanup_summary(df, "i").first() == (9, 0, "none", 3, 3, 3)
+    rejects = sorted((tuple(r) for r in C.cleanup_rejects(df, "i").collect()), key=str)
+    assert rejects == sorted([(2, "null"), (3, "null"), (4, "null"), (1, "duplicate"), (5, "duplicate"), (None, "duplicate"), (None, "duplicate")], key=str)
+    assert C.cleanup_summary(df.limit(0), "i").first() == (0, 2, "a, b", 0, 0, 0)
+    assert C.cleanup_summary(df.select("i", F.lit(None).cast("string").alias("a")), "i").first() == (9, 1, "a", 0, 8, 1)
+
+
+def test_only_repeated_rows_are_compared(spark):
+    """Rows whose hash stands alone are not grouped by content: those of the group are few."""
+    df = spark.range(1000).select(F.col("id").alias("i"), (F.col("id") % 990).cast("string").alias("a"))
+    found = C.duplicate_rows(df, "i")
+    assert sorted(values(found, "i")) == list(range(990, 1000)) and "_hash" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_modes_are_counted_of_columns_with_gaps_only(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "full string, gaps string")
     filled = C.impute_mode(df)
