@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from claimwise.operators import forest as R, model
@@ -78,6 +79,87 @@ def walk(tree, bins):
     return tree.value[node]
 
 
+@pytest.fixture(scope="module")
+def wide(spark):
+    """300 levels in places of their own, a number of 300 values, and two columns of few levels."""
+    df = spark.range(900).select("id", (F.col("id") * 7 % 300).cast("int").alias("level"), (F.col("id") * 11 % 300 / 2).alias("z"),
+                                 (F.col("id") % 3).cast("int").alias("k"), (F.col("id") * 5 % 4).cast("int").alias("m"))
+    hot = [F.when(F.col("level") == i, 1.0).otherwise(0.0) for i in range(1, 300)]
+    hot += [F.when(F.col(c) == i, 1.0).otherwise(0.0) for c, n in (("k", 3), ("m", 4)) for i in range(1, n)]
+    places = array_to_vector(F.array(F.col("z") - 40, *hot))
+    return model.stage(df.select("id", places.alias("features"), (F.col("z") * F.col("k") + 50 * F.col("m") + F.col("level") % 7 * 20).alias("label")), "wide")
+
+
+def packed(rows, most):
+    data = rows.orderBy("id").toArrow()
+    bins = R.find_bins(rows, 305, 900, most)
+    row, place, found = bins.cells(data["features"].combine_chunks())
+    before = np.full(305, -1)
+    for a in next(R._before(iter(data.select(["features"]).to_batches()), bins)).to_pylist():
+        before[a["place"]] = a["before"]
+    layout, there = R.Layout(bins, before), found != bins.home[place]
+    return data, layout, bins.table(data["features"].combine_chunks()), layout.pack(row[there], (bins.offset[place] + found)[there], 900)
+
+
+@pytest.mark.parametrize("most, long", [(32, 0), (600, 1)])
+def test_places_that_never_meet_share_bytes(wide, most, long):
+    """305 places lie in a few bytes; counts and steps are those of the bins."""
+    data, layout, table, (lines, words) = packed(wide, most)
+    assert layout.bytes + layout.words <= 4 and layout.words == long
+    draws = np.arange(900, dtype=np.uint64)
+    block = R.Block([(draws, np.ones(900, np.uint8), np.arange(900.0), lines, words)])
+    rows, at, times = np.arange(0, 900, 2), np.arange(450) % 3, np.arange(450) % 4 + 1.0
+    tally = R.Tally(layout, 3)
+    tally.add(block, rows, times, at)
+    n, s = tally.counts()
+    for node in range(3):
+        mine = at == node
+        assert (n[node, -1], s[node, -1]) == (times[mine].sum(), (times * rows)[mine].sum())
+        for p in range(305):
+            found = np.bincount(table[rows[mine], p], times[mine], len(layout.bins.borders[p]) + 1)
+            found[layout.bins.home[p]] = 0
+            assert np.array_equal(n[node, layout.bins.offset[p]:][:len(found)], found)
+    for p, cut in [(p, c) for p in (0, 1, 150, 290, 301, 304) for c in (0, len(layout.bins.borders[p]) // 2)]:
+        tree = R.Tree.root(1)
+        tree.place[0], tree.cut[0] = p, cut
+        walk = R.Walk(block, rows, times)
+        R._down([walk], tree, 0, layout)
+        assert np.array_equal(walk.node == 2, table[rows, p] > cut)
+
+
+@pytest.mark.parametrize("most", [32, 600])
+def test_values_are_means_of_the_drawn_rows(wide, most):
+    one, many = (R.train(wide.repartition(5), [F.col("id") % 5 != i for i in range(3)], F.xxhash64("id"), 2, 6, 3, most, n) for n in (1, 3))
+    data = wide.withColumn("h", F.xxhash64("id")).orderBy("id").toArrow()
+    table, y = one[0].bins.table(data["features"].combine_chunks()), data["label"].to_numpy()
+    block = R.Block.__new__(R.Block)
+    block.draw = data["h"].to_numpy().view(np.uint64)
+    for i, forest in enumerate(one):
+        block.marks = (np.arange(900) % 5 != i).astype(np.int64)
+        for number, tree in enumerate(forest.trees):
+            assert all(np.array_equal(getattr(tree, k), getattr(many[i].trees[number], k)) for k in ("place", "cut", "value", "gain"))
+            rows, times = block.bag(0, number, 3)
+            node = np.zeros(len(rows), np.int64)
+            for _ in range(6):
+                goes = tree.place[node] >= 0
+                node = np.where(goes, 2 * node + 1 + (table[rows, tree.place[node]] > tree.cut[node]), node)
+            assert len(np.unique(node)) > 20
+            total, n = np.bincount(node, times * y[rows]), np.bincount(node, times)
+            used = np.flatnonzero(n)
+            assert tree.value[used] == pytest.approx(total[used] / n[used])
+
+
+def test_draws_are_poisson_by_exact_limits():
+    block = R.Block.__new__(R.Block)
+    block.draw = np.random.default_rng(1).integers(0, 2 ** 63, 200_000).astype(np.uint64)
+    times = block.times(3, 5)
+    z = block.draw + np.uint64((5 * 1_000_003 + 4) * 0x9E3779B97F4A7C15 % 2 ** 64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    z = (z ^ (z >> np.uint64(31))) >> np.uint64(32)
+    assert np.array_equal(times, (z[:, None] >= R._LIMITS).sum(axis=1))
+
+
 def test_forest_does_not_depend_on_blocks(spark):
     df = spark.range(300).select("id", (F.col("id") % 17).cast("double").alias("x"), (F.col("id") * 7 % 23).cast("double").alias("z")).withColumn(
         "vehicle_claim", F.col("x") * 10 + F.col("z"))
