@@ -123,7 +123,7 @@ def test_places_that_never_meet_share_bytes(wide, most, long):
         tree = R.Tree.root(1)
         tree.place[0], tree.cut[0] = p, cut
         walk = R.Walk(block, rows, times)
-        R._down([walk], tree, 0, layout)
+        R._down([walk], {0: tree}, 0, layout, True)
         assert np.array_equal(walk.node == 2, table[rows, p] > cut)
 
 
@@ -178,3 +178,27 @@ def test_missing_numbers_and_empty_tables_are_errors(rows):
 def test_other_estimators_stay_with_the_library(rows):
     found = model.train_all(rows, model.forest(3, 3, minInstancesPerNode=5), {"t": F.col("id") % 5 == 0}, "id")
     assert found["t"][0].numFeatures == 4 and found["t"][1]["n"] == 100
+
+
+def test_trees_that_split_alike_are_counted_together(rows):
+    """Forests grown together, most rows in several of them, are those grown one by one."""
+    marks = [F.col("id") % 5 != i for i in range(5)]
+    together = R.train(rows, marks, F.xxhash64("id"), 2, 4, 5, blocks=1)
+    for i, forest in enumerate(together):
+        alone, = R.train(rows, marks[i:i + 1], F.xxhash64("id"), 2, 4, 5, blocks=1)
+        for x, y in zip(alone.trees, forest.trees):
+            assert all(np.array_equal(getattr(x, k), getattr(y, k)) for k in ("place", "cut", "value", "gain"))
+
+
+def test_rows_of_alike_trees_are_counted_once(wide, monkeypatch):
+    """Five trees without a split have one root, counted over every row once and not once a tree."""
+    _, layout, _, (lines, words) = packed(wide, 32)
+    block = R.Block([(np.arange(900, dtype=np.uint64), (31 - (1 << np.arange(900) % 5)).astype(np.uint8), np.arange(900.0), lines, words)])
+    seen, add = [], R.Tally.add
+    monkeypatch.setattr(R.Tally, "add", lambda tally, block, rows, *rest: (seen.append(len(rows)), add(tally, block, rows, *rest)))
+    times = np.ones(900, np.uint8)
+    found = R._count([block.drawn(31, times)], {f: R.Tree.root(3) for f in range(5)}, layout)
+    assert seen == [900]
+    for f in range(5):
+        alone, = R._count([block.drawn(1 << f, times)], {f: R.Tree.root(3)}, layout).values()
+        assert all(np.array_equal(x, y) for x, y in zip(alone, found[f])) and found[f][0][0, -1] == 720
