@@ -1,6 +1,7 @@
 """Forests grown from histograms against trees grown row by row, and over any number of blocks."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -94,10 +95,7 @@ def packed(rows, most):
     data = rows.orderBy("id").toArrow()
     bins = R.find_bins(rows, 305, 900, most)
     row, place, found = bins.cells(data["features"].combine_chunks())
-    before = np.full(305, -1)
-    for a in next(R._before(iter(data.select(["features"]).to_batches()), bins)).to_pylist():
-        before[a["place"]] = a["before"]
-    layout, there = R.Layout(bins, before), found != bins.home[place]
+    layout, there = R.Layout(bins), found != bins.home[place]
     return data, layout, bins.table(data["features"].combine_chunks()), layout.pack(row[there], (bins.offset[place] + found)[there], 900)
 
 
@@ -202,3 +200,43 @@ def test_rows_of_alike_trees_are_counted_once(wide, monkeypatch):
     for f in range(5):
         alone, = R._count([block.drawn(1 << f, times)], {f: R.Tree.root(3)}, layout).values()
         assert all(np.array_equal(x, y) for x, y in zip(alone, found[f])) and found[f][0][0, -1] == 720
+
+
+def sketched(values, points, held):
+    """The quantiles of a place from sketches of parts of its values, held so many at a time."""
+    vector = pa.StructArray.from_arrays(
+        [pa.array(np.ones(len(values), np.int8)), pa.array([None] * len(values), pa.int32()), pa.array([None] * len(values), pa.list_(pa.int32())),
+         pa.array([[v] for v in values], pa.list_(pa.float64()))], names=["type", "size", "indices", "values"])
+    batches = pa.Table.from_arrays([vector], names=["features"]).to_batches(max_chunksize=500)
+    return R._joined(pa.Table.from_batches([b for b in R._sketched(iter(batches), points, held) if b.num_rows])).to_pylist()[0]
+
+
+def test_quantiles_of_a_place_are_exact_while_its_values_are_few():
+    values = np.random.default_rng(3).integers(-2000, 2000, 9_700).astype(float)
+    other = np.sort(values[(values != 0) & (values != 1)])
+    found = sketched(values, 10_240, 1_000)
+    assert (found["ones"], found["others"]) == ((values == 1).sum(), len(other))
+    assert found["every"] == [other[int(np.ceil(i / 1024 * len(other))) - 1] for i in range(1, 1024)]
+    assert found["points"][0] == other[0] and found["points"][-1] == other[-1]
+
+
+def test_quantiles_of_many_values_are_near():
+    values = np.random.default_rng(4).normal(size=20_000) ** 3
+    found, order = sketched(values, 200, 3_000), np.sort(values)
+    at = np.searchsorted(order, found["every"]) / len(order)
+    assert found["others"] == 20_000 and np.abs(at - np.arange(1, 1024) / 1024).max() < 2 / 200
+    assert (found["points"][0], found["points"][-1]) == (order[0], order[-1])
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_forests_without_rows_predict_zero(rows, blocks):
+    """Rows of no mark are not dealt out; forests that have none, alone or beside others, are roots."""
+    some = F.col("id") % 4 == 1
+    none, alone = (R.train(rows, marks, F.xxhash64("id"), 2, 3, 5, blocks=blocks) for marks in ([F.lit(False), some], [F.lit(False)]))
+    for forest in (none[0], alone[0]):
+        assert len(forest.trees) == 2 and [r["prediction"] for r in forest.transform(rows.limit(3)).collect()] == [0.0] * 3
+    assert (none[1].trees[0].place >= 0).sum() == 7
+    # rows of two forests that are all in one block
+    marks = [F.col("id") < 3, F.col("id") < 3, F.col("id") > 2]
+    lone = R.train(rows.where("id < 3 OR id % 2 = 0").repartition(6), marks, F.xxhash64("id"), 6, 3, 5, blocks=6)
+    assert all(np.array_equal(x.place, y.place) for x, y in zip(lone[0].trees, lone[1].trees))
